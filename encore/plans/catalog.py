@@ -13,7 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.plans import dashboard, lake, recommend
+from encore.operators.bronze import bronze
+from encore.operators.dims import build_dim_users, upsert
+from encore.operators.tracks import explode_pages, normalize_tracks
+from encore.plans import dashboard, insights, lake, recommend
+from encore.schemas import EVENT_MESSAGE_WITH_DURATION
+from encore.sources import fixtures
 
 # Fixed parameters of the registered dashboard queries.
 TREND_INTERVAL = "1 hour"
@@ -97,6 +102,132 @@ def q_recommendations(spark, sf_dir):
     return recommend.recommendation_rows(recs)
 
 
+# Two recommendation generations: one made from the first half of the
+# month, one from the second half. Users active only in the first half keep
+# their older list, everybody else gets the newer one.
+RECS_SPLIT = "2024-01-16 00:00:00"
+RECS_USER = 7          # the dashboard's selected user
+TOP_DAY = "2024-01-15"
+
+
+def recommendation_table(gold: DataFrame) -> DataFrame:
+    ts = F.col("event_timestamp")
+    split = F.lit(RECS_SPLIT).cast("timestamp")
+    first = recommend.recommend(gold.filter(ts < split), n=3, as_of=RECS_SPLIT)
+    second = recommend.recommend(gold.filter(ts >= split), n=3, as_of=lake.FIXED_AS_OF)
+    return first.unionByName(second)
+
+
+def q_latest_recommendations(spark, sf_dir):
+    cur = dashboard.latest_recommendations(recommendation_table(_gold(spark, sf_dir)))
+    return recommend.recommendation_rows(cur).join(
+        cur.select("user_id", "updated_at"), "user_id")
+
+
+def q_user_recommendations(spark, sf_dir):
+    return dashboard.user_recommendations(recommendation_table(_gold(spark, sf_dir)), RECS_USER)
+
+
+def q_recommendation_users(spark, sf_dir):
+    return dashboard.recommendation_users(recommendation_table(_gold(spark, sf_dir)))
+
+
+def q_recommendation_engagement(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    ts = F.col("event_timestamp")
+    recs = recommend.recommend(g.filter(ts < F.lit(RECS_SPLIT).cast("timestamp")), n=3,
+                               as_of=RECS_SPLIT)
+    return insights.recommendation_engagement(recs, g)
+
+
+def q_top_songs_day(spark, sf_dir):
+    return dashboard.top_songs(_gold(spark, sf_dir), k=5, day=TOP_DAY)
+
+
+def q_top_artists(spark, sf_dir):
+    return insights.top_artists(_gold(spark, sf_dir), k=10)
+
+
+def q_most_active_users(spark, sf_dir):
+    return insights.most_active_users(_gold(spark, sf_dir), k=10)
+
+
+def q_daily_active_users(spark, sf_dir):
+    return insights.daily_active_users(_gold(spark, sf_dir))
+
+
+def q_daily_volume(spark, sf_dir):
+    return insights.daily_volume(_gold(spark, sf_dir))
+
+
+def q_genre_trend(spark, sf_dir):
+    return insights.genre_trend(_gold(spark, sf_dir))
+
+
+def q_growing_artists(spark, sf_dir):
+    return insights.growing_artists(_gold(spark, sf_dir), k=10)
+
+
+def q_trending_songs(spark, sf_dir):
+    return insights.trending_songs(_gold(spark, sf_dir), window_hours=48, k=10)
+
+
+def q_avg_duration(spark, sf_dir):
+    valid, _ = bronze(fixtures.event_messages(spark, sf_dir), as_of=lake.FIXED_AS_OF,
+                      schema=EVENT_MESSAGE_WITH_DURATION)
+    return insights.avg_duration(valid)
+
+
+def q_user_engagement(spark, sf_dir):
+    return insights.user_engagement(_gold(spark, sf_dir))
+
+
+def q_hourly_pattern(spark, sf_dir):
+    return insights.hourly_pattern(_gold(spark, sf_dir))
+
+
+def q_country_activity(spark, sf_dir):
+    return insights.country_activity(_gold(spark, sf_dir))
+
+
+def q_platform_growth(spark, sf_dir):
+    return insights.platform_growth(_gold(spark, sf_dir))
+
+
+def q_data_quality(spark, sf_dir):
+    from encore.operators.bronze import parse_events
+    parsed = parse_events(fixtures.event_messages(spark, sf_dir), as_of=lake.FIXED_AS_OF)
+    return insights.data_quality_report(parsed)
+
+
+def q_track_catalog(spark, sf_dir):
+    pages = fixtures.chart_pages(spark, sf_dir)
+    return normalize_tracks(explode_pages(pages), ingested_at=lake.FIXED_AS_OF)
+
+
+# Dimension update batch for the upsert query: every landed customer of the
+# AUTOMOBILE segment changes country to a fixed value, and the customers
+# that were never landed arrive now.
+UPSERT_SEGMENT = "AUTOMOBILE"
+UPSERT_COUNTRY = "RELOCATED"
+
+
+def q_dim_users_upsert(spark, sf_dir):
+    target = build_dim_users(fixtures.users_landing(spark, sf_dir))
+    c = fixtures.table(spark, sf_dir, "customer")
+    n = fixtures.table(spark, sf_dir, "nation")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    upd = j.filter((F.col("c_mktsegment") == UPSERT_SEGMENT) | (F.col("c_custkey") % 10 == 9))
+    landing = upd.select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("c_name").alias("user_name"),
+        F.when(F.col("c_mktsegment") == UPSERT_SEGMENT, F.lit(UPSERT_COUNTRY))
+         .otherwise(F.col("n_name")).alias("country"),
+        F.lit("Free").alias("subscription_type"),
+        F.lit("2024-02-01T00:00:00").alias("ingested_at"))
+    return upsert(target, build_dim_users(landing), ["user_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_valid": q_bronze_valid,
     "bronze_invalid": q_bronze_invalid,
@@ -114,6 +245,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_users": q_active_users,
     "plays_by_country": q_plays_by_country,
     "recommendations": q_recommendations,
+    "latest_recommendations": q_latest_recommendations,
+    "user_recommendations": q_user_recommendations,
+    "recommendation_users": q_recommendation_users,
+    "recommendation_engagement": q_recommendation_engagement,
+    "top_songs_day": q_top_songs_day,
+    "top_artists": q_top_artists,
+    "most_active_users": q_most_active_users,
+    "daily_active_users": q_daily_active_users,
+    "daily_volume": q_daily_volume,
+    "genre_trend": q_genre_trend,
+    "growing_artists": q_growing_artists,
+    "trending_songs": q_trending_songs,
+    "avg_duration": q_avg_duration,
+    "user_engagement": q_user_engagement,
+    "hourly_pattern": q_hourly_pattern,
+    "country_activity": q_country_activity,
+    "platform_growth": q_platform_growth,
+    "data_quality": q_data_quality,
+    "track_catalog": q_track_catalog,
+    "dim_users_upsert": q_dim_users_upsert,
 }
 
 

@@ -90,6 +90,17 @@ def _recs_sql(where: str) -> str:
     """
 
 
+_SPLIT = "2024-01-16 00:00:00"
+_FIRST = _recs_sql(f"event_timestamp < TIMESTAMP '{_SPLIT}'")
+_SECOND = _recs_sql(f"event_timestamp >= TIMESTAMP '{_SPLIT}'")
+_LATEST = f"""
+    SELECT user_id, user_name, rank, song, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+    FROM {_SECOND} s
+    UNION ALL
+    SELECT user_id, user_name, rank, song, TIMESTAMP '{_SPLIT}' AS updated_at
+    FROM {_FIRST} f
+    WHERE user_id NOT IN (SELECT user_id FROM {_SECOND} s2)"""
+
 ORACLE = {
     "bronze_valid": """
         SELECT event_id, user_id, song_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
@@ -148,6 +159,151 @@ ORACLE = {
         SELECT country, song_name, artist_name, plays FROM plays
         ORDER BY country, plays DESC, song_name, artist_name""",
     "recommendations": "SELECT * FROM " + _recs_sql("true"),
+    "latest_recommendations": _LATEST,
+    "user_recommendations": f"""
+        SELECT user_name, rank, song, updated_at FROM ({_LATEST}) l WHERE user_id = 7""",
+    "recommendation_users": f"""
+        SELECT DISTINCT user_id FROM (SELECT user_id FROM {_FIRST}
+                                      UNION ALL SELECT user_id FROM {_SECOND}) t
+        ORDER BY user_id""",
+    "recommendation_engagement": f"""
+        , r AS (SELECT DISTINCT user_id, song FROM {_FIRST}),
+        e AS (SELECT user_id, song_name || ' - ' || artist_name AS song,
+                     max(event_timestamp) AS last_event
+              FROM gold WHERE event_type IN ('PLAY', 'LIKE') GROUP BY ALL),
+        a AS (SELECT r.song, count(*) AS recommended_users,
+                     count(*) FILTER (WHERE e.last_event > TIMESTAMP '{_SPLIT}') AS engaged_users
+              FROM r LEFT JOIN e ON r.user_id = e.user_id AND r.song = e.song
+              GROUP BY r.song)
+        SELECT song, recommended_users, engaged_users,
+               engaged_users / recommended_users AS engagement_rate
+        FROM a ORDER BY recommended_users DESC, song""",
+    "top_songs_day": """
+        SELECT song_name || ' - ' || artist_name AS song, count(*) AS plays
+        FROM gold WHERE event_type = 'PLAY' AND song_name <> ''
+          AND CAST(event_timestamp AS DATE) = DATE '2024-01-15'
+        GROUP BY song_name, artist_name
+        ORDER BY plays DESC, song ASC LIMIT 5""",
+    "top_artists": """
+        SELECT artist_name, count(*) AS plays FROM gold
+        WHERE event_type = 'PLAY' AND artist_name <> ''
+        GROUP BY artist_name ORDER BY plays DESC, artist_name LIMIT 10""",
+    "most_active_users": """
+        SELECT user_id, user_name, count(*) AS events,
+               count(*) FILTER (WHERE event_type = 'PLAY') AS plays
+        FROM gold GROUP BY user_id, user_name
+        ORDER BY events DESC, user_id, user_name LIMIT 10""",
+    "daily_active_users": """
+        SELECT date_trunc('day', event_timestamp) AS day, count(DISTINCT user_id) AS active_users
+        FROM gold GROUP BY 1 ORDER BY 1""",
+    "daily_volume": """
+        SELECT date_trunc('day', event_timestamp) AS day,
+               count(*) FILTER (WHERE event_type = 'PLAY') AS plays,
+               count(*) FILTER (WHERE event_type = 'SKIP') AS skips,
+               count(*) FILTER (WHERE event_type = 'LIKE') AS likes,
+               count(*) AS events
+        FROM gold GROUP BY 1 ORDER BY 1""",
+    "genre_trend": """
+        , wk AS (SELECT genre, date_trunc('week', event_timestamp) AS week,
+                        count(*) AS plays
+                 FROM gold WHERE event_type = 'PLAY' GROUP BY 1, 2)
+        SELECT genre, week, plays,
+               lag(plays) OVER (PARTITION BY genre ORDER BY week) AS prev_plays,
+               plays - lag(plays) OVER (PARTITION BY genre ORDER BY week) AS change
+        FROM wk ORDER BY genre, week""",
+    "growing_artists": """
+        , w AS (SELECT CAST(date_trunc('week', max(event_timestamp)) AS DATE) AS wk FROM gold),
+        s AS (SELECT artist_name,
+                     count(*) FILTER (WHERE CAST(event_timestamp AS DATE) >= wk
+                                        AND CAST(event_timestamp AS DATE) < wk + 7) AS plays,
+                     count(*) FILTER (WHERE CAST(event_timestamp AS DATE) >= wk - 7
+                                        AND CAST(event_timestamp AS DATE) < wk) AS prev_plays
+              FROM gold, w
+              WHERE event_type = 'PLAY'
+                AND CAST(event_timestamp AS DATE) >= wk - 7
+                AND CAST(event_timestamp AS DATE) < wk + 7
+              GROUP BY artist_name)
+        SELECT artist_name, plays, prev_plays, plays - prev_plays AS growth
+        FROM s ORDER BY growth DESC, plays DESC, artist_name LIMIT 10""",
+    "trending_songs": """
+        , b AS (SELECT max(event_timestamp) AS t_end FROM gold),
+        s AS (SELECT song_name || ' - ' || artist_name AS song,
+                     count(*) FILTER (WHERE event_timestamp > t_end - INTERVAL 48 HOUR
+                                        AND event_timestamp <= t_end) AS recent_plays,
+                     count(*) FILTER (WHERE event_timestamp > t_end - INTERVAL 96 HOUR
+                                        AND event_timestamp <= t_end - INTERVAL 48 HOUR) AS prev_plays
+              FROM gold, b
+              WHERE event_type = 'PLAY' AND event_timestamp > t_end - INTERVAL 96 HOUR
+                AND event_timestamp <= t_end
+              GROUP BY song_name, artist_name)
+        SELECT song, recent_plays, prev_plays, recent_plays - prev_plays AS trend
+        FROM s ORDER BY trend DESC, recent_plays DESC, song LIMIT 10""",
+    "avg_duration": """
+        SELECT event_type, count(*) AS events, avg(duration_seconds) AS avg_duration_seconds
+        FROM valid_events GROUP BY event_type""",
+    "user_engagement": """
+        SELECT user_id, user_name,
+               count(*) FILTER (WHERE event_type = 'PLAY') AS plays,
+               count(*) FILTER (WHERE event_type = 'SKIP') AS skips,
+               count(*) FILTER (WHERE event_type = 'LIKE') AS likes,
+               count(*) AS events,
+               count(*) FILTER (WHERE event_type = 'SKIP') / count(*) AS skip_rate,
+               count(DISTINCT song_id) AS distinct_songs
+        FROM gold GROUP BY user_id, user_name""",
+    "hourly_pattern": """
+        SELECT CAST(hour(event_timestamp) AS INTEGER) AS hour, count(*) AS events,
+               count(*) FILTER (WHERE event_type = 'PLAY') AS plays
+        FROM gold GROUP BY 1 ORDER BY 1""",
+    "country_activity": """
+        SELECT country, count(*) AS plays, count(DISTINCT user_id) AS listeners
+        FROM gold WHERE event_type = 'PLAY' AND country <> ''
+        GROUP BY country ORDER BY plays DESC, country""",
+    "platform_growth": """
+        , f AS (SELECT user_id, min(date_trunc('day', event_timestamp)) AS day FROM gold GROUP BY 1),
+        d AS (SELECT day, count(*) AS new_users FROM f GROUP BY 1)
+        SELECT day, new_users,
+               CAST(sum(new_users) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING
+                                          AND CURRENT ROW) AS BIGINT) AS total_users
+        FROM d ORDER BY day""",
+    "data_quality": """
+        , q AS (SELECT count(*) AS checked,
+                  count(*) FILTER (WHERE event_id IS NULL OR user_id IS NULL OR song_id IS NULL)
+                    AS missing_required_fields,
+                  count(*) FILTER (WHERE event_id IS NULL AND user_id IS NULL AND song_id IS NULL
+                                     AND ts IS NULL AND event_type IS NULL) AS malformed_message,
+                  count(*) FILTER (WHERE ts IS NULL) AS bad_timestamp,
+                  count(*) FILTER (WHERE event_type IS NULL
+                                     OR event_type NOT IN ('PLAY', 'SKIP', 'LIKE'))
+                    AS unknown_event_type,
+                  count(*) FILTER (WHERE user_id <= 0) AS non_positive_user_id,
+                  count(event_id) - count(DISTINCT event_id) AS duplicate_event_id
+                FROM raw_events)
+        SELECT rule, checked, CAST(failed AS BIGINT) AS failed FROM (
+          UNPIVOT q ON missing_required_fields, malformed_message, bad_timestamp,
+                       unknown_event_type, non_positive_user_id, duplicate_event_id
+          INTO NAME rule VALUE failed) u""",
+    "track_catalog": """
+        SELECT CASE WHEN mbid <> '' THEN mbid
+                    ELSE 'lf_' || CAST(CAST(('0x' || substr(md5(name || artist), 1, 8)) AS BIGINT)
+                                       % 100000 AS VARCHAR) END AS song_id,
+               name AS song_name, artist AS artist_name, name || ' - Single' AS album_name,
+               CAST(NULL AS BIGINT) AS duration_ms, CAST(NULL AS VARCHAR) AS genre,
+               '2024-02-01T00:00:00' AS ingested_at
+        FROM (SELECT CASE WHEN p_size = 2 THEN NULL ELSE p_name END AS name,
+                     CASE WHEN p_size % 3 = 0 THEN '' ELSE 'mb-' || CAST(p_partkey AS VARCHAR) END
+                       AS mbid,
+                     CASE WHEN p_size = 1 THEN '' ELSE p_brand END AS artist
+              FROM part) t
+        WHERE coalesce(name, '') <> '' AND coalesce(artist, '') <> ''""",
+    "dim_users_upsert": """
+        , upd AS (
+          SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_name,
+                 CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'RELOCATED' ELSE n_name END AS country,
+                 'Free' AS subscription_type, true AS is_current
+          FROM customer JOIN nation ON c_nationkey = n_nationkey
+          WHERE c_mktsegment = 'AUTOMOBILE' OR c_custkey % 10 = 9)
+        SELECT * FROM dim_users WHERE user_id NOT IN (SELECT user_id FROM upd)
+        UNION ALL SELECT * FROM upd""",
 }
 
 
