@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from encore.operators.bronze import bronze
 from encore.operators.dims import build_dim_users, upsert
 from encore.operators.tracks import explode_pages, normalize_tracks
-from encore.plans import dashboard, insights, lake, recommend
+from encore.plans import dashboard, insights, lake, recommend, streams
 from encore.schemas import EVENT_MESSAGE_WITH_DURATION
 from encore.sources import fixtures
 
@@ -265,6 +265,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "data_quality": q_data_quality,
     "track_catalog": q_track_catalog,
     "dim_users_upsert": q_dim_users_upsert,
+    "streaming_gold": streams.streaming_gold,
+    "streaming_trend": streams.streaming_trend,
+    "streaming_dedupe": streams.streaming_dedupe,
 }
 
 

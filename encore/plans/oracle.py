@@ -304,6 +304,18 @@ ORACLE = {
           WHERE c_mktsegment = 'AUTOMOBILE' OR c_custkey % 10 = 9)
         SELECT * FROM dim_users WHERE user_id NOT IN (SELECT user_id FROM upd)
         UNION ALL SELECT * FROM upd""",
+    "streaming_gold": """
+        SELECT event_id, user_id, user_name, song_id, song_name, artist_name, genre,
+               subscription_type, country, event_type, event_timestamp, event_month
+        FROM gold""",
+    "streaming_trend": """
+        SELECT time_bucket(INTERVAL '1 hour', event_timestamp) AS time, event_type,
+               count(*) AS count
+        FROM gold GROUP BY 1, 2""",
+    "streaming_dedupe": """
+        SELECT event_id, user_id, song_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+               event_type
+        FROM valid_events""",
 }
 
 
