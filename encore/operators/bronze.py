@@ -36,10 +36,14 @@ def parse_events(raw: DataFrame, source: str = SOURCE_NAME, as_of=None,
     reads back for it, so batch and stream paths agree.
     """
     text = F.col("value").cast("string")
-    cols = [F.from_json(text, schema).alias("data")]
+    fields = [F.from_json(text, schema).alias("data")]
     if keep_raw:
-        cols.append(text.alias("raw_value"))
-    parsed = raw.select(*cols)
+        fields.append(text.alias("raw_value"))
+    # The parse sits inside a generator (one output row per message) so that
+    # filters on the parsed fields stay above it: pushed below a plain
+    # projection they would inline (and re-run) the JSON parse once per
+    # referenced field.
+    parsed = raw.select(F.inline(F.array(F.struct(*fields))))
     out = parsed.select(
         *[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields],
         *(["raw_value"] if keep_raw else []),
