@@ -67,7 +67,9 @@ def read_gold(spark: SparkSession, path: str, months: list[int] | None = None) -
     return df
 
 
-def read_track_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed chart pages, one row per track (nested array exploded)."""
-    pages = spark.read.schema(schemas.CHART_PAGE).option("multiLine", True).json(path)
+def read_track_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Landed chart pages, one row per track (nested array exploded).
+    ``multiline`` for one (possibly pretty-printed) response per file; False
+    for JSON lines, one page per line."""
+    pages = spark.read.schema(schemas.CHART_PAGE).option("multiLine", multiline).json(path)
     return pages.select(F.explode("tracks.track").alias("t")).select("t.*")
