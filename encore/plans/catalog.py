@@ -228,6 +228,11 @@ def q_dim_users_upsert(spark, sf_dir):
     return upsert(target, build_dim_users(landing), ["user_id"])
 
 
+def q_als_recommend(spark, sf_dir):
+    from encore.plans.ml import als_recommend
+    return als_recommend(_gold(spark, sf_dir), n=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_valid": q_bronze_valid,
     "bronze_invalid": q_bronze_invalid,
@@ -265,6 +270,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "data_quality": q_data_quality,
     "track_catalog": q_track_catalog,
     "dim_users_upsert": q_dim_users_upsert,
+    "als_recommend": q_als_recommend,
     "streaming_gold": streams.streaming_gold,
     "streaming_trend": streams.streaming_trend,
     "streaming_dedupe": streams.streaming_dedupe,

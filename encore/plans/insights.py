@@ -52,17 +52,15 @@ def daily_active_users(gold: DataFrame) -> DataFrame:
 
 
 def daily_volume(gold: DataFrame) -> DataFrame:
-    """Events per day, one column per event type (pivot on a fixed value
-    list, so no extra pass to discover the values) plus the total."""
-    day = _day().alias("day")
-    pv = (gold.withColumn("day", day).groupBy("day").pivot("event_type", EVENT_TYPES)
-              .agg(F.count(F.lit(1))))
-    tot = gold.groupBy(day).agg(F.count(F.lit(1)).alias("events"))
-    out = pv.join(tot, "day")
-    return out.select(
-        "day",
-        *[F.coalesce(F.col(t), F.lit(0)).cast("long").alias(t.lower() + "s") for t in EVENT_TYPES],
-        "events").orderBy("day")
+    """Events per day, one column per event type plus the total.
+
+    A pivot on event_type written as conditional counts: one aggregation
+    pass (partial + final), where ``groupBy().pivot()`` would add a second
+    aggregation and, with the total, a join."""
+    return (gold.groupBy(_day().alias("day"))
+                .agg(*[_count_if(_is(t)).alias(t.lower() + "s") for t in EVENT_TYPES],
+                     F.count(F.lit(1)).alias("events"))
+                .orderBy("day"))
 
 
 def _weekly(gold: DataFrame, key: str) -> DataFrame:
