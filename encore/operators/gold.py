@@ -20,11 +20,20 @@ def standardize_gold(silver: DataFrame) -> DataFrame:
     """Casts, defaults and time parsing. Nulls in dimension attributes
     become Unknown / Free / Guest ('' is kept); a null event_type becomes
     'N/A'; times are parsed leniently (bad text -> null) and truncated to
-    seconds; event_month = yyyymm of the event time."""
-    ts = to_seconds(to_ts("event_timestamp"))
+    seconds; event_month = yyyymm of the event time. Columns that already
+    have the target type are not re-parsed through text."""
+    types = dict(silver.dtypes)
+
+    def _int(c):
+        return to_int(c) if types.get(c) == "string" else F.col(c).try_cast("int")
+
+    def _ts(c):
+        return to_ts(c) if types.get(c) == "string" else F.col(c).try_cast("timestamp")
+
+    ts = to_seconds(_ts("event_timestamp"))
     out = silver.select(
         F.col("event_id").cast("string").alias("event_id"),
-        to_int("user_id").alias("user_id"),
+        _int("user_id").alias("user_id"),
         with_default("user_name", DEFAULT_USER_NAME).alias("user_name"),
         F.col("song_id").cast("string").alias("song_id"),
         with_default("song_name", DEFAULT_TEXT).alias("song_name"),
@@ -34,7 +43,7 @@ def standardize_gold(silver: DataFrame) -> DataFrame:
         with_default("country", DEFAULT_TEXT).alias("country"),
         with_default(F.col("event_type").cast("string"), MISSING_MARK).alias("event_type"),
         ts.alias("event_timestamp"),
-        to_seconds(to_ts("processed_at")).alias("processed_at"),
+        to_seconds(_ts("processed_at")).alias("processed_at"),
     )
     return out.withColumn("event_month", event_month("event_timestamp"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.functions import to_message
+from encore.sources.readers import spread
 
 # Fixed values of the test mapping.
 SONG_PREFIX = "song_"
@@ -33,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed events in the message shape (timestamp still a timestamp)."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     et = F.col("event_type")
     return ev.select(
         F.col("event_id").cast("string").alias("event_id"),

@@ -9,6 +9,20 @@ from encore import schemas
 from encore.sinks.tables import resolve_current
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure a batch input has at least the cluster's parallelism in
+    partitions. A no-op for inputs that already split into enough scan
+    tasks (the normal case for large tables); small inputs in a single
+    unsplittable file (one parquet row group) are spread round-robin so the
+    CPU-heavy per-row work (JSON encode/parse) does not run in one task.
+    Only the plan is inspected, no job runs."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def event_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
                  path: str | None = None) -> DataFrame:
     """Stream of raw event messages with a binary ``value`` column.
