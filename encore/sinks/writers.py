@@ -77,8 +77,8 @@ def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by=None,
     return True
 
 
-def write_gold(silver_batch: DataFrame, batch_id: int, path: str,
-               rejects_path: str | None = None) -> int:
+def write_gold(silver_batch: DataFrame, batch_id: int, path: str | None,
+               rejects_path: str | None = None, jdbc_options: dict | None = None) -> int:
     """K4/K5: load one micro-batch of silver rows into gold.
 
     Empty batches are skipped; rows without event_id are dropped; rows with
@@ -90,7 +90,14 @@ def write_gold(silver_batch: DataFrame, batch_id: int, path: str,
     if silver_batch.isEmpty():
         return 0
     ok, rejected = split_gold(standardize_gold(silver_batch))
-    publish_batch(gold_layout(ok), path, batch_id, partition_by=["event_month"])
+    if jdbc_options:
+        # Optional analytical-store load through the JDBC sink (needs the
+        # store's driver). Appends by column name; at-least-once unless the
+        # target deduplicates on (event_id, event_timestamp).
+        (ok.drop("event_month").write.format("jdbc").options(**jdbc_options)
+           .mode("append").save())
+    if path:
+        publish_batch(gold_layout(ok), path, batch_id, partition_by=["event_month"])
     if rejects_path:
         publish_batch(rejected.drop("event_month"), rejects_path, batch_id)
     return 1

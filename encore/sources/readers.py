@@ -37,7 +37,13 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "earliest")
         opts.setdefault("failOnDataLoss", "false")
-        return spark.readStream.format("kafka").options(**opts).load().select("value")
+        try:
+            return spark.readStream.format("kafka").options(**opts).load().select("value")
+        except Exception as e:  # noqa: BLE001
+            if "kafka" in str(e).lower() and "not find" in str(e).lower():
+                raise RuntimeError("the Kafka source needs the spark-sql-kafka connector on the "
+                                   "classpath (spark.jars.packages); use fmt='text' for files") from e
+            raise
     reader = spark.readStream.options(**opts)
     return reader.text(path).select(F.col("value").cast("binary").alias("value"))
 

@@ -62,3 +62,25 @@ def test_dimension_update_seen_by_next_batch(spark, tmp_root):
     run_pipeline(spark, event_stream(spark, fmt="text", path=f"{msgs}/*"), paths, trigger=NOW)
     names = {r.event_id: r.user_name for r in _gold(spark, paths).collect()}
     assert names == {"a": "old", "b": "new"}
+
+
+def test_new_checkpoint_over_published_table_is_refused(spark, tmp_root):
+    import pytest
+
+    from encore.streaming.pipeline import guard_checkpoint
+    writers.publish_batch(spark.range(1), f"{tmp_root}/t", 0)
+    with pytest.raises(RuntimeError):
+        guard_checkpoint(spark, f"{tmp_root}/ckpt", f"{tmp_root}/t")
+    guard_checkpoint(spark, f"{tmp_root}/ckpt2", f"{tmp_root}/empty")
+
+
+def test_single_read_bronze_matches_two_queries(spark, tmp_root):
+    paths = LakePaths(tmp_root)
+    msgs = f"{tmp_root}/msgs"
+    writers.publish_messages(fixtures.event_messages(spark, SF), msgs)
+    upsert_table(build_dim_users(fixtures.users_landing(spark, SF)), paths.dim_users, ["user_id"])
+    upsert_table(build_dim_songs(fixtures.songs_landing(spark, SF)), paths.dim_songs, ["song_id"])
+    raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 3})
+    run_pipeline(spark, raw, paths, trigger=NOW, as_of=lake.FIXED_AS_OF, single_read=True)
+    assert _gold(spark, paths).count() == 801
+    assert spark.read.parquet(paths.bronze_invalid).count() == 199
