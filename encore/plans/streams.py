@@ -40,7 +40,8 @@ def streaming_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     upsert_table(build_dim_songs(fixtures.songs_landing(spark, sf_dir)), paths.dim_songs,
                  ["song_id"])
     raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 4})
-    run_pipeline(spark, raw, paths, trigger=AVAILABLE_NOW, as_of=lake.FIXED_AS_OF)
+    run_pipeline(spark, raw, paths, trigger=AVAILABLE_NOW, as_of=lake.FIXED_AS_OF,
+                 single_read=True)
     gold_schema = T.StructType(schemas.GOLD.fields + [T.StructField("batch_id", T.LongType())])
     return spark.read.schema(gold_schema).parquet(paths.gold).drop("processed_at", "batch_id")
 
