@@ -38,8 +38,9 @@ def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
     """Messages -> bronze -> silver -> gold until stopped (or to completion
     with ``trigger={'availableNow': True}``)."""
     raw = event_stream(spark, source_format, source_options, path=source_path)
-    run_pipeline(spark, raw, LakePaths(lake), trigger=trigger or {"processingTime": "10 seconds"},
-                 timeout=timeout, single_read=single_read)
+    run_pipeline(spark, raw, LakePaths(lake), trigger=trigger, timeout=timeout,
+                 single_read=single_read,
+                 gold_trigger=None if trigger else {"processingTime": "10 seconds"})
 
 
 def recommendation_job(spark: SparkSession, lake: str, n: int = 3,

@@ -49,7 +49,7 @@ def write_silver(df: DataFrame, path: str, ckpt: str | None = None, trigger=None
 
 
 def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by=None,
-                  sort_within=None) -> bool:
+                  sort_within=None, commit: str = "rename") -> bool:
     """Exactly-once publication of one micro-batch under ``root``.
 
     The batch is written to a hidden stage directory (readers skip names
@@ -63,13 +63,20 @@ def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by=None,
     spark = df.sparkSession
     root = root.rstrip("/")
     final = f"{root}/batch_id={batch_id}"
-    if fs.exists(spark, final):
-        return False
-    stage = f"{root}/_stage_{batch_id}"
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if commit == "marker":
+        # Object stores: the job-commit marker is the commit record; a
+        # directory without it is a failed attempt and is rewritten.
+        if fs.exists(spark, f"{final}/_SUCCESS"):
+            return False
+        w.parquet(final)
+        return True
+    if fs.exists(spark, final):
+        return False
+    stage = f"{root}/_stage_{batch_id}"
     w.parquet(stage)
     fs.mkdirs(spark, root)
     if not fs.rename(spark, stage, final):
@@ -87,9 +94,18 @@ def write_gold(silver_batch: DataFrame, batch_id: int, path: str | None,
     (event_type, event_timestamp, user_id) within each file. Errors fail the
     streaming query (the batch is retried), they are never swallowed.
     """
-    if silver_batch.isEmpty():
-        return 0
-    ok, rejected = split_gold(standardize_gold(silver_batch))
+    std = standardize_gold(silver_batch).persist()  # read the batch once for all outputs
+    try:
+        if std.isEmpty():
+            return 0
+        _load_gold(std, batch_id, path, rejects_path, jdbc_options)
+    finally:
+        std.unpersist()
+    return 1
+
+
+def _load_gold(std: DataFrame, batch_id: int, path, rejects_path, jdbc_options) -> None:
+    ok, rejected = split_gold(std)
     if jdbc_options:
         # Optional analytical-store load through the JDBC sink (needs the
         # store's driver). Appends by column name; at-least-once unless the
@@ -100,7 +116,6 @@ def write_gold(silver_batch: DataFrame, batch_id: int, path: str | None,
         publish_batch(gold_layout(ok), path, batch_id, partition_by=["event_month"])
     if rejects_path:
         publish_batch(rejected.drop("event_month"), rejects_path, batch_id)
-    return 1
 
 
 def write_recommendations(df: DataFrame, path: str) -> None:

@@ -167,13 +167,16 @@ def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None):
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  trigger=None, timeout: float | None = None, as_of=None,
-                 single_read: bool = False) -> None:
+                 single_read: bool = False, gold_trigger=None) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
     other to completion (tests, catch-up jobs). With a processing-time
     trigger all stages run concurrently and this call blocks until any of
     them stops or fails (a failure of any stage is raised, not ignored).
+    ``gold_trigger`` overrides the trigger of the gold load (e.g. a 10 s
+    processing-time trigger while bronze and silver run as fast as data
+    arrives).
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
@@ -185,7 +188,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     if available_now:
         qs[-1].awaitTermination()
     silver = stream_table(spark, paths.silver, _silver_schema())
-    qs.append(run_gold(silver, paths, trigger))
+    qs.append(run_gold(silver, paths, gold_trigger or trigger))
     if available_now:
         qs[-1].awaitTermination()
         return

@@ -84,3 +84,10 @@ def test_single_read_bronze_matches_two_queries(spark, tmp_root):
     run_pipeline(spark, raw, paths, trigger=NOW, as_of=lake.FIXED_AS_OF, single_read=True)
     assert _gold(spark, paths).count() == 801
     assert spark.read.parquet(paths.bronze_invalid).count() == 199
+
+
+def test_publish_batch_marker_commit(spark, tmp_root):
+    df = spark.range(3)
+    assert writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
+    assert not writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
+    assert spark.read.parquet(f"{tmp_root}/m").count() == 3
