@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.bronze import _as_of
+from encore.operators.skew import split_left_join
 
 
-def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None) -> DataFrame:
+def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
+           split_hot_keys: bool = False, max_hot_keys: int = 1000,
+           min_hot_rows: int = 1_000_000) -> DataFrame:
     """Left-join events to dim_users on user_id and to dim_songs on the
     trimmed song id; every event is kept (unmatched -> null attributes).
 
@@ -19,7 +22,14 @@ def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None) ->
     already trimmed when built, so only the event side is trimmed; the key
     expression is still an equi-join key. The event's own song_id is kept
     untrimmed in the output.
+
+    ``split_hot_keys`` joins keys holding a large share of the events
+    through a bounded broadcast (see ``operators.skew``); use it where AQE
+    cannot split a skewed join, e.g. against a cached, pre-partitioned
+    dimension.
     """
+    if split_hot_keys:
+        return _enrich_split(events, users, songs, as_of, max_hot_keys, min_hot_rows)
     e = events.alias("e")
     u = users.select("user_id", "user_name", "subscription_type", "country").alias("u")
     s = songs.select(F.col("song_id").alias("s_song_id"), "song_name", "artist_name", "genre").alias("s")
@@ -39,3 +49,17 @@ def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None) ->
         F.col("u.country").alias("country"),
         _as_of(as_of).alias("processed_at"),
     )
+
+
+def _enrich_split(events, users, songs, as_of, max_hot_keys, min_rows) -> DataFrame:
+    u = users.select(F.col("user_id").alias("_u_id"), "user_name", "subscription_type", "country")
+    s = songs.select(F.col("song_id").alias("_s_id"), "song_name", "artist_name", "genre")
+    ev = events.select(
+        "event_id", "user_id", "song_id", F.col("timestamp").alias("event_timestamp"),
+        "event_type")
+    j = split_left_join(ev, F.col("user_id"), u, "_u_id", max_hot_keys, min_rows)
+    j = split_left_join(j, F.trim(F.col("song_id")), s, "_s_id", max_hot_keys, min_rows)
+    return j.select(
+        "event_id", "user_id", "song_id", "user_name", "song_name", "artist_name", "genre",
+        "event_timestamp", "event_type", "subscription_type", "country",
+        _as_of(as_of).alias("processed_at"))
