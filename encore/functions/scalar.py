@@ -24,6 +24,9 @@ LABEL_SEPARATOR = " - "
 # A number as the old non-ANSI string->int cast accepted it: optional sign,
 # digits, optional fraction (truncated). Exponents and other text are null.
 _INT_TEXT = r"^[+-]?[0-9]+([.][0-9]*)?$"
+# Characters that cast trimmed from both ends before parsing: ASCII
+# control characters and space (0x00-0x20) and the C1 controls (0x7F-0x9F).
+_BLANKS = "".join(chr(c) for c in range(0x00, 0x21)) + "".join(chr(c) for c in range(0x7F, 0xA0))
 
 
 def _c(c) -> Column:
@@ -34,7 +37,7 @@ def to_int(c) -> Column:
     """Lenient text -> int: trims blanks, truncates a fraction ('3.9' -> 3),
     null for non-numbers and for values outside the int range. Never throws
     (Spark 4 runs ANSI mode, where a plain cast would fail the job)."""
-    t = F.trim(_c(c).cast("string"))
+    t = F.trim(_c(c).cast("string"), F.lit(_BLANKS))
     dec = t.try_cast("decimal(38,18)")
     return F.when(t.rlike(_INT_TEXT), dec.try_cast("int"))
 
