@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.bronze import _as_of
-from encore.operators.skew import split_left_join
+from encore.operators.skew import find_hot_keys
 
 
 def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
@@ -52,14 +52,38 @@ def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
 
 
 def _enrich_split(events, users, songs, as_of, max_hot_keys, min_rows) -> DataFrame:
-    u = users.select(F.col("user_id").alias("_u_id"), "user_name", "subscription_type", "country")
-    s = songs.select(F.col("song_id").alias("_s_id"), "song_name", "artist_name", "genre")
+    """Hot-key-split form of :func:`enrich`.
+
+    Hot user ids and hot song keys are found in one pass (bounded lists,
+    see ``operators.skew``). Without hot keys this is the plain plan. With
+    them, events are split by two ``isin`` flags; each class reads the input
+    once and takes, per dimension, the partitioned join (cold keys) or a
+    broadcast of the few hot dimension rows. No join output is recomputed.
+    """
+    sk = F.trim(F.col("song_id"))
+    hot = find_hot_keys(events, {"u": F.col("user_id"), "s": sk}, max_hot_keys, min_rows)
+    if not hot["u"] and not hot["s"]:
+        return enrich(events, users, songs, as_of=as_of)
     ev = events.select(
         "event_id", "user_id", "song_id", F.col("timestamp").alias("event_timestamp"),
-        "event_type")
-    j = split_left_join(ev, F.col("user_id"), u, "_u_id", max_hot_keys, min_rows)
-    j = split_left_join(j, F.trim(F.col("song_id")), s, "_s_id", max_hot_keys, min_rows)
-    return j.select(
+        "event_type", sk.alias("_sk"))
+    u = users.select("user_id", "user_name", "subscription_type", "country")
+    s = songs.select(F.col("song_id").alias("_sk"), "song_name", "artist_name", "genre")
+    hu = F.coalesce(F.col("user_id").cast("string").isin(hot["u"]), F.lit(False))
+    hs = F.coalesce(F.col("_sk").isin(hot["s"]), F.lit(False))
+    u_hot = F.broadcast(u.filter(F.col("user_id").cast("string").isin(hot["u"])))
+    s_hot = F.broadcast(s.filter(F.col("_sk").isin(hot["s"])))
+    parts = []
+    for user_hot in ([False, True] if hot["u"] else [False]):
+        for song_hot in ([False, True] if hot["s"] else [False]):
+            part = ev.filter((hu == F.lit(user_hot)) & (hs == F.lit(song_hot)))
+            part = part.join(u_hot if user_hot else u, "user_id", "left")
+            part = part.join(s_hot if song_hot else s, "_sk", "left")
+            parts.append(part)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(
         "event_id", "user_id", "song_id", "user_name", "song_name", "artist_name", "genre",
         "event_timestamp", "event_type", "subscription_type", "country",
         _as_of(as_of).alias("processed_at"))

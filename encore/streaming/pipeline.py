@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore import schemas
-from encore.operators.bronze import SOURCE_NAME, bronze
+from encore.operators.bronze import SOURCE_NAME, bronze, flag_valid, parse_events, split_valid
 from encore.operators.enrich import enrich
 from encore.sinks import fs, writers
 from encore.sinks.tables import resolve_current
@@ -69,13 +69,14 @@ def _run_bronze_single(raw: DataFrame, paths: LakePaths, trigger=None, as_of=Non
     guard_checkpoint(raw.sparkSession, paths.ckpt("bronze"), paths.bronze_valid)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        cached = df.persist()
+        # Parse once, keep the parsed rows for both outputs.
+        parsed = flag_valid(parse_events(df, source=SOURCE_NAME, as_of=as_of)).persist()
         try:
-            valid, invalid = bronze(cached, as_of=as_of, source=SOURCE_NAME)
+            valid, invalid = split_valid(parsed)
             writers.publish_batch(valid, paths.bronze_valid, batch_id, partition_by=["event_type"])
             writers.publish_batch(invalid, paths.bronze_invalid, batch_id)
         finally:
-            cached.unpersist()
+            parsed.unpersist()
 
     w = raw.writeStream.foreachBatch(_batch).option("checkpointLocation", paths.ckpt("bronze"))
     if trigger:

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from encore.operators.enrich import enrich
-from encore.operators.skew import hot_keys, split_left_join
+from encore.operators.skew import find_hot_keys, split_left_join
 
 
 def _facts(spark):
@@ -11,10 +11,12 @@ def _facts(spark):
 
 
 def test_hot_keys_bounded_and_found(spark):
-    f = _facts(spark).select(F.col("k").alias("_join_key"))
-    hot = [r[0] for r in hot_keys(f, max_hot_keys=3, min_rows=10).collect()]
-    assert hot == [1]
-    assert hot_keys(f, max_hot_keys=1000, min_rows=10).count() <= 1000
+    f = _facts(spark)
+    hot = find_hot_keys(f, {"k": F.col("k"), "m": F.col("id") % 2}, max_hot_keys=3, min_rows=10)
+    assert hot["k"] == ["1"]
+    assert sorted(hot["m"]) == ["0", "1"]
+    big = find_hot_keys(f, {"k": F.col("k")}, max_hot_keys=1000, min_rows=1)["k"]
+    assert len(big) <= 1000
 
 
 def test_split_join_equals_plain_join(spark):
