@@ -43,3 +43,9 @@ def test_enrich_split_equals_plain(spark):
                max_hot_keys=2, min_hot_rows=10)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_small_input_has_no_hot_keys(spark):
+    # fewer rows than min_rows: no key can be hot, the key count is skipped
+    f = _facts(spark)
+    assert find_hot_keys(f, {"k": F.col("k")}, max_hot_keys=3, min_rows=10_000) == {"k": []}
