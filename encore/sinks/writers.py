@@ -89,16 +89,24 @@ def write_gold(silver_batch: DataFrame, batch_id: int, path: str | None,
     """K4/K5: load one micro-batch of silver rows into gold.
 
     Empty batches are skipped; rows without event_id are dropped; rows with
-    an unparseable time go to ``rejects_path``; everything else is written
-    by name in the gold column order, partitioned by month and sorted by
-    (event_type, event_timestamp, user_id) within each file. Errors fail the
-    streaming query (the batch is retried), they are never swallowed.
+    an unparseable time go to ``rejects_path`` (a batch without such rows
+    writes nothing there); everything else is written by name in the gold
+    column order, partitioned by month and sorted by (event_type,
+    event_timestamp, user_id) within each file. Errors fail the streaming
+    query (the batch is retried), they are never swallowed.
     """
     std = standardize_gold(silver_batch).persist()  # read the batch once for all outputs
     try:
-        if std.isEmpty():
+        # One job sizes the batch and fills the cache the writes read.
+        keyed = F.col("event_id").isNotNull()
+        stats = std.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(keyed & F.col("event_timestamp").isNull(), 1)).alias("rejects"),
+        ).first()
+        if stats["rows"] == 0:
             return 0
-        _load_gold(std, batch_id, path, rejects_path, jdbc_options)
+        _load_gold(std, batch_id, path, rejects_path if stats["rejects"] else None,
+                   jdbc_options)
     finally:
         std.unpersist()
     return 1

@@ -45,3 +45,20 @@ def test_gold_defaults_types_and_rejects(spark):
     rj = rej.collect()
     assert [x.event_id for x in rj] == ["e4"] and rj[0].country == ""  # '' is not defaulted
     assert dict(ok.dtypes)["event_timestamp"] == "timestamp"
+
+
+def test_write_gold_batches_and_rejects(spark, tmp_root):
+    from encore.sinks import fs
+    from encore.sinks.writers import write_gold
+    ev, users, songs = _frames(spark)
+    silver = enrich(ev, users, songs, as_of="2024-02-01 00:00:00")
+    gold, rej = f"{tmp_root}/gold", f"{tmp_root}/rejects"
+    assert write_gold(silver.limit(0), 0, gold, rej) == 0          # empty batch: nothing
+    assert not fs.exists(spark, f"{gold}/batch_id=0")
+    assert write_gold(silver.filter(F.col("event_id") != "e4"), 1, gold, rej) == 1
+    assert fs.exists(spark, f"{gold}/batch_id=1")
+    assert not fs.exists(spark, f"{rej}/batch_id=1")                # no rejects, no output
+    assert write_gold(silver, 2, gold, rej) == 1
+    assert [r.event_id for r in spark.read.parquet(f"{rej}/batch_id=2").collect()] == ["e4"]
+    loaded = spark.read.parquet(gold)
+    assert sorted(r.event_id for r in loaded.collect()) == ["e1", "e1", "e2", "e2", "e3", "e3"]
