@@ -58,7 +58,12 @@ def flag_valid(df: DataFrame) -> DataFrame:
     cond = F.lit(True)
     for c in REQUIRED_FIELDS:
         cond = cond & F.col(c).isNotNull()
-    return df.withColumn("is_valid", cond)
+    out = df.withColumn("is_valid", cond)
+    if "raw_value" in df.columns:
+        # Only quarantined rows keep their payload, so a cached batch does
+        # not hold the message text of every valid event.
+        out = out.withColumn("raw_value", F.when(~F.col("is_valid"), F.col("raw_value")))
+    return out
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from encore.operators.skew import find_hot_keys
 
 def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
            split_hot_keys: bool = False, max_hot_keys: int = 1000,
-           min_hot_rows: int = 1_000_000) -> DataFrame:
+           min_hot_rows: int = 1_000_000, broadcast_dims: frozenset = frozenset()) -> DataFrame:
     """Left-join events to dim_users on user_id and to dim_songs on the
     trimmed song id; every event is kept (unmatched -> null attributes).
 
@@ -27,12 +27,17 @@ def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
     through a bounded broadcast (see ``operators.skew``); use it where AQE
     cannot split a skewed join, e.g. against a cached, pre-partitioned
     dimension.
+
+    ``broadcast_dims`` names the dimensions ("users", "songs") the caller
+    has checked to be small (e.g. by their row count); they are broadcast,
+    which leaves no shuffle to skew, so no hot-key pass runs for them.
     """
     if split_hot_keys:
-        return _enrich_split(events, users, songs, as_of, max_hot_keys, min_hot_rows)
+        return _enrich_split(events, users, songs, as_of, max_hot_keys, min_hot_rows,
+                             broadcast_dims)
     e = events.alias("e")
-    u = users.select("user_id", "user_name", "subscription_type", "country").alias("u")
-    s = songs.select(F.col("song_id").alias("s_song_id"), "song_name", "artist_name", "genre").alias("s")
+    u = _dim_users(users, broadcast_dims).alias("u")
+    s = _dim_songs(songs, broadcast_dims, "s_song_id").alias("s")
     j = (e.join(u, F.col("e.user_id") == F.col("u.user_id"), "left")
           .join(s, F.trim(F.col("e.song_id")) == F.col("s.s_song_id"), "left"))
     return j.select(
@@ -51,24 +56,42 @@ def enrich(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=None,
     )
 
 
-def _enrich_split(events, users, songs, as_of, max_hot_keys, min_rows) -> DataFrame:
+def _dim_users(users: DataFrame, broadcast_dims) -> DataFrame:
+    u = users.select("user_id", "user_name", "subscription_type", "country")
+    return F.broadcast(u) if "users" in broadcast_dims else u
+
+
+def _dim_songs(songs: DataFrame, broadcast_dims, key: str) -> DataFrame:
+    s = songs.select(F.col("song_id").alias(key), "song_name", "artist_name", "genre")
+    return F.broadcast(s) if "songs" in broadcast_dims else s
+
+
+def _enrich_split(events, users, songs, as_of, max_hot_keys, min_rows,
+                  broadcast_dims=frozenset()) -> DataFrame:
     """Hot-key-split form of :func:`enrich`.
 
     Hot user ids and hot song keys are found in one pass (bounded lists,
-    see ``operators.skew``). Without hot keys this is the plain plan. With
-    them, events are split by two ``isin`` flags; each class reads the input
-    once and takes, per dimension, the partitioned join (cold keys) or a
-    broadcast of the few hot dimension rows. No join output is recomputed.
+    see ``operators.skew``); a broadcast dimension needs no such pass.
+    Without hot keys this is the plain plan. With them, events are split by
+    two ``isin`` flags; each class reads the input once and takes, per
+    dimension, the partitioned join (cold keys) or a broadcast of the few
+    hot dimension rows. No join output is recomputed.
     """
     sk = F.trim(F.col("song_id"))
-    hot = find_hot_keys(events, {"u": F.col("user_id"), "s": sk}, max_hot_keys, min_rows)
+    probe = {}
+    if "users" not in broadcast_dims:
+        probe["u"] = F.col("user_id")
+    if "songs" not in broadcast_dims:
+        probe["s"] = sk
+    hot = find_hot_keys(events, probe, max_hot_keys, min_rows) if probe else {}
+    hot = {"u": hot.get("u", []), "s": hot.get("s", [])}
     if not hot["u"] and not hot["s"]:
-        return enrich(events, users, songs, as_of=as_of)
+        return enrich(events, users, songs, as_of=as_of, broadcast_dims=broadcast_dims)
     ev = events.select(
         "event_id", "user_id", "song_id", F.col("timestamp").alias("event_timestamp"),
         "event_type", sk.alias("_sk"))
-    u = users.select("user_id", "user_name", "subscription_type", "country")
-    s = songs.select(F.col("song_id").alias("_sk"), "song_name", "artist_name", "genre")
+    u = _dim_users(users, broadcast_dims)
+    s = _dim_songs(songs, broadcast_dims, "_sk")
     hu = F.coalesce(F.col("user_id").cast("string").isin(hot["u"]), F.lit(False))
     hs = F.coalesce(F.col("_sk").isin(hot["s"]), F.lit(False))
     u_hot = F.broadcast(u.filter(F.col("user_id").cast("string").isin(hot["u"])))

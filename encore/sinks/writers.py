@@ -3,9 +3,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from encore.functions import to_message
@@ -95,34 +96,35 @@ def write_gold(silver_batch: DataFrame, batch_id: int, path: str | None,
     event_timestamp, user_id) within each file. Errors fail the streaming
     query (the batch is retried), they are never swallowed.
     """
-    std = standardize_gold(silver_batch).persist()  # read the batch once for all outputs
-    try:
-        # One job sizes the batch and fills the cache the writes read.
-        keyed = F.col("event_id").isNotNull()
-        stats = std.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(keyed & F.col("event_timestamp").isNull(), 1)).alias("rejects"),
-        ).first()
-        if stats["rows"] == 0:
-            return 0
-        _load_gold(std, batch_id, path, rejects_path if stats["rejects"] else None,
-                   jdbc_options)
-    finally:
-        std.unpersist()
+    if silver_batch.isEmpty():  # reads only the first input split
+        return 0
+    _load_gold(standardize_gold(silver_batch), batch_id, path, rejects_path, jdbc_options)
     return 1
 
 
 def _load_gold(std: DataFrame, batch_id: int, path, rejects_path, jdbc_options) -> None:
-    ok, rejected = split_gold(std)
+    # The loadable rows are written in one pass over the batch; the same
+    # pass counts the rejects (observed metric), so the reject output costs
+    # a second pass only when the batch has rejects.
+    obs = Observation(f"gold_batch_{batch_id}_{uuid.uuid4().hex[:8]}")
+    keyed = F.col("event_id").isNotNull()
+    seen = std.observe(obs, F.count(F.when(keyed & F.col("event_timestamp").isNull(), 1))
+                       .alias("rejects"))
+    ok, rejected = split_gold(seen)
+    observed = False
     if jdbc_options:
         # Optional analytical-store load through the JDBC sink (needs the
         # store's driver). Appends by column name; at-least-once unless the
         # target deduplicates on (event_id, event_timestamp).
         (ok.drop("event_month").write.format("jdbc").options(**jdbc_options)
            .mode("append").save())
+        observed = True
     if path:
-        publish_batch(gold_layout(ok), path, batch_id, partition_by=["event_month"])
-    if rejects_path:
+        observed = publish_batch(gold_layout(ok), path, batch_id,
+                                 partition_by=["event_month"]) or observed
+    # A replayed batch (already published, so nothing ran) cannot tell;
+    # publish_batch itself skips the rejects if they were published too.
+    if rejects_path and (not observed or obs.get["rejects"] > 0):
         publish_batch(rejected.drop("event_month"), rejects_path, batch_id)
 
 

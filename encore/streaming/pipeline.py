@@ -103,47 +103,79 @@ def guard_checkpoint(spark: SparkSession, ckpt: str, table_root: str) -> None:
             "restore the checkpoint or write to a new table")
 
 
+# Dimensions of at most this many rows are broadcast to the micro-batch
+# join: about Spark's default 10 MB broadcast threshold at ~100 bytes per
+# dimension row. Larger ones stay hash-partitioned on their key in cache.
+DIM_BROADCAST_ROWS = 100_000
+
+
 class DimensionCache:
     """The current version of a dimension, read once per published version
-    and kept hash-partitioned on its join key, so a micro-batch join
-    shuffles only the events. A newer version replaces (and unpersists) the
-    old one; lost cached blocks are recomputed from the version files."""
-
-    def __init__(self, spark: SparkSession, root: str, key, partitions: int | None = None):
+    and counted (from parquet footers). A dimension larger than
+    ``broadcast_rows`` is kept hash-partitioned on its join key, so a
+    micro-batch join shuffles only the events; a smaller one is cached as
+    read and broadcast. A newer version replaces (and unpersists) the old
+    one; lost cached blocks are recomputed from the version files."""
+
+    def __init__(self, spark: SparkSession, root: str, key, partitions: int | None = None,
+                 broadcast_rows: int = DIM_BROADCAST_ROWS):
         self.spark, self.root, self.key = spark, root, key
         self.partitions = partitions
+        self.broadcast_rows = broadcast_rows
         self.path: str | None = None
         self.df: DataFrame | None = None
+        self.rows: int | None = None
+
+    @property
+    def small(self) -> bool:
+        """True when the current version is within the broadcast bound."""
+        return self.rows is not None and self.rows <= self.broadcast_rows
 
     def get(self) -> DataFrame:
         cur = resolve_current(self.spark, self.root)
         if cur != self.path:
-            n = self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            fresh = self.spark.read.parquet(cur).repartition(n, self.key).persist()
+            fresh = self.spark.read.parquet(cur)
+            rows = fresh.count()
+            if rows > self.broadcast_rows:
+                n = self.partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                fresh = fresh.repartition(n, self.key)
+            fresh = fresh.persist()
             if self.df is not None:
                 self.df.unpersist()
-            self.path, self.df = cur, fresh
+            self.path, self.df, self.rows = cur, fresh, rows
         return self.df
 
 
 def enrich_stream(valid_stream: DataFrame, paths: LakePaths, trigger=None, as_of=None,
-                  hot_key_rows: int = 1_000_000):
+                  hot_key_rows: int = 1_000_000, broadcast_rows: int = DIM_BROADCAST_ROWS):
     """X5 + J3: stream-static enrichment in which every micro-batch resolves
     the newest published dimension versions, so dimension updates are seen
-    by the next batch. Each enriched batch is published exactly once."""
+    by the next batch. Each enriched batch is published exactly once.
+
+    Dimensions within ``broadcast_rows`` (checked per version by their row
+    count) are broadcast: no shuffle, so no skew. Against a larger,
+    partitioned dimension AQE cannot split a skewed join, so hot keys are
+    split off explicitly (``operators.skew``)."""
     spark = valid_stream.sparkSession
-    users = DimensionCache(spark, paths.dim_users, F.col("user_id"))
-    songs = DimensionCache(spark, paths.dim_songs, F.col("song_id"))
+    users = DimensionCache(spark, paths.dim_users, F.col("user_id"),
+                           broadcast_rows=broadcast_rows)
+    songs = DimensionCache(spark, paths.dim_songs, F.col("song_id"),
+                           broadcast_rows=broadcast_rows)
     guard_checkpoint(spark, paths.ckpt("silver"), paths.silver)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
+        u, s = users.get(), songs.get()
+        small = frozenset(n for n, c in (("users", users), ("songs", songs)) if c.small)
+        if small == {"users", "songs"}:
+            # Both dimensions broadcast: one pass over the batch, nothing to split.
+            out = enrich(df, u, s, as_of=as_of, broadcast_dims=small)
+            writers.publish_batch(out, paths.silver, batch_id)
+            return
         # The batch is read once: the hot-key counts and the join share it.
-        # The cached dimensions are not shuffle stages, so AQE cannot split
-        # a skewed join against them; hot keys are split off explicitly.
         cached = df.persist()
         try:
-            out = enrich(cached, users.get(), songs.get(), as_of=as_of, split_hot_keys=True,
-                         min_hot_rows=hot_key_rows)
+            out = enrich(cached, u, s, as_of=as_of, split_hot_keys=True,
+                         min_hot_rows=hot_key_rows, broadcast_dims=small)
             writers.publish_batch(out, paths.silver, batch_id)
         finally:
             cached.unpersist()
@@ -177,7 +209,8 @@ def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None):
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  trigger=None, timeout: float | None = None, as_of=None,
-                 single_read: bool = False, gold_trigger=None) -> None:
+                 single_read: bool = False, gold_trigger=None,
+                 enrich_options: dict | None = None) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
@@ -186,7 +219,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     them stops or fails (a failure of any stage is raised, not ignored).
     ``gold_trigger`` overrides the trigger of the gold load (e.g. a 10 s
     processing-time trigger while bronze and silver run as fast as data
-    arrives).
+    arrives). ``enrich_options`` go to :func:`enrich_stream`
+    (``broadcast_rows``, ``hot_key_rows``).
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
@@ -194,7 +228,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
         for q in qs:
             q.awaitTermination()
     valid = stream_table(spark, paths.bronze_valid, _bronze_valid_schema())
-    qs.append(enrich_stream(valid, paths, trigger, as_of=as_of))
+    qs.append(enrich_stream(valid, paths, trigger, as_of=as_of, **(enrich_options or {})))
     if available_now:
         qs[-1].awaitTermination()
     silver = stream_table(spark, paths.silver, _silver_schema())

@@ -91,3 +91,20 @@ def test_publish_batch_marker_commit(spark, tmp_root):
     assert writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
     assert not writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
     assert spark.read.parquet(f"{tmp_root}/m").count() == 3
+
+
+def test_partitioned_dims_with_hot_keys_equal_batch(spark, tmp_root):
+    # No dimension may be broadcast and any key with 10+ events is hot, so
+    # micro-batches take the partitioned join with the hot-key split.
+    paths = LakePaths(tmp_root)
+    msgs = f"{tmp_root}/msgs"
+    writers.publish_messages(fixtures.event_messages(spark, SF), msgs)
+    upsert_table(build_dim_users(fixtures.users_landing(spark, SF)), paths.dim_users, ["user_id"])
+    upsert_table(build_dim_songs(fixtures.songs_landing(spark, SF)), paths.dim_songs, ["song_id"])
+    raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 2})
+    run_pipeline(spark, raw, paths, trigger=NOW, as_of=lake.FIXED_AS_OF,
+                 enrich_options={"broadcast_rows": 0, "hot_key_rows": 10})
+    streamed = _gold(spark, paths)
+    batch = lake.from_tables(spark, SF).gold.drop("processed_at")
+    assert streamed.count() == 801
+    assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
