@@ -43,8 +43,11 @@ def top_songs(gold: DataFrame, k: int = 5, day: str | None = None) -> DataFrame:
     g = gold.filter((F.col("event_type") == "PLAY") & (F.col("song_name") != ""))
     if day is not None:
         d = F.lit(day).cast("date")
+        ts = F.col("event_timestamp")
+        # A month-partition predicate plus a timestamp range (pushed to the
+        # parquet scan), rather than a to_date() comparison nothing can push.
         g = g.filter((F.col("event_month") == event_month(d))
-                     & (F.to_date("event_timestamp") == d))
+                     & (ts >= d.cast("timestamp")) & (ts < F.date_add(d, 1).cast("timestamp")))
     agg = g.groupBy("song_name", "artist_name").agg(F.count(F.lit(1)).alias("plays"))
     out = agg.select(song_label("song_name", "artist_name").alias("song"), "plays")
     return top_k(out, [F.col("plays").desc(), F.col("song").asc()], k)

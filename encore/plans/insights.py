@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions import song_label
+from encore.functions.scalar import event_month
 from encore.operators.topn import top_k
 
 EVENT_TYPES = ["PLAY", "SKIP", "LIKE"]
@@ -20,6 +21,16 @@ def _day() -> F.Column:
     return F.date_trunc("day", "event_timestamp")
 
 
+def _time_slice(lo: F.Column, hi: F.Column, lo_open: bool) -> F.Column:
+    """Events in (lo, hi] (``lo_open``) or [lo, hi), plus the matching
+    event_month range, so only the months touched are scanned. With a
+    scalar-subquery bound the month filter still prunes, at run time."""
+    ts = F.col("event_timestamp")
+    rng = ((ts > lo) & (ts <= hi)) if lo_open else ((ts >= lo) & (ts < hi))
+    m = F.col("event_month")
+    return rng & (m >= event_month(lo)) & (m <= event_month(hi))
+
+
 def _count_if(cond) -> F.Column:
     return F.count(F.when(cond, F.lit(1)))
 
@@ -92,7 +103,9 @@ def growing_artists(gold: DataFrame, k: int = 10, week: str | None = None) -> Da
     d = F.to_date("event_timestamp")
     cur = (d >= wk) & (d < F.date_add(wk, 7))
     prev = (d >= F.date_sub(wk, 7)) & (d < wk)
-    sl = gold.filter(_is("PLAY") & (cur | prev))
+    sl = gold.filter(_is("PLAY") & _time_slice(F.date_sub(wk, 7).cast("timestamp"),
+                                               F.date_add(wk, 7).cast("timestamp"), False)
+                     & (cur | prev))
     agg = sl.groupBy("artist_name").agg(_count_if(cur).alias("plays"),
                                          _count_if(prev).alias("prev_plays"))
     agg = agg.withColumn("growth", F.col("plays") - F.col("prev_plays"))
@@ -111,7 +124,7 @@ def trending_songs(gold: DataFrame, as_of=None, window_hours: int = 48, k: int =
     ts = F.col("event_timestamp")
     recent = (ts > start) & (ts <= end)
     older = (ts > before) & (ts <= start)
-    sl = gold.filter(_is("PLAY") & (recent | older))
+    sl = gold.filter(_is("PLAY") & _time_slice(before, end, True) & (recent | older))
     agg = sl.groupBy("song_name", "artist_name").agg(
         _count_if(recent).alias("recent_plays"), _count_if(older).alias("prev_plays"))
     agg = agg.select(song_label("song_name", "artist_name").alias("song"), "recent_plays",

@@ -48,3 +48,17 @@ def test_gold_scan_reads_only_needed_columns(spark, tmp_root):
 def test_fixture_scan_is_spread(spark):
     ev = fixtures.raw_events(spark, SF)
     assert ev.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_recent_window_queries_prune_months(spark, tmp_root):
+    from encore.plans import insights
+    g = _gold_table(spark, tmp_root)
+    for df in (insights.trending_songs(g, as_of="2024-01-20 00:00:00"),
+               insights.growing_artists(g, week="2024-01-15")):
+        sp = df._jdf.queryExecution().sparkPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_month" in sp and "<= 202401" in sp, sp
+    # default bounds come from a scalar subquery: the month filter prunes at run time
+    sp = insights.trending_songs(g)._jdf.queryExecution().sparkPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in sp and "scalar-subquery" in sp
+    sp = dashboard.top_songs(g, 5, day="2024-01-15")._jdf.queryExecution().sparkPlan().toString()
+    assert "(event_month#" in sp and "GreaterThanOrEqual(event_timestamp" in sp
