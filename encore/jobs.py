@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from encore import schemas
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert_table
-from encore.plans.recommend import recommend
+from encore.plans.recommend import recommend, recommend_from
 from encore.sinks.writers import write_recommendations
 from encore.sources.readers import event_stream, read_gold, read_songs, read_users
-from encore.streaming.pipeline import LakePaths, run_pipeline
+from encore.streaming.pipeline import LakePaths, read_recommendation_inputs, run_pipeline
 
 
 def dimension_job(spark: SparkSession, lake: str, songs_path: str, users_path: str,
@@ -34,22 +34,30 @@ def dimension_job(spark: SparkSession, lake: str, songs_path: str, users_path: s
 def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
                   source_options: dict | None = None, source_path: str | None = None,
                   trigger: dict | None = None, timeout: float | None = None,
-                  single_read: bool = False) -> None:
+                  single_read: bool = False, recommendation_inputs: bool = False) -> None:
     """Messages -> bronze -> silver -> gold until stopped (or to completion
-    with ``trigger={'availableNow': True}``)."""
+    with ``trigger={'availableNow': True}``). ``recommendation_inputs`` also
+    keeps the play counts and active users current from the gold table."""
     raw = event_stream(spark, source_format, source_options, path=source_path)
     run_pipeline(spark, raw, LakePaths(lake), trigger=trigger, timeout=timeout,
                  single_read=single_read,
-                 gold_trigger=None if trigger else {"processingTime": "10 seconds"})
+                 gold_trigger=None if trigger else {"processingTime": "10 seconds"},
+                 recommendation_inputs=recommendation_inputs)
 
 
 def recommendation_job(spark: SparkSession, lake: str, n: int = 3,
-                       fallback: str = "first_country", as_of=None) -> DataFrame:
+                       fallback: str = "first_country", as_of=None,
+                       incremental: bool = False) -> DataFrame:
     """Gold -> one new recommendation generation appended to the
-    recommendations table (readers take the newest row per user)."""
+    recommendations table (readers take the newest row per user).
+    ``incremental`` reads the play counts and active users kept current by
+    the streaming job (``--recommendation-inputs``) instead of all of gold."""
     paths = LakePaths(lake)
-    gold = read_gold(spark, paths.gold)
-    recs = recommend(gold, n=n, fallback=fallback, as_of=as_of)
+    if incremental:
+        plays, users = read_recommendation_inputs(spark, paths)
+        recs = recommend_from(plays, users, n=n, fallback=fallback, as_of=as_of)
+    else:
+        recs = recommend(read_gold(spark, paths.gold), n=n, fallback=fallback, as_of=as_of)
     write_recommendations(recs, paths.recommendations)
     return spark.read.schema(schemas.RECOMMENDATIONS).parquet(paths.recommendations)
 
@@ -70,6 +78,10 @@ def main(argv=None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--n", type=int, default=3)
     ap.add_argument("--fallback", default="first_country")
+    ap.add_argument("--recommendation-inputs", action="store_true",
+                    help="stream: keep play counts / active users current")
+    ap.add_argument("--incremental", action="store_true",
+                    help="recommend: read the streamed play counts / active users")
     a = ap.parse_args(argv)
     spark = get_session(app=f"encore-{a.job}")
     if a.job == "dimensions":
@@ -78,13 +90,15 @@ def main(argv=None) -> None:
         trig = {"availableNow": True} if a.available_now else None
         if a.messages:
             streaming_job(spark, a.lake, "text", source_path=a.messages, trigger=trig,
-                          single_read=a.single_read)
+                          single_read=a.single_read,
+                          recommendation_inputs=a.recommendation_inputs)
         else:
             streaming_job(spark, a.lake, "kafka",
                           {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic},
-                          trigger=trig, single_read=a.single_read)
+                          trigger=trig, single_read=a.single_read,
+                          recommendation_inputs=a.recommendation_inputs)
     else:
-        recommendation_job(spark, a.lake, a.n, a.fallback)
+        recommendation_job(spark, a.lake, a.n, a.fallback, incremental=a.incremental)
 
 
 if __name__ == "__main__":

@@ -274,6 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_gold": streams.streaming_gold,
     "streaming_trend": streams.streaming_trend,
     "streaming_dedupe": streams.streaming_dedupe,
+    "recommendations_incremental": streams.recommendations_incremental,
 }
 
 

@@ -159,6 +159,8 @@ ORACLE = {
         SELECT country, song_name, artist_name, plays FROM plays
         ORDER BY country, plays DESC, song_name, artist_name""",
     "recommendations": "SELECT * FROM " + _recs_sql("true"),
+    # the streamed inputs must give exactly the batch recommendations
+    "recommendations_incremental": "SELECT * FROM " + _recs_sql("true"),
     "latest_recommendations": _LATEST,
     "user_recommendations": f"""
         SELECT user_name, rank, song, updated_at FROM ({_LATEST}) l WHERE user_id = 7""",

@@ -19,8 +19,10 @@ def _play_order() -> list:
 def active_users(gold: DataFrame) -> DataFrame:
     """Distinct (user_id, user_name, country) with user_id > 0 and a
     non-empty name."""
+    # dropDuplicates over all columns: the same plan as distinct() in batch,
+    # and a supported (append-mode) deduplication on a stream.
     return (gold.filter((F.col("user_id") > 0) & (F.col("user_name") != ""))
-                .select("user_id", "user_name", "country").distinct())
+                .select("user_id", "user_name", "country").dropDuplicates())
 
 
 def plays_by_country(gold: DataFrame) -> DataFrame:
@@ -39,18 +41,32 @@ def _label_list(key_cols: list) -> F.Column:
 
 def recommend(gold: DataFrame, n: int = 3, fallback: str = "first_country",
               as_of=None) -> DataFrame:
+    """R3 over the gold table: :func:`recommend_from` of its play counts
+    (R2) and active users (R1)."""
+    return recommend_from(plays_by_country(gold), active_users(gold), n=n, fallback=fallback,
+                          as_of=as_of)
+
+
+def recommend_from(plays: DataFrame, users: DataFrame, n: int = 3,
+                   fallback: str = "first_country", as_of=None) -> DataFrame:
     """For each active user the top n songs of their country; users whose
     country has no plays get the fallback list. ``fallback="first_country"``
     is the first n rows of the (country, plays desc) ranking, i.e. the top of
     the alphabetically first country; ``"global"`` is the overall top n.
     No output when there are no users or no plays.
 
-    Plan: partial aggregation of plays, a partial+final window group limit
-    for the per-country top n, one small array per country joined to the
-    users, and the fallback as a one-row scalar subquery (bounded to one
-    array of n labels) -- no cross join, nothing collected to the driver.
+    ``plays`` holds PLAY counts per (country, song_name, artist_name) and
+    ``users`` the distinct (user_id, user_name, country) rows: computed from
+    gold, or kept current per micro-batch by
+    ``streaming.pipeline.run_recommendation_inputs`` so that this job reads
+    tables sized by songs and users instead of the event history.
+
+    Plan: a partial+final window group limit for the per-country top n,
+    one small array per country joined to the users, and the fallback as a
+    one-row scalar subquery (bounded to one array of n labels) -- no cross
+    join, nothing collected to the driver.
     """
-    plays = plays_by_country(gold).withColumn("label", song_label("song_name", "artist_name"))
+    plays = plays.withColumn("label", song_label("song_name", "artist_name"))
     top = top_n_per_group(plays, ["country"], _play_order(), n)
     per_country = top.groupBy("country").agg(
         _label_list(["rank"]).alias("country_songs"))
@@ -64,7 +80,6 @@ def recommend(gold: DataFrame, n: int = 3, fallback: str = "first_country",
         fb = head.agg(_label_list([neg, "song_name", "artist_name"]).alias("a"))
     else:
         raise ValueError(f"unknown fallback {fallback!r}")
-    users = active_users(gold)
     recs = users.join(per_country, "country", "left").select(
         F.col("user_id").cast("int").alias("user_id"), "user_name",
         F.coalesce(F.col("country_songs"), fb.scalar()).alias("recommended_songs"),
@@ -79,5 +94,6 @@ def recommendation_rows(recs: DataFrame) -> DataFrame:
         "user_id", "user_name", (F.col("pos") + 1).alias("rank"), "song")
 
 
-__all__ = ["active_users", "plays_by_country", "recommend", "recommendation_rows",
+__all__ = ["active_users", "plays_by_country", "recommend", "recommend_from",
+           "recommendation_rows",
            "latest_recommendations"]

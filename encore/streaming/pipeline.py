@@ -12,7 +12,7 @@ from encore import schemas
 from encore.operators.bronze import SOURCE_NAME, bronze, flag_valid, parse_events, split_valid
 from encore.operators.enrich import enrich
 from encore.sinks import fs, writers
-from encore.sinks.tables import resolve_current
+from encore.sinks.tables import resolve_current, table_exists
 from encore.sources.readers import stream_table
 
 
@@ -41,6 +41,10 @@ class LakePaths:
     def gold_rejects(self): return self._p("gold/rejects")
     @property
     def recommendations(self): return self._p("gold/user_recommendations")
+    @property
+    def play_counts(self): return self._p("gold/play_counts")
+    @property
+    def active_users(self): return self._p("gold/active_users")
 
     def ckpt(self, name: str) -> str:
         return self._p(f"_checkpoints/{name}")
@@ -96,6 +100,10 @@ def guard_checkpoint(spark: SparkSession, ckpt: str, table_root: str) -> None:
     checkpoint, so the skip-if-published rule would silently drop data."""
     if fs.exists(spark, f"{ckpt.rstrip('/')}/metadata"):
         return
+    if table_exists(spark, table_root) or fs.exists(spark, f"{table_root}/_spark_metadata"):
+        raise RuntimeError(
+            f"{table_root} already holds output but checkpoint {ckpt} is new; "
+            "restore the checkpoint or write to a new table")
     published = [d for d in fs.list_dirs(spark, table_root) if d.startswith("batch_id=")]
     if published:
         raise RuntimeError(
@@ -210,7 +218,8 @@ def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None):
 def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  trigger=None, timeout: float | None = None, as_of=None,
                  single_read: bool = False, gold_trigger=None,
-                 enrich_options: dict | None = None) -> None:
+                 enrich_options: dict | None = None,
+                 recommendation_inputs: bool = False) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
@@ -220,7 +229,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     ``gold_trigger`` overrides the trigger of the gold load (e.g. a 10 s
     processing-time trigger while bronze and silver run as fast as data
     arrives). ``enrich_options`` go to :func:`enrich_stream`
-    (``broadcast_rows``, ``hot_key_rows``).
+    (``broadcast_rows``, ``hot_key_rows``). ``recommendation_inputs`` adds
+    the two stateful queries of :func:`run_recommendation_inputs` on gold.
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
@@ -235,6 +245,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     qs.append(run_gold(silver, paths, gold_trigger or trigger))
     if available_now:
         qs[-1].awaitTermination()
+    if recommendation_inputs:
+        gold = stream_table(spark, paths.gold, gold_stream_schema())
+        inputs = run_recommendation_inputs(gold, paths, gold_trigger or trigger)
+        qs.extend(inputs)
+        if available_now:
+            for q in inputs:
+                q.awaitTermination()
+    if available_now:
         return
     spark.streams.awaitAnyTermination(timeout)
     for q in qs:
@@ -242,6 +260,61 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
             raise q.exception()
 
 
+PLAY_COUNT_KEYS = ["country", "song_name", "artist_name"]
+
+
+def gold_stream_schema():
+    """Gold as published by :func:`run_gold` (``batch_id=<n>/event_month=<m>``)."""
+    return schemas.T.StructType(schemas.GOLD.fields + [
+        schemas.T.StructField("batch_id", schemas.T.LongType())])
+
+
+def run_recommendation_inputs(gold_stream: DataFrame, paths: LakePaths, trigger=None):
+    """Keep the two inputs of the recommendation job current per micro-batch,
+    so the hourly job reads tables sized by (country, song) groups and users
+    rather than the whole event history.
+
+    * PLAY counts per (country, song_name, artist_name): a stateful
+      streaming aggregation (partial aggregation per batch, one state row per
+      group) in update mode. Each batch upserts the changed groups' absolute
+      counts into a versioned table, so a replayed batch writes the same
+      values again (idempotent).
+    * Active users: streaming deduplication of (user_id, user_name, country)
+      in append mode into a parquet file sink (exactly once through the
+      sink's own log).
+
+    Both keep their state in checkpoints under the lake; a new checkpoint
+    over an existing output is refused (the counts would restart at 0).
+    Returns the two streaming queries.
+    """
+    from encore.operators.dims import upsert_table
+    from encore.plans.recommend import active_users, plays_by_country
+
+    spark = gold_stream.sparkSession
+    guard_checkpoint(spark, paths.ckpt("play_counts"), paths.play_counts)
+    guard_checkpoint(spark, paths.ckpt("active_users"), paths.active_users)
+
+    def _counts(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            upsert_table(df, paths.play_counts, PLAY_COUNT_KEYS)
+
+    w1 = (plays_by_country(gold_stream).writeStream.outputMode("update").foreachBatch(_counts)
+          .option("checkpointLocation", paths.ckpt("play_counts")))
+    w2 = (active_users(gold_stream).writeStream.format("parquet").outputMode("append")
+          .option("checkpointLocation", paths.ckpt("active_users")))
+    if trigger:
+        w1, w2 = w1.trigger(**trigger), w2.trigger(**trigger)
+    return [w1.start(), w2.start(paths.active_users)]
+
+
+def read_recommendation_inputs(spark: SparkSession, paths: LakePaths) -> tuple[DataFrame, DataFrame]:
+    """(play counts, active users) as kept by :func:`run_recommendation_inputs`."""
+    plays = spark.read.parquet(resolve_current(spark, paths.play_counts))
+    users = spark.read.schema("user_id int, user_name string, country string").parquet(
+        paths.active_users)
+    return plays, users
+
+
 def with_event_time(gold: DataFrame) -> DataFrame:
     """Event time as TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
     return gold.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))

@@ -24,7 +24,7 @@ def test_jobs_end_to_end(spark, tmp_root):
                        songs_multiline=False)
     assert read_table(spark, paths.dim_songs).count() == fixtures.songs_landing(spark, SF).count()
     jobs.streaming_job(spark, tmp_root, "text", source_path=f"{land}/messages",
-                       trigger={"availableNow": True})
+                       trigger={"availableNow": True}, recommendation_inputs=True)
     assert spark.read.parquet(paths.gold).count() == 801
     jobs.recommendation_job(spark, tmp_root, as_of="2024-01-31 00:00:00")
     recs = jobs.recommendation_job(spark, tmp_root, as_of="2024-02-01 00:00:00")
@@ -32,3 +32,9 @@ def test_jobs_end_to_end(spark, tmp_root):
     cur = latest_recommendations(recs)
     assert cur.count() == 14
     assert cur.filter(F.col("updated_at") != F.lit("2024-02-01 00:00:00").cast("timestamp")).count() == 0
+    # the same generation from the streamed play counts and active users
+    inc = jobs.recommendation_job(spark, tmp_root, as_of="2024-02-02 00:00:00", incremental=True)
+    gen = F.col("updated_at")
+    new = inc.filter(gen == F.lit("2024-02-02 00:00:00").cast("timestamp")).drop("updated_at")
+    old = inc.filter(gen == F.lit("2024-02-01 00:00:00").cast("timestamp")).drop("updated_at")
+    assert new.count() == 14 and new.exceptAll(old).count() == 0

@@ -108,3 +108,42 @@ def test_partitioned_dims_with_hot_keys_equal_batch(spark, tmp_root):
     batch = lake.from_tables(spark, SF).gold.drop("processed_at")
     assert streamed.count() == 801
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
+
+
+def test_recommendation_inputs_track_gold(spark, tmp_root):
+    import pytest
+    from encore.plans.recommend import active_users, plays_by_country
+    from encore.sinks import fs
+    from encore.streaming.pipeline import (
+        gold_stream_schema, read_recommendation_inputs, run_recommendation_inputs,
+    )
+    from encore.sources.readers import stream_table
+    paths = LakePaths(tmp_root)
+    msgs = f"{tmp_root}/msgs"
+    writers.publish_messages(fixtures.event_messages(spark, SF), msgs)
+    upsert_table(build_dim_users(fixtures.users_landing(spark, SF)), paths.dim_users, ["user_id"])
+    upsert_table(build_dim_songs(fixtures.songs_landing(spark, SF)), paths.dim_songs, ["song_id"])
+    raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 2})
+    run_pipeline(spark, raw, paths, trigger=NOW, as_of=lake.FIXED_AS_OF)
+    one_file = stream_table(spark, paths.gold, gold_stream_schema(), max_files=1)
+    for q in run_recommendation_inputs(one_file, paths, trigger=NOW):
+        q.awaitTermination()
+    versions = [d for d in fs.list_dirs(spark, paths.play_counts) if d.startswith("v=")]
+    assert len(versions) > 1                       # counts merged over several batches
+    plays, users = read_recommendation_inputs(spark, paths)
+    gold = _gold(spark, paths)
+    exp_plays, exp_users = plays_by_country(gold), active_users(gold)
+    assert plays.count() == exp_plays.count() and users.count() == exp_users.count() == 14
+    assert plays.exceptAll(exp_plays.select(*plays.columns)).count() == 0
+    assert users.exceptAll(exp_users.select(*users.columns)).count() == 0
+    # restart: same checkpoints, nothing new, same tables
+    gs = stream_table(spark, paths.gold, gold_stream_schema())
+    for q in run_recommendation_inputs(gs, paths, trigger=NOW):
+        q.awaitTermination()
+    plays2, users2 = read_recommendation_inputs(spark, paths)
+    assert plays2.exceptAll(plays).count() == 0 and users2.count() == users.count()
+    # a fresh checkpoint over the existing counts would restart them at 0
+    other = LakePaths(tmp_root)
+    other.ckpt = lambda name: f"{tmp_root}/_other_ckpt/{name}"
+    with pytest.raises(RuntimeError):
+        run_recommendation_inputs(gs, other, trigger=NOW)
