@@ -42,7 +42,8 @@ def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
     run_pipeline(spark, raw, LakePaths(lake), trigger=trigger, timeout=timeout,
                  single_read=single_read,
                  gold_trigger=None if trigger else {"processingTime": "10 seconds"},
-                 recommendation_inputs=recommendation_inputs)
+                 recommendation_inputs=recommendation_inputs,
+                 inputs_trigger=None if trigger else {"processingTime": "5 minutes"})
 
 
 def recommendation_job(spark: SparkSession, lake: str, n: int = 3,

@@ -219,7 +219,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  trigger=None, timeout: float | None = None, as_of=None,
                  single_read: bool = False, gold_trigger=None,
                  enrich_options: dict | None = None,
-                 recommendation_inputs: bool = False) -> None:
+                 recommendation_inputs: bool = False, inputs_trigger=None) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
@@ -230,7 +230,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     processing-time trigger while bronze and silver run as fast as data
     arrives). ``enrich_options`` go to :func:`enrich_stream`
     (``broadcast_rows``, ``hot_key_rows``). ``recommendation_inputs`` adds
-    the two stateful queries of :func:`run_recommendation_inputs` on gold.
+    the two stateful queries of :func:`run_recommendation_inputs` on gold,
+    with ``inputs_trigger`` (default: the gold trigger).
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
@@ -247,7 +248,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
         qs[-1].awaitTermination()
     if recommendation_inputs:
         gold = stream_table(spark, paths.gold, gold_stream_schema())
-        inputs = run_recommendation_inputs(gold, paths, gold_trigger or trigger)
+        inputs = run_recommendation_inputs(gold, paths, inputs_trigger or gold_trigger or trigger)
         qs.extend(inputs)
         if available_now:
             for q in inputs:
@@ -285,6 +286,9 @@ def run_recommendation_inputs(gold_stream: DataFrame, paths: LakePaths, trigger=
 
     Both keep their state in checkpoints under the lake; a new checkpoint
     over an existing output is refused (the counts would restart at 0).
+    Each counts batch publishes a full new version (size: the number of
+    groups), so run these queries on a slower trigger than gold (minutes):
+    the state accumulates between triggers, nothing is lost.
     Returns the two streaming queries.
     """
     from encore.operators.dims import upsert_table
