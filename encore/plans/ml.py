@@ -31,19 +31,27 @@ def dense_ids(keys: DataFrame, key: str, id_col: str = "idx") -> DataFrame:
 
 def als_recommend(gold: DataFrame, n: int = 3, rank: int = 10, max_iter: int = 5,
                   reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
-    """Top-n songs per user from an implicit ALS model fitted on PLAY counts
-    per (user, song). Returns (user_id, rank, song_id, score)."""
+    """Top-n songs per user by the preference of an implicit ALS model
+    fitted on PLAY counts per (user, song). Returns (user_id, rank,
+    song_id, score).
+
+    Only observed (user, song) pairs are scored: ``model.transform`` joins
+    them to the user and song factors on their ids. Scoring every user
+    against every song (``recommendForAllUsers``, a blocked cross join of the
+    factor tables) costs O(users x songs) and is not used. The per-user top
+    n is a window group limit, so a user with a third of all pairs ships at
+    most n rows per map partition."""
     from pyspark.ml.recommendation import ALS
 
+    from encore.operators.topn import top_n_per_group
+
     plays = (gold.filter((F.col("event_type") == "PLAY") & F.col("user_id").isNotNull())
                  .groupBy("user_id", "song_id").agg(F.count(F.lit(1)).cast("float").alias("plays")))
     ids = dense_ids(plays, "song_id", "item")
-    data = plays.join(ids, "song_id").select("user_id", "item", "plays")
+    data = plays.join(ids, "song_id").select("user_id", "item", "song_id", "plays")
     model = ALS(userCol="user_id", itemCol="item", ratingCol="plays", implicitPrefs=True,
                 rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed,
                 coldStartStrategy="drop", checkpointInterval=2).fit(data)
-    recs = model.recommendForAllUsers(n)
-    out = recs.select("user_id", F.posexplode("recommendations").alias("pos", "r"))
-    out = out.select("user_id", (F.col("pos") + 1).alias("rank"),
-                     F.col("r.item").alias("item"), F.col("r.rating").alias("score"))
-    return out.join(ids, "item").select("user_id", "rank", "song_id", "score")
+    scored = model.transform(data).select("user_id", "song_id",
+                                          F.col("prediction").alias("score"))
+    return top_n_per_group(scored, ["user_id"], [F.col("score").desc(), F.col("song_id")], n)
