@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore import schemas
+from encore.sinks import fs
 from encore.sinks.tables import resolve_current
 
 
@@ -71,7 +72,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
-    """A parquet table as a streaming source (bronze -> silver -> gold)."""
+    """A parquet table as a streaming source (bronze -> silver -> gold).
+    The table directory is created when missing: with concurrent stages on
+    a new lake, the downstream stream starts before the upstream one has
+    written anything."""
+    fs.mkdirs(spark, path)
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
