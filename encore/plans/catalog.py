@@ -120,8 +120,7 @@ def recommendation_table(gold: DataFrame) -> DataFrame:
 
 def q_latest_recommendations(spark, sf_dir):
     cur = dashboard.latest_recommendations(recommendation_table(_gold(spark, sf_dir)))
-    return recommend.recommendation_rows(cur).join(
-        cur.select("user_id", "updated_at"), "user_id")
+    return recommend.recommendation_rows(cur, keep=("updated_at",))
 
 
 def q_user_recommendations(spark, sf_dir):

@@ -87,11 +87,12 @@ def recommend_from(plays: DataFrame, users: DataFrame, n: int = 3,
     return recs.filter(F.size("recommended_songs") > 0)
 
 
-def recommendation_rows(recs: DataFrame) -> DataFrame:
-    """Recommendations exploded to (user_id, user_name, rank, song)."""
+def recommendation_rows(recs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Recommendations exploded to (user_id, user_name, rank, song), plus
+    the ``keep`` columns of each list (e.g. updated_at)."""
     return recs.select("user_id", "user_name",
-                       F.posexplode("recommended_songs").alias("pos", "song")).select(
-        "user_id", "user_name", (F.col("pos") + 1).alias("rank"), "song")
+                       F.posexplode("recommended_songs").alias("pos", "song"), *keep).select(
+        "user_id", "user_name", (F.col("pos") + 1).alias("rank"), "song", *keep)
 
 
 __all__ = ["active_users", "plays_by_country", "recommend", "recommend_from",
