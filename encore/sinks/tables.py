@@ -47,13 +47,18 @@ def table_exists(spark: SparkSession, root: str) -> bool:
 
 
 def publish_version(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of the table and return its path."""
+    """Write ``df`` as the next version of the table and return its path.
+
+    The next number skips every existing version directory, committed or
+    left by a failed attempt, so the target never exists; a concurrent
+    second writer picking the same number fails instead of overwriting.
+    Tables have one writer (a job or one streaming query)."""
     spark = df.sparkSession
     root = root.rstrip("/")
     vs = _versions(spark, root)
     nxt = (vs[-1] + 1) if vs else 0
     path = f"{root}/{_PREFIX}{nxt:06d}"
-    w = df.write.mode("overwrite")
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
