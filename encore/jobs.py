@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from encore import schemas
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert_table
 from encore.plans.recommend import recommend, recommend_from
+from encore.sinks.tables import prune_versions
 from encore.sinks.writers import write_recommendations
 from encore.sources.readers import event_stream, read_gold, read_songs, read_users
 from encore.streaming.pipeline import LakePaths, read_recommendation_inputs, run_pipeline
@@ -27,8 +28,11 @@ def dimension_job(spark: SparkSession, lake: str, songs_path: str, users_path: s
     paths = LakePaths(lake)
     songs = build_dim_songs(read_songs(spark, songs_path, multiline=songs_multiline))
     users = build_dim_users(read_users(spark, users_path))
-    return (upsert_table(songs, paths.dim_songs, ["song_id"]),
-            upsert_table(users, paths.dim_users, ["user_id"]))
+    out = (upsert_table(songs, paths.dim_songs, ["song_id"]),
+           upsert_table(users, paths.dim_users, ["user_id"]))
+    for root in (paths.dim_songs, paths.dim_users):
+        prune_versions(spark, root)
+    return out
 
 
 def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",

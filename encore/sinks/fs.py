@@ -61,3 +61,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return "\n".join(lines)
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursive delete (a no-op when absent)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def modified_ms(spark: SparkSession, path: str) -> int | None:
+    """Modification time (epoch ms), or None when absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return int(fs.getFileStatus(p).getModificationTime())

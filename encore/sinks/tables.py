@@ -63,3 +63,31 @@ def publish_version(df: DataFrame, root: str, partition_by: list[str] | None = N
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 3,
+                   min_age_seconds: float = 3600.0) -> list[str]:
+    """Retention: delete versions beyond the newest ``keep`` committed ones
+    whose commit is older than ``min_age_seconds`` (so a reader that
+    resolved a recent older version is not disturbed). Directories of
+    failed attempts below the oldest kept version go too. Returns the
+    deleted paths."""
+    import time
+
+    root = root.rstrip("/")
+    vs = _versions(spark, root)
+    committed = [v for v in vs if fs.exists(spark, f"{root}/{_PREFIX}{v:06d}/_SUCCESS")]
+    if len(committed) <= keep:
+        return []
+    oldest_kept = committed[-keep] if keep > 0 else committed[-1] + 1
+    now_ms = time.time() * 1000.0
+    deleted = []
+    for v in vs:
+        if v >= oldest_kept:
+            break
+        path = f"{root}/{_PREFIX}{v:06d}"
+        mtime = fs.modified_ms(spark, f"{path}/_SUCCESS") or fs.modified_ms(spark, path) or 0
+        if now_ms - mtime >= min_age_seconds * 1000.0:
+            fs.delete(spark, path)
+            deleted.append(path)
+    return deleted

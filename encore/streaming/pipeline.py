@@ -12,7 +12,7 @@ from encore import schemas
 from encore.operators.bronze import SOURCE_NAME, bronze, flag_valid, parse_events, split_valid
 from encore.operators.enrich import enrich
 from encore.sinks import fs, writers
-from encore.sinks.tables import resolve_current, table_exists
+from encore.sinks.tables import prune_versions, resolve_current, table_exists
 from encore.sources.readers import stream_table
 
 
@@ -301,6 +301,7 @@ def run_recommendation_inputs(gold_stream: DataFrame, paths: LakePaths, trigger=
     def _counts(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
             upsert_table(df, paths.play_counts, PLAY_COUNT_KEYS)
+            prune_versions(spark, paths.play_counts)
 
     w1 = (plays_by_country(gold_stream).writeStream.outputMode("update").foreachBatch(_counts)
           .option("checkpointLocation", paths.ckpt("play_counts")))

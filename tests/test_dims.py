@@ -52,3 +52,18 @@ def test_upsert_table_versions(spark, tmp_root):
     upsert_table(spark.createDataFrame([(2, "B")], "k int, v string"), path, ["k"])
     cur2 = sorted(tuple(r) for r in spark.read.parquet(resolve_current(spark, path)).collect())
     assert cur2 == cur
+
+
+def test_prune_versions_keeps_newest(spark, tmp_root):
+    from encore.sinks import fs
+    from encore.sinks.tables import prune_versions, publish_version
+    root = f"{tmp_root}/t"
+    for i in range(5):
+        publish_version(spark.range(i + 1), root)
+    fs.mkdirs(spark, f"{root}/v=000005")                  # a failed attempt (no _SUCCESS)
+    assert prune_versions(spark, root, keep=2) == []      # all too recent by default
+    cur = resolve_current(spark, root)
+    gone = prune_versions(spark, root, keep=2, min_age_seconds=0)
+    assert [g.rsplit("/", 1)[1] for g in gone] == ["v=000000", "v=000001", "v=000002"]
+    assert resolve_current(spark, root) == cur and spark.read.parquet(cur).count() == 5
+    assert sorted(d for d in fs.list_dirs(spark, root)) == ["v=000003", "v=000004", "v=000005"]
