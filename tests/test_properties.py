@@ -57,3 +57,39 @@ def test_bronze_split_partitions_input(spark, msgs):
     nv, ni = valid.count(), invalid.count()
     assert nv + ni == len(msgs)
     assert valid.filter("event_id is null or user_id is null or song_id is null").count() == 0
+
+
+PLAYS = st.dictionaries(
+    st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["s1", "s2", "s3", "s4"]),
+              st.sampled_from(["a1", "a2"])),
+    st.integers(1, 4), max_size=14)
+USERS = st.dictionaries(st.integers(1, 8), st.sampled_from(["A", "B", "C", "D"]),
+                        min_size=1, max_size=6)
+
+
+def recommend_model(plays, users, n):
+    """Brute force: each user's country top n by (plays desc, song, artist),
+    else the first n rows of the (country, plays desc, song, artist) order."""
+    def label(k):
+        return f"{k[1]} - {k[2]}"
+    order = sorted(plays, key=lambda k: (k[0], -plays[k], k[1], k[2]))
+    fallback = [label(k) for k in order[:n]]
+    out = set()
+    for uid, country in users.items():
+        mine = [label(k) for k in order if k[0] == country][:n] or fallback
+        for r, song in enumerate(mine, 1):
+            out.add((uid, f"u{uid}", r, song))
+    return out
+
+
+@settings(max_examples=6, deadline=None)
+@given(PLAYS, USERS, st.integers(1, 3))
+def test_recommend_from_matches_brute_force(spark, plays, users, n):
+    from encore.plans.recommend import recommend_from, recommendation_rows
+    p = spark.createDataFrame([(c, s, a, v) for (c, s, a), v in plays.items()],
+                              "country string, song_name string, artist_name string, plays long")
+    u = spark.createDataFrame([(i, f"u{i}", c) for i, c in users.items()],
+                              "user_id int, user_name string, country string")
+    recs = recommend_from(p, u, n=n, as_of="2024-01-01 00:00:00")
+    got = {(r.user_id, r.user_name, r.rank, r.song) for r in recommendation_rows(recs).collect()}
+    assert got == recommend_model(plays, users, n)
