@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from encore import schemas
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert_table
+from encore.plans.dashboard import latest_recommendations
 from encore.plans.recommend import recommend, recommend_from
-from encore.sinks.tables import prune_versions
+from encore.sinks.tables import prune_versions, publish_version, resolve_current, table_exists
 from encore.sinks.writers import write_recommendations
 from encore.sources.readers import event_stream, read_gold, read_songs, read_users
 from encore.streaming.pipeline import LakePaths, read_recommendation_inputs, run_pipeline
@@ -54,7 +55,8 @@ def recommendation_job(spark: SparkSession, lake: str, n: int = 3,
                        fallback: str = "first_country", as_of=None,
                        incremental: bool = False) -> DataFrame:
     """Gold -> one new recommendation generation appended to the
-    recommendations table (readers take the newest row per user).
+    recommendations table (readers take the newest row per user), and the
+    current (newest-per-user) serving table republished.
     ``incremental`` reads the play counts and active users kept current by
     the streaming job (``--recommendation-inputs``) instead of all of gold."""
     paths = LakePaths(lake)
@@ -64,9 +66,25 @@ def recommendation_job(spark: SparkSession, lake: str, n: int = 3,
     else:
         recs = recommend(read_gold(spark, paths.gold), n=n, fallback=fallback, as_of=as_of)
     write_recommendations(recs, paths.recommendations)
+    publish_current_recommendations(spark, recs, paths.recommendations_current)
     return spark.read.schema(schemas.RECOMMENDATIONS).parquet(paths.recommendations)
 
 
+def publish_current_recommendations(spark: SparkSession, generation: DataFrame,
+                                    root: str) -> str:
+    """The serving table: one row per user, the newest one (ties: user_name),
+    as readers of the append-only history would pick it. Published as a new
+    version from the previous version plus the new generation, so its size
+    follows the users, not users x generations; old versions are pruned."""
+    gen = generation.select(*schemas.RECOMMENDATIONS.fieldNames())
+    if table_exists(spark, root):
+        gen = spark.read.schema(schemas.RECOMMENDATIONS).parquet(
+            resolve_current(spark, root)).unionByName(gen)
+    path = publish_version(latest_recommendations(gen), root)
+    prune_versions(spark, root)
+    return path
+
+
 def main(argv=None) -> None:
     from encore.session import get_session
 

@@ -42,6 +42,8 @@ class LakePaths:
     @property
     def recommendations(self): return self._p("gold/user_recommendations")
     @property
+    def recommendations_current(self): return self._p("gold/user_recommendations_current")
+    @property
     def play_counts(self): return self._p("gold/play_counts")
     @property
     def active_users(self): return self._p("gold/active_users")

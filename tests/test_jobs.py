@@ -38,3 +38,10 @@ def test_jobs_end_to_end(spark, tmp_root):
     new = inc.filter(gen == F.lit("2024-02-02 00:00:00").cast("timestamp")).drop("updated_at")
     old = inc.filter(gen == F.lit("2024-02-01 00:00:00").cast("timestamp")).drop("updated_at")
     assert new.count() == 14 and new.exceptAll(old).count() == 0
+    # the serving table holds exactly the newest row per user of the history
+    from encore.sinks.tables import resolve_current
+    paths = LakePaths(tmp_root)
+    current = spark.read.parquet(resolve_current(spark, paths.recommendations_current))
+    hist = latest_recommendations(inc)
+    assert current.count() == 14
+    assert current.exceptAll(hist.select(*current.columns)).count() == 0
