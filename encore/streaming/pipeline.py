@@ -301,9 +301,15 @@ def run_recommendation_inputs(gold_stream: DataFrame, paths: LakePaths, trigger=
     guard_checkpoint(spark, paths.ckpt("active_users"), paths.active_users)
 
     def _counts(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            upsert_table(df, paths.play_counts, PLAY_COUNT_KEYS)
-            prune_versions(spark, paths.play_counts)
+        # Persisted: the emptiness probe and the upsert must not run the
+        # stateful aggregation twice.
+        changed = df.persist()
+        try:
+            if not changed.isEmpty():
+                upsert_table(changed, paths.play_counts, PLAY_COUNT_KEYS)
+                prune_versions(spark, paths.play_counts)
+        finally:
+            changed.unpersist()
 
     w1 = (plays_by_country(gold_stream).writeStream.outputMode("update").foreachBatch(_counts)
           .option("checkpointLocation", paths.ckpt("play_counts")))
