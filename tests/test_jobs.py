@@ -45,3 +45,27 @@ def test_jobs_end_to_end(spark, tmp_root):
     hist = latest_recommendations(inc)
     assert current.count() == 14
     assert current.exceptAll(hist.select(*current.columns)).count() == 0
+
+
+def test_current_recommendations_newest_per_user(spark, tmp_root):
+    from encore.sinks.tables import resolve_current
+    root = f"{tmp_root}/current"
+    schema = "user_id int, user_name string, recommended_songs array<string>, updated_at timestamp"
+
+    def gen(rows):
+        return spark.createDataFrame(rows, "user_id int, user_name string, "
+                                           "recommended_songs array<string>, t string") \
+            .selectExpr("user_id", "user_name", "recommended_songs",
+                        "cast(t as timestamp) as updated_at")
+
+    def current():
+        df = spark.read.schema(schema).parquet(resolve_current(spark, root))
+        return {r.user_id: (r.recommended_songs, str(r.updated_at)) for r in df.collect()}
+
+    jobs.publish_current_recommendations(spark, gen([(1, "a", ["x"], "2024-01-01 01:00:00"),
+                                                     (2, "b", ["y"], "2024-01-01 01:00:00")]), root)
+    jobs.publish_current_recommendations(spark, gen([(1, "a", ["z"], "2024-01-01 02:00:00")]), root)
+    assert current() == {1: (["z"], "2024-01-01 02:00:00"), 2: (["y"], "2024-01-01 01:00:00")}
+    # a backfilled, older generation does not replace newer rows
+    jobs.publish_current_recommendations(spark, gen([(1, "a", ["old"], "2024-01-01 00:30:00")]), root)
+    assert current()[1] == (["z"], "2024-01-01 02:00:00")
