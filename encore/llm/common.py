@@ -37,6 +37,13 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def _mark(e: DataFrame) -> tuple:
+    """Fingerprint of a set of edges: a round that keeps it changed nothing."""
+    h = F.xxhash64("u", "v")
+    return tuple(e.agg(F.count("*"), F.bit_xor(h), F.bit_xor(F.shiftrightunsigned(h, 7) + F.col("u")))
+                 .first())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
     """Connected components of undirected edges as (node, root), root being
     the smallest node of the component.
@@ -51,25 +58,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
     spark = edges.sparkSession
     e = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                .filter("u <> v").distinct(), f"{name}-edges")
-    while True:
-        if e.isEmpty():
-            break
+    mark = _mark(e)
+    while mark[0]:
         # Large star: every larger neighbour of u points to the smallest one.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.filter("v > u").join(low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: u and its smaller neighbours point to the smallest one.
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low2, "u")
-        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low2.select("u", F.col("m").alias("v")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.select("u", F.col("m").alias("v")))
                  .filter("u <> v").distinct())
-        new = stored(small, f"{name}-round")
-        changed = new.exceptAll(e).limit(1).unionByName(e.exceptAll(new).limit(1))
-        done = changed.isEmpty()
-        e = new
-        if done:
+        e = stored(small, f"{name}-round")
+        before, mark = mark, _mark(e)
+        if before == mark:
             break
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import substring_dedup
+from encore.llm import jaccard_join, language_id, quality_rules, substring_dedup
 from encore.llm.common import table
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_query(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rows(table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_query(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name[:2] == "op" and name[2].isdigit()}
 
