@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import jaccard_join, language_id, quality_rules, substring_dedup
+from encore.llm import (byte_bpe, jaccard_join, language_id, packing, quality_rules,
+                        substring_dedup, suffix_tree)
 from encore.llm.common import table
 
 
+def op2_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_query(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest_query(table(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_query(spark, table(spark, sf_dir, "documents"))
 
@@ -26,6 +37,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_query(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_query(table(spark, sf_dir, "documents"),
+                              public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name[:2] == "op" and name[2].isdigit()}
 
