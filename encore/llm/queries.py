@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm import (byte_bpe, jaccard_join, language_id, packing, quality_rules,
-                        substring_dedup, suffix_tree)
+                        range_coder, substring_dedup, suffix_tree)
 from encore.llm.common import table
 
 
+def op1_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_coder.files_query(table(spark, sf_dir, "documents"),
+                                   public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_query(spark, table(spark, sf_dir, "documents"))
 
