@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import (byte_bpe, jaccard_join, language_id, packing, quality_rules,
-                        range_coder, substring_dedup, suffix_tree)
+from encore.llm import (byte_bpe, jaccard_join, language_id, metric_join, packing,
+                        quality_rules, range_coder, substring_dedup, suffix_tree, toxicity)
 from encore.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_query(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_query(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_query(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.join_query(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name[:2] == "op" and name[2].isdigit()}
 
