@@ -3,19 +3,50 @@ dedup and packing, each stage written as Parquet and read by the next."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import substring_dedup
+from encore.llm import jaccard_join, language_id, packing, quality_rules, substring_dedup
 from encore.llm.common import stored, table
 
 
-def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_rules.keep_good(docs)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents mostly in one known language (the model learns from the lang
+    column of the documents that reach this stage)."""
+    return language_id.keep_known(spark, docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of near copies."""
+    return jaccard_join.one_of_each_group(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a smaller doc_id has."""
     return substring_dedup.remove_repeats(docs)
 
 
-STAGES = [("substring dedup", substring_stage)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack_query(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("language ID", language),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("best-fit packing", packed),
+]
 
-#: SQL cannot express the quality rules' suffix arrays or the packing.
+#: SQL cannot express the suffix arrays, the fitted language model or the
+#: packing; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
