@@ -17,13 +17,16 @@ MISSING_MARK = "N/A"              # remaining null text in gold (event_type)
 MINUTES_PLAY = 3.5
 MINUTES_SKIP = 0.5
 TRACK_ID_PREFIX = "lf_"
-TRACK_ID_BUCKETS = 100000
+TRACK_ID_BUCKETS = 100000         # of the upstream id form, see track_id
+TRACK_ID_SEPARATOR = "\x1f"
 ALBUM_SUFFIX = " - Single"
 LABEL_SEPARATOR = " - "
 
 # A number as the old non-ANSI string->int cast accepted it: optional sign,
-# digits, optional fraction (truncated). Exponents and other text are null.
-_INT_TEXT = r"^[+-]?[0-9]+([.][0-9]*)?$"
+# digits, optional fraction (dropped); a point may stand without digits before
+# it ('.5' is 0). Exponents and other text are null.
+_INT_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
+_INT_DIGITS = r"^([+-]?[0-9]*)"
 # Characters that cast trimmed from both ends before parsing: ASCII
 # control characters and space (0x00-0x20) and the C1 controls (0x7F-0x9F).
 _BLANKS = "".join(chr(c) for c in range(0x00, 0x21)) + "".join(chr(c) for c in range(0x7F, 0xA0))
@@ -38,8 +41,9 @@ def to_int(c) -> Column:
     null for non-numbers and for values outside the int range. Never throws
     (Spark 4 runs ANSI mode, where a plain cast would fail the job)."""
     t = F.trim(_c(c).cast("string"), F.lit(_BLANKS))
-    dec = t.try_cast("decimal(38,18)")
-    return F.when(t.rlike(_INT_TEXT), dec.try_cast("int"))
+    digits = F.regexp_extract(t, _INT_DIGITS, 1)
+    whole = F.when(digits.isin("", "+", "-"), F.lit("0")).otherwise(digits)
+    return F.when(t.rlike(_INT_TEXT), whole.try_cast("int"))
 
 
 def to_ts(c) -> Column:
@@ -78,13 +82,21 @@ def song_label(song, artist) -> Column:
     return F.concat(_c(song), F.lit(LABEL_SEPARATOR), _c(artist))
 
 
-def track_id(mbid, name, artist, buckets: int = TRACK_ID_BUCKETS) -> Column:
-    """Stable surrogate id: the catalogue id when non-empty, else
-    'lf_' + (first 32 bits of md5(name || artist)) mod buckets.
-    Deterministic across runs and processes, unlike a salted hash."""
-    digest = F.conv(F.substring(F.md5(F.concat(_c(name), _c(artist))), 1, 8), 16, 10)
-    fallback = F.concat(F.lit(TRACK_ID_PREFIX),
-                        (digest.cast("bigint") % F.lit(buckets)).cast("string"))
+def track_id(mbid, name, artist, buckets: int | None = None) -> Column:
+    """Stable surrogate id: the catalogue id when non-empty, else 'lf_' + the
+    whole md5 of name and artist with a separator, so different tracks keep
+    different ids. Deterministic across runs and processes.
+
+    ``buckets`` (e.g. TRACK_ID_BUCKETS) gives the upstream form instead:
+    (first 32 bits of md5(name || artist)) mod buckets, under which
+    different tracks can share an id."""
+    if buckets is None:
+        fallback = F.concat(F.lit(TRACK_ID_PREFIX),
+                            F.md5(F.concat(_c(name), F.lit(TRACK_ID_SEPARATOR), _c(artist))))
+    else:
+        digest = F.conv(F.substring(F.md5(F.concat(_c(name), _c(artist))), 1, 8), 16, 10)
+        fallback = F.concat(F.lit(TRACK_ID_PREFIX),
+                            (digest.cast("bigint") % F.lit(buckets)).cast("string"))
     m = _c(mbid)
     return F.when(F.coalesce(m, F.lit("")) != "", m).otherwise(fallback)
 

@@ -1,7 +1,7 @@
 """Deployable jobs: the dimension batch, the streaming pipeline and the
 recommendation batch, over one lake root on shared storage.
 
-    python -m encore.jobs dimensions --lake s3a://bucket/lake --songs .../songs --users .../users
+    python -m encore.jobs dimensions --lake hdfs:///lake --songs .../songs --users .../users
     python -m encore.jobs stream --lake ... --kafka-servers host:9092 --topic music_events
     python -m encore.jobs recommend --lake ... [--n 3] [--fallback global]
 """
@@ -9,6 +9,8 @@ recommendation batch, over one lake root on shared storage.
 from __future__ import annotations
 
 import argparse
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,7 @@ from encore import schemas
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert_table
 from encore.plans.dashboard import latest_recommendations
 from encore.plans.recommend import recommend, recommend_from
+from encore.session import checkpoint_root
 from encore.sinks.tables import prune_versions, publish_version, resolve_current, table_exists
 from encore.sinks.writers import write_recommendations
 from encore.sources.readers import event_stream, read_gold, read_songs, read_users
@@ -23,7 +26,7 @@ from encore.streaming.pipeline import LakePaths, read_recommendation_inputs, run
 
 
 def dimension_job(spark: SparkSession, lake: str, songs_path: str, users_path: str,
-                  songs_multiline: bool = True) -> tuple[str, str]:
+                  songs_multiline: bool | None = None) -> tuple[str, str]:
     """Landed songs/users -> deduplicated dimensions, upserted and published
     as new versions. Returns the two version paths."""
     paths = LakePaths(lake)
@@ -39,7 +42,8 @@ def dimension_job(spark: SparkSession, lake: str, songs_path: str, users_path: s
 def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
                   source_options: dict | None = None, source_path: str | None = None,
                   trigger: dict | None = None, timeout: float | None = None,
-                  single_read: bool = False, recommendation_inputs: bool = False) -> None:
+                  single_read: bool = False, recommendation_inputs: bool = False,
+                  dedupe_delay: str | None = None) -> None:
     """Messages -> bronze -> silver -> gold until stopped (or to completion
     with ``trigger={'availableNow': True}``). ``recommendation_inputs`` also
     keeps the play counts and active users current from the gold table."""
@@ -47,7 +51,7 @@ def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
     run_pipeline(spark, raw, LakePaths(lake), trigger=trigger, timeout=timeout,
                  single_read=single_read,
                  gold_trigger=None if trigger else {"processingTime": "10 seconds"},
-                 recommendation_inputs=recommendation_inputs,
+                 recommendation_inputs=recommendation_inputs, dedupe_delay=dedupe_delay,
                  inputs_trigger=None if trigger else {"processingTime": "5 minutes"})
 
 
@@ -60,13 +64,19 @@ def recommendation_job(spark: SparkSession, lake: str, n: int = 3,
     ``incremental`` reads the play counts and active users kept current by
     the streaming job (``--recommendation-inputs``) instead of all of gold."""
     paths = LakePaths(lake)
+    if as_of is None:  # one time for the history and the serving table
+        as_of = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     if incremental:
         plays, users = read_recommendation_inputs(spark, paths)
         recs = recommend_from(plays, users, n=n, fallback=fallback, as_of=as_of)
     else:
         recs = recommend(read_gold(spark, paths.gold), n=n, fallback=fallback, as_of=as_of)
-    write_recommendations(recs, paths.recommendations)
-    publish_current_recommendations(spark, recs, paths.recommendations_current)
+    # Evaluated once: the serving table is made from the generation as written.
+    made = f"{checkpoint_root(spark)}/generation-{uuid.uuid4().hex[:12]}"
+    write_recommendations(recs, made)
+    generation = spark.read.schema(schemas.RECOMMENDATIONS).parquet(made)
+    write_recommendations(generation, paths.recommendations)
+    publish_current_recommendations(spark, generation, paths.recommendations_current)
     return spark.read.schema(schemas.RECOMMENDATIONS).parquet(paths.recommendations)
 
 
@@ -103,22 +113,25 @@ def main(argv=None) -> None:
     ap.add_argument("--fallback", default="first_country")
     ap.add_argument("--recommendation-inputs", action="store_true",
                     help="stream: keep play counts / active users current")
+    ap.add_argument("--max-offsets", type=int, help="stream: Kafka messages per micro-batch")
+    ap.add_argument("--dedupe-delay", help="stream: drop event ids repeated within this time")
     ap.add_argument("--incremental", action="store_true",
                     help="recommend: read the streamed play counts / active users")
     a = ap.parse_args(argv)
     spark = get_session(app=f"encore-{a.job}")
     if a.job == "dimensions":
-        dimension_job(spark, a.lake, a.songs, a.users, songs_multiline=not a.songs_json_lines)
+        dimension_job(spark, a.lake, a.songs, a.users, songs_multiline=False if a.songs_json_lines else None)
     elif a.job == "stream":
         trig = {"availableNow": True} if a.available_now else None
         if a.messages:
             streaming_job(spark, a.lake, "text", source_path=a.messages, trigger=trig,
-                          single_read=a.single_read,
+                          single_read=a.single_read, dedupe_delay=a.dedupe_delay,
                           recommendation_inputs=a.recommendation_inputs)
         else:
             streaming_job(spark, a.lake, "kafka",
-                          {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic},
-                          trigger=trig, single_read=a.single_read,
+                          {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic}
+                          | ({"maxOffsetsPerTrigger": str(a.max_offsets)} if a.max_offsets else {}),
+                          trigger=trig, single_read=a.single_read, dedupe_delay=a.dedupe_delay,
                           recommendation_inputs=a.recommendation_inputs)
     else:
         recommendation_job(spark, a.lake, a.n, a.fallback, incremental=a.incremental)

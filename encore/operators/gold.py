@@ -57,11 +57,6 @@ def split_gold(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, rejected
 
 
-def gold(silver: DataFrame) -> DataFrame:
-    """Standardised, loadable gold rows (reject branch dropped)."""
-    return split_gold(standardize_gold(silver))[0]
-
-
 def gold_layout(df: DataFrame) -> DataFrame:
     """Physical order for a write: the month partition column last and rows
     sorted by the sort key inside each task (no shuffle)."""

@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.bronze import bronze
-from encore.operators.dims import build_dim_users, upsert
+from encore.operators.dims import build_dim_songs, build_dim_users, upsert
 from encore.operators.tracks import explode_pages, normalize_tracks
 from encore.plans import dashboard, insights, lake, recommend, streams
-from encore.schemas import EVENT_MESSAGE_WITH_DURATION
+from encore.schemas import EVENT_MESSAGE_WITH_DURATION, RECOMMENDATIONS
+from encore.session import scratch_path
+from encore.sinks import writers
 from encore.sources import fixtures
+from encore.sources.readers import read_songs, read_track_pages, read_users
 
 # Fixed parameters of the registered dashboard queries.
 TREND_INTERVAL = "1 hour"
@@ -133,10 +136,7 @@ def q_recommendation_users(spark, sf_dir):
 
 def q_recommendation_engagement(spark, sf_dir):
     g = _gold(spark, sf_dir)
-    ts = F.col("event_timestamp")
-    recs = recommend.recommend(g.filter(ts < F.lit(RECS_SPLIT).cast("timestamp")), n=3,
-                               as_of=RECS_SPLIT)
-    return insights.recommendation_engagement(recs, g)
+    return insights.recommendation_engagement(recommendation_table(g), g)
 
 
 def q_top_songs_day(spark, sf_dir):
@@ -195,20 +195,106 @@ def q_platform_growth(spark, sf_dir):
 
 def q_data_quality(spark, sf_dir):
     from encore.operators.bronze import parse_events
-    parsed = parse_events(fixtures.event_messages(spark, sf_dir), as_of=lake.FIXED_AS_OF)
+    parsed = parse_events(_messages_with_faults(spark, sf_dir), as_of=lake.FIXED_AS_OF)
     return insights.data_quality_report(parsed)
 
 
+def _messages_with_faults(spark, sf_dir):
+    return fixtures.event_messages(spark, sf_dir).unionByName(fixtures.faulty_messages(spark, sf_dir))
+
+
+def _lake_with_faults(spark, sf_dir) -> lake.Lake:
+    return lake.build(_messages_with_faults(spark, sf_dir), fixtures.users_landing(spark, sf_dir),
+                      fixtures.songs_landing(spark, sf_dir), as_of=lake.FIXED_AS_OF)
+
+
+def q_bronze_quarantine(spark, sf_dir):
+    """Quarantined messages with their payload, faults included."""
+    return _lake_with_faults(spark, sf_dir).invalid.select(
+        "event_id", "user_id", "song_id", "timestamp", "event_type", "raw_value", "error_type")
+
+
+def q_gold_rejects(spark, sf_dir):
+    """Events whose time does not parse, enriched (the song id is padded)."""
+    return _lake_with_faults(spark, sf_dir).gold_rejects.select(
+        "event_id", "user_id", "user_name", "song_id", "song_name", "event_type")
+
+
+def q_gold_event_types(spark, sf_dir):
+    """events per type, faults included (a missing type is 'N/A')."""
+    return _lake_with_faults(spark, sf_dir).gold.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"))
+
+
+def q_dim_songs_newest(spark, sf_dir):
+    """Every third song landed again, half of them newer, half older."""
+    songs = fixtures.songs_landing(spark, sf_dir)
+    key = F.expr("cast(substring(song_id, 6) as bigint)")
+    again = songs.filter(key % 3 == 0).withColumn("song_name", F.concat("song_name", F.lit(" v2"))) \
+        .withColumn("ingested_at", F.when(key % 2 == 0, F.lit("2024-03-01T00:00:00"))
+                    .otherwise(F.lit("2023-03-01T00:00:00")))
+    return build_dim_songs(songs.unionByName(again))
+
+
+def q_dim_users_newest(spark, sf_dir):
+    """Every third user landed again, half of them newer, half older."""
+    users = fixtures.users_landing(spark, sf_dir)
+    key = F.col("user_id").cast("bigint")
+    again = users.filter(key % 3 == 0).withColumn("country", F.lit("MOVED")) \
+        .withColumn("ingested_at", F.when(key % 2 == 0, F.lit("2024-03-01T00:00:00"))
+                    .otherwise(F.lit("2023-03-01T00:00:00")))
+    return build_dim_users(users.unionByName(again))
+
+
+def q_songs_landing_roundtrip(spark, sf_dir):
+    """K8 -> S2: the songs landed as JSON lines and, under the same folder, as
+    array files; read back without saying which is which."""
+    root = scratch_path(spark, "songs")
+    songs = fixtures.songs_landing(spark, sf_dir)
+    odd = F.expr("cast(substring(song_id, 6) as bigint) % 2 = 1")
+    writers.land_songs(songs.filter(odd), root, "20240101_000000")
+    # One array per hundred songs, each a file of its own line.
+    writers.land_song_arrays(songs.filter(~odd), root, "20240102_000000")
+    return read_songs(spark, f"{root}/*")
+
+
+def q_users_landing_roundtrip(spark, sf_dir):
+    """K9 -> S3: the users landed as CSV files and read back."""
+    path = scratch_path(spark, "users")
+    writers.land_users(fixtures.users_landing(spark, sf_dir), path)
+    return read_users(spark, path)
+
+
+def q_track_pages_roundtrip(spark, sf_dir):
+    """Chart pages landed as JSON lines and read back as tracks."""
+    path = scratch_path(spark, "pages")
+    fixtures.chart_pages(spark, sf_dir).drop("page").write.json(path)
+    return read_track_pages(spark, path).select("name", "mbid", F.col("artist.name").alias("artist"))
+
+
+def q_recommendation_history(spark, sf_dir):
+    """K7: two generations appended to the history and read back."""
+    path = scratch_path(spark, "history")
+    g = _gold(spark, sf_dir)
+    ts, split = F.col("event_timestamp"), F.lit(RECS_SPLIT).cast("timestamp")
+    writers.write_recommendations(recommend.recommend(g.filter(ts < split), n=3, as_of=RECS_SPLIT), path)
+    writers.write_recommendations(recommend.recommend(g.filter(ts >= split), n=3,
+                                                      as_of=lake.FIXED_AS_OF), path)
+    back = spark.read.schema(RECOMMENDATIONS).parquet(path)
+    return recommend.recommendation_rows(back, keep=("updated_at",))
+
+
 def q_track_catalog(spark, sf_dir):
     pages = fixtures.chart_pages(spark, sf_dir)
     return normalize_tracks(explode_pages(pages), ingested_at=lake.FIXED_AS_OF)
 
 
 # Dimension update batch for the upsert query: every landed customer of the
-# AUTOMOBILE segment changes country to a fixed value, and the customers
-# that were never landed arrive now.
+# AUTOMOBILE segment changes country to a fixed value, and every customer of
+# the BUILDING segment opens a second account under a new key.
 UPSERT_SEGMENT = "AUTOMOBILE"
 UPSERT_COUNTRY = "RELOCATED"
+UPSERT_NEW_SEGMENT = "BUILDING"
 
 
 def q_dim_users_upsert(spark, sf_dir):
@@ -216,11 +302,13 @@ def q_dim_users_upsert(spark, sf_dir):
     c = fixtures.table(spark, sf_dir, "customer")
     n = fixtures.table(spark, sf_dir, "nation")
     j = c.join(n, c.c_nationkey == n.n_nationkey)
-    upd = j.filter((F.col("c_mktsegment") == UPSERT_SEGMENT) | (F.col("c_custkey") % 10 == 9))
+    moved = F.col("c_mktsegment") == UPSERT_SEGMENT
+    upd = j.filter(moved | (F.col("c_mktsegment") == UPSERT_NEW_SEGMENT))
     landing = upd.select(
-        F.col("c_custkey").cast("string").alias("user_id"),
+        F.when(moved, F.col("c_custkey")).otherwise(F.col("c_custkey") + fixtures.STRANGER_OFFSET)
+         .cast("string").alias("user_id"),
         F.col("c_name").alias("user_name"),
-        F.when(F.col("c_mktsegment") == UPSERT_SEGMENT, F.lit(UPSERT_COUNTRY))
+        F.when(moved, F.lit(UPSERT_COUNTRY))
          .otherwise(F.col("n_name")).alias("country"),
         F.lit("Free").alias("subscription_type"),
         F.lit("2024-02-01T00:00:00").alias("ingested_at"))
@@ -268,6 +356,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "platform_growth": q_platform_growth,
     "data_quality": q_data_quality,
     "track_catalog": q_track_catalog,
+    "bronze_quarantine": q_bronze_quarantine,
+    "gold_rejects": q_gold_rejects,
+    "gold_event_types": q_gold_event_types,
+    "dim_songs_newest": q_dim_songs_newest,
+    "dim_users_newest": q_dim_users_newest,
+    "songs_landing_roundtrip": q_songs_landing_roundtrip,
+    "users_landing_roundtrip": q_users_landing_roundtrip,
+    "track_pages_roundtrip": q_track_pages_roundtrip,
+    "recommendation_history": q_recommendation_history,
     "dim_users_upsert": q_dim_users_upsert,
     "als_recommend": q_als_recommend,
     "streaming_gold": streams.streaming_gold,

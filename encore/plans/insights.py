@@ -82,11 +82,14 @@ def _weekly(gold: DataFrame, key: str) -> DataFrame:
 
 def genre_trend(gold: DataFrame) -> DataFrame:
     """Plays per (genre, week starting Monday, as a timestamp) and the change against
-    the genre's previous week with plays (lag over the weekly series, whose
-    length is bounded by the number of weeks)."""
+    the calendar week before: 0 plays if that week has none, null in the
+    genre's first week (lag over the weekly series, whose length is bounded
+    by the number of weeks)."""
     wk = _weekly(gold, "genre")
     w = Window.partitionBy("genre").orderBy("week")
-    prev = F.lag("plays").over(w)
+    last = F.lag("week").over(w)
+    prev = F.when(last == F.col("week") - F.expr("INTERVAL 7 DAYS"), F.lag("plays").over(w)) \
+        .when(last.isNotNull(), F.lit(0).cast("bigint"))
     return (wk.withColumn("prev_plays", prev)
               .withColumn("change", F.col("plays") - F.col("prev_plays"))
               .orderBy("genre", "week"))
@@ -182,10 +185,13 @@ def platform_growth(gold: DataFrame) -> DataFrame:
 
 def recommendation_engagement(recs: DataFrame, gold: DataFrame) -> DataFrame:
     """For each recommended label, how many users got it and how many
-    of them played or liked it after the recommendation was made."""
+    of them played or liked it after it was first recommended to them. Only
+    events after the oldest recommendation are read (months prune)."""
     r = (recs.select("user_id", "updated_at", F.explode("recommended_songs").alias("song"))
-             .groupBy("user_id", "song").agg(F.max("updated_at").alias("updated_at")))
-    ev = (gold.filter(_is("PLAY") | _is("LIKE"))
+             .groupBy("user_id", "song").agg(F.min("updated_at").alias("updated_at")))
+    oldest = recs.agg(F.min("updated_at").alias("t")).scalar()
+    ev = (gold.filter((_is("PLAY") | _is("LIKE")) & (F.col("event_timestamp") > oldest)
+                      & (F.col("event_month") >= event_month(oldest)))
               .groupBy("user_id", song_label("song_name", "artist_name").alias("song"))
               .agg(F.max("event_timestamp").alias("last_event")))
     j = r.join(ev, ["user_id", "song"], "left")
@@ -197,7 +203,7 @@ def recommendation_engagement(recs: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 # Rules of the data-quality report (fixed names).
-QUALITY_RULES = ["missing_required_fields", "malformed_message", "bad_timestamp",
+QUALITY_RULES = ["missing_required_fields", "malformed_message", "wrong_type", "bad_timestamp",
                  "unknown_event_type", "non_positive_user_id", "duplicate_event_id"]
 
 
@@ -214,6 +220,9 @@ def data_quality_report(parsed: DataFrame) -> DataFrame:
         _count_if(F.col("event_id").isNull() | F.col("user_id").isNull()
                   | F.col("song_id").isNull()).alias("missing_required_fields"),
         _count_if(all_null).alias("malformed_message"),
+        # The message has a user id, but not as a number.
+        _count_if(F.col("user_id").isNull()
+                  & F.get_json_object("raw_value", "$.user_id").isNotNull()).alias("wrong_type"),
         _count_if(~ts_ok).alias("bad_timestamp"),
         _count_if(~F.coalesce(F.col("event_type").isin(EVENT_TYPES), F.lit(False)))
         .alias("unknown_event_type"),

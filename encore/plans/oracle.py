@@ -9,9 +9,10 @@ oracle also checks the message / parse / enrich path.
 PREFIX = """
 WITH raw_events AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id,
-         CAST(user_id AS INTEGER) AS user_id,
+         CAST(CASE WHEN event_id % 10 = 9 THEN user_id + 100000000 ELSE user_id END AS INTEGER) AS user_id,
          CASE WHEN event_type = 'signup' THEN NULL
-              ELSE 'song_' || json_extract_string(props, '$.k') END AS song_id,
+              ELSE (CASE WHEN event_id % 7 = 6 THEN 'lost_' ELSE 'song_' END)
+                   || json_extract_string(props, '$.k') END AS song_id,
          ts,
          CASE WHEN user_id = 8 OR event_type = 'error' THEN 'SKIP'
               WHEN event_type = 'click' THEN 'LIKE'
@@ -26,13 +27,11 @@ dim_users AS (
          CASE WHEN c_mktsegment IN ('FURNITURE', 'MACHINERY') THEN 'Premium' ELSE 'Free' END AS subscription_type,
          true AS is_current
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 10 <> 9
 ),
 dim_songs AS (
   SELECT 'song_' || CAST(p_partkey AS VARCHAR) AS song_id,
          p_name AS song_name, p_brand AS artist_name, p_type AS genre
   FROM part
-  WHERE p_partkey % 7 <> 6
 ),
 valid_events AS (
   SELECT * FROM raw_events
@@ -63,6 +62,17 @@ plays AS (
 active_users AS (
   SELECT DISTINCT user_id, user_name, country FROM gold
   WHERE user_id > 0 AND user_name <> ''
+),
+faults AS (
+  SELECT CASE event_id % 50 WHEN 2 THEN NULL WHEN 4 THEN CAST(event_id AS VARCHAR)
+         ELSE CAST(event_id AS VARCHAR) || 'f' END AS event_id,
+         CAST(CASE event_id % 50 WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 5 THEN -1
+              ELSE user_id END AS INTEGER) AS user_id,
+         CASE WHEN event_id % 50 = 2 THEN NULL ELSE ' song_1 ' END AS song_id,
+         CASE WHEN event_id % 50 IN (0, 2) THEN NULL ELSE ts END AS ts,
+         CASE event_id % 50 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 6 THEN 'DANCE' ELSE 'PLAY' END
+           AS event_type
+  FROM events WHERE event_id % 50 <= 6
 )
 """
 
@@ -169,14 +179,15 @@ ORACLE = {
                                       UNION ALL SELECT user_id FROM {_SECOND}) t
         ORDER BY user_id""",
     "recommendation_engagement": f"""
-        , r AS (SELECT DISTINCT user_id, song FROM {_FIRST}),
-        e AS (SELECT user_id, song_name || ' - ' || artist_name AS song,
-                     max(event_timestamp) AS last_event
-              FROM gold WHERE event_type IN ('PLAY', 'LIKE') GROUP BY ALL),
+        , g2 AS (SELECT user_id, song, TIMESTAMP '{_SPLIT}' AS made FROM {_FIRST}
+                 UNION ALL SELECT user_id, song, TIMESTAMP '2024-02-01 00:00:00' FROM {_SECOND}),
+        r AS (SELECT user_id, song, min(made) AS made FROM g2 GROUP BY 1, 2),
         a AS (SELECT r.song, count(*) AS recommended_users,
-                     count(*) FILTER (WHERE e.last_event > TIMESTAMP '{_SPLIT}') AS engaged_users
-              FROM r LEFT JOIN e ON r.user_id = e.user_id AND r.song = e.song
-              GROUP BY r.song)
+                     count(*) FILTER (WHERE EXISTS (
+                       SELECT 1 FROM gold e WHERE e.user_id = r.user_id
+                         AND e.song_name || ' - ' || e.artist_name = r.song
+                         AND e.event_type IN ('PLAY', 'LIKE') AND e.event_timestamp > r.made)) AS engaged_users
+              FROM r GROUP BY r.song)
         SELECT song, recommended_users, engaged_users,
                engaged_users / recommended_users AS engagement_rate
         FROM a ORDER BY recommended_users DESC, song""",
@@ -209,10 +220,12 @@ ORACLE = {
         , wk AS (SELECT genre, date_trunc('week', event_timestamp) AS week,
                         count(*) AS plays
                  FROM gold WHERE event_type = 'PLAY' GROUP BY 1, 2)
-        SELECT genre, week, plays,
-               lag(plays) OVER (PARTITION BY genre ORDER BY week) AS prev_plays,
-               plays - lag(plays) OVER (PARTITION BY genre ORDER BY week) AS change
-        FROM wk ORDER BY genre, week""",
+        SELECT genre, week, plays, prev_plays, plays - prev_plays AS change
+        FROM (SELECT a.genre, a.week, a.plays,
+                     CASE WHEN a.week = f.first_week THEN NULL ELSE coalesce(b.plays, 0) END AS prev_plays
+              FROM wk a JOIN (SELECT genre, min(week) AS first_week FROM wk GROUP BY 1) f USING (genre)
+              LEFT JOIN wk b ON b.genre = a.genre AND b.week = a.week - INTERVAL 7 DAY)
+        ORDER BY genre, week""",
     "growing_artists": """
         , w AS (SELECT CAST(date_trunc('week', max(event_timestamp)) AS DATE) AS wk FROM gold),
         s AS (SELECT artist_name,
@@ -273,21 +286,74 @@ ORACLE = {
                     AS missing_required_fields,
                   count(*) FILTER (WHERE event_id IS NULL AND user_id IS NULL AND song_id IS NULL
                                      AND ts IS NULL AND event_type IS NULL) AS malformed_message,
+                  (SELECT count(*) FROM events WHERE event_id % 50 = 3) AS wrong_type,
                   count(*) FILTER (WHERE ts IS NULL) AS bad_timestamp,
                   count(*) FILTER (WHERE event_type IS NULL
                                      OR event_type NOT IN ('PLAY', 'SKIP', 'LIKE'))
                     AS unknown_event_type,
                   count(*) FILTER (WHERE user_id <= 0) AS non_positive_user_id,
                   count(event_id) - count(DISTINCT event_id) AS duplicate_event_id
-                FROM raw_events)
+                FROM (SELECT event_id, user_id, song_id, ts, event_type FROM raw_events
+                      UNION ALL SELECT * FROM faults))
         SELECT rule, checked, CAST(failed AS BIGINT) AS failed FROM (
-          UNPIVOT q ON missing_required_fields, malformed_message, bad_timestamp,
+          UNPIVOT q ON missing_required_fields, malformed_message, wrong_type, bad_timestamp,
                        unknown_event_type, non_positive_user_id, duplicate_event_id
           INTO NAME rule VALUE failed) u""",
+    "bronze_quarantine": """
+        SELECT event_id, user_id, song_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp", event_type,
+               '{"event_id":"' || event_id || '","user_id":' || user_id || ',"timestamp":"'
+                 || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","event_type":"' || event_type
+                 || '","duration_seconds":' || duration_seconds || '}' AS raw_value,
+               'MISSING_REQUIRED_FIELDS' AS error_type
+        FROM raw_events WHERE song_id IS NULL
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, 'not json ' || event_id, 'MISSING_REQUIRED_FIELDS'
+        FROM events WHERE event_id % 50 = 2
+        UNION ALL
+        SELECT event_id || 'f', NULL, ' song_1 ', strftime(ts, '%Y-%m-%d %H:%M:%S'), 'PLAY',
+               '{"event_id":"' || event_id || 'f","user_id":"' || user_id || '","song_id":" song_1 ","timestamp":"'
+                 || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","event_type":"PLAY"}', 'MISSING_REQUIRED_FIELDS'
+        FROM events WHERE event_id % 50 = 3""",
+    "gold_rejects": """
+        SELECT f.event_id, f.user_id, coalesce(u.user_name, 'Guest') AS user_name, f.song_id,
+               coalesce(s.song_name, 'Unknown') AS song_name, f.event_type
+        FROM faults f LEFT JOIN dim_users u ON f.user_id = u.user_id
+        LEFT JOIN dim_songs s ON trim(f.song_id) = s.song_id
+        WHERE f.ts IS NULL AND f.event_id IS NOT NULL""",
+    "gold_event_types": """
+        SELECT coalesce(event_type, 'N/A') AS event_type, count(*) AS events FROM (
+          SELECT event_type FROM gold
+          UNION ALL SELECT event_type FROM faults
+          WHERE ts IS NOT NULL AND event_id IS NOT NULL AND user_id IS NOT NULL) GROUP BY 1""",
+    "dim_songs_newest": """
+        SELECT song_id, song_name || CASE WHEN CAST(substr(song_id, 6) AS BIGINT) % 6 = 0 THEN ' v2' ELSE '' END
+                 AS song_name, artist_name, genre
+        FROM dim_songs""",
+    "dim_users_newest": """
+        SELECT user_id, user_name, CASE WHEN user_id % 6 = 0 THEN 'MOVED' ELSE country END AS country,
+               subscription_type, is_current
+        FROM dim_users""",
+    "songs_landing_roundtrip": """
+        SELECT 'song_' || p_partkey AS song_id, p_name AS song_name, p_brand AS artist_name,
+               p_name || ' - Single' AS album_name, CAST(p_size AS BIGINT) AS duration_ms, p_type AS genre,
+               '2024-01-01T00:00:00' AS ingested_at
+        FROM part""",
+    "users_landing_roundtrip": """
+        SELECT CAST(user_id AS VARCHAR) AS user_id, user_name, country, subscription_type,
+               '2024-01-01T00:00:00' AS ingested_at
+        FROM dim_users""",
+    "track_pages_roundtrip": """
+        SELECT CASE WHEN p_size = 2 THEN NULL ELSE p_name END AS name,
+               CASE WHEN p_size % 3 = 0 THEN '' ELSE 'mb-' || p_partkey END AS mbid,
+               CASE WHEN p_size = 1 THEN '' ELSE p_brand END AS artist
+        FROM part""",
+    "recommendation_history": f"""
+        SELECT user_id, user_name, rank, song, TIMESTAMP '{_SPLIT}' AS updated_at FROM {_FIRST} a
+        UNION ALL
+        SELECT user_id, user_name, rank, song, TIMESTAMP '2024-02-01 00:00:00' FROM {_SECOND} b""",
     "track_catalog": """
         SELECT CASE WHEN mbid <> '' THEN mbid
-                    ELSE 'lf_' || CAST(CAST(('0x' || substr(md5(name || artist), 1, 8)) AS BIGINT)
-                                       % 100000 AS VARCHAR) END AS song_id,
+                    ELSE 'lf_' || md5(name || chr(31) || artist) END AS song_id,
                name AS song_name, artist AS artist_name, name || ' - Single' AS album_name,
                CAST(NULL AS BIGINT) AS duration_ms, CAST(NULL AS VARCHAR) AS genre,
                '2024-02-01T00:00:00' AS ingested_at
@@ -299,11 +365,14 @@ ORACLE = {
         WHERE coalesce(name, '') <> '' AND coalesce(artist, '') <> ''""",
     "dim_users_upsert": """
         , upd AS (
-          SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_name,
-                 CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'RELOCATED' ELSE n_name END AS country,
+          SELECT CAST(c_custkey AS INTEGER) AS user_id, c_name AS user_name, 'RELOCATED' AS country,
                  'Free' AS subscription_type, true AS is_current
           FROM customer JOIN nation ON c_nationkey = n_nationkey
-          WHERE c_mktsegment = 'AUTOMOBILE' OR c_custkey % 10 = 9)
+          WHERE c_mktsegment = 'AUTOMOBILE'
+          UNION ALL
+          SELECT CAST(c_custkey + 100000000 AS INTEGER), c_name, n_name, 'Free', true
+          FROM customer JOIN nation ON c_nationkey = n_nationkey
+          WHERE c_mktsegment = 'BUILDING')
         SELECT * FROM dim_users WHERE user_id NOT IN (SELECT user_id FROM upd)
         UNION ALL SELECT * FROM upd""",
     "streaming_gold": """

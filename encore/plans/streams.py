@@ -18,7 +18,7 @@ from encore.sinks import writers
 from encore.sources import fixtures
 from encore.sources.readers import event_stream, stream_table
 from encore.streaming.pipeline import (
-    LakePaths, dedupe_events, read_recommendation_inputs, run_pipeline,
+    LakePaths, dedupe_events, read_recommendation_inputs, refuse_late_rows, run_pipeline,
     run_recommendation_inputs, stream_listening_trend,
 )
 
@@ -47,16 +47,15 @@ def streaming_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(gold_schema).parquet(paths.gold).drop("processed_at", "batch_id")
 
 
-def streaming_trend(spark: SparkSession, sf_dir: str, interval: str = "1 hour",
-                    delay: str = "10 minutes") -> DataFrame:
-    """Windowed counts with a watermark in update mode; every update is
-    appended with its batch id and the current value per window is the
-    latest update."""
+def streaming_trend(spark: SparkSession, sf_dir: str, interval: str = "1 hour") -> DataFrame:
+    """Windowed counts in update mode; every update is appended with its
+    batch id and the current value per window is the latest update. The files
+    hold any time, so no watermark: every row counts in every file layout."""
     root = scratch_path(spark, "trend")
     g = lake.from_tables(spark, sf_dir).gold
     g.write.partitionBy("event_month").parquet(f"{root}/gold")
     src = stream_table(spark, f"{root}/gold", schemas.GOLD, max_files=2)
-    counts = stream_listening_trend(src, interval, delay)
+    counts = stream_listening_trend(src, interval)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
         writers.publish_batch(df, f"{root}/updates", batch_id)
@@ -69,11 +68,15 @@ def streaming_trend(spark: SparkSession, sf_dir: str, interval: str = "1 hour",
     return cur.select("time", "event_type", "count")
 
 
-def streaming_dedupe(spark: SparkSession, sf_dir: str, delay: str = "1 hour") -> DataFrame:
+def streaming_dedupe(spark: SparkSession, sf_dir: str, delay: str = "62 days") -> DataFrame:
     """Valid events with repeated event ids removed within the
-    watermark delay."""
+    watermark delay. A part of the messages is published twice. Each landed
+    file may hold any time of the landed period, so the delay covers it; rows
+    that still come later fail the query instead of going missing."""
     root = scratch_path(spark, "dedupe")
-    msgs = land_messages(spark, sf_dir, f"{root}/messages")
+    msgs = f"{root}/messages"
+    writers.publish_messages(fixtures.event_messages(spark, sf_dir).unionByName(
+        fixtures.repeated_messages(spark, sf_dir)), msgs)
     raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 4})
     valid, _ = bronze(raw, as_of=lake.FIXED_AS_OF)
     ev = valid.withColumn("event_time", F.try_to_timestamp("timestamp"))
@@ -82,6 +85,7 @@ def streaming_dedupe(spark: SparkSession, sf_dir: str, delay: str = "1 hour") ->
     q = (out.writeStream.format("parquet").option("checkpointLocation", f"{root}/_ckpt")
             .trigger(**AVAILABLE_NOW).start(f"{root}/out"))
     q.awaitTermination()
+    refuse_late_rows(q)
     return spark.read.parquet(f"{root}/out")
 
 

@@ -68,11 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers used in tests."""
-    return p[5:] if p.startswith("file:") else p
-
-
 def is_local_master(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -75,3 +75,30 @@ def modified_ms(spark: SparkSession, path: str) -> int | None:
     if not fs.exists(p):
         return None
     return int(fs.getFileStatus(p).getModificationTime())
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Full names of the data files that a path or glob stands for, sorted
+    (names that begin with '_' or '.' are left out, as Spark's readers do)."""
+    fs, p = _fs(spark, pattern)
+    found, todo = [], list(fs.globStatus(p) or [])
+    while todo:
+        s = todo.pop()
+        name = s.getPath().getName()
+        if name[:1] in ("_", "."):
+            continue
+        if s.isDirectory():
+            todo.extend(fs.listStatus(s.getPath()))
+        else:
+            found.append(s.getPath().toString())
+    return sorted(found)
+
+
+def head(spark: SparkSession, path: str, size: int) -> bytes:
+    """The first ``size`` bytes of a file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()

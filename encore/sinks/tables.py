@@ -36,9 +36,12 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 def resolve_current(spark: SparkSession, root: str) -> str:
     """Path of the newest committed version, or ``root`` itself for an
-    unversioned table."""
+    unversioned table. Version directories without a committed one are an
+    error: reading the root would show uncommitted rows."""
     root = root.rstrip("/")
     v = current_version(spark, root)
+    if v is None and _versions(spark, root):
+        raise RuntimeError(f"{root} has no committed version yet")
     return root if v is None else f"{root}/{_PREFIX}{v:06d}"
 
 
@@ -50,9 +53,9 @@ def publish_version(df: DataFrame, root: str, partition_by: list[str] | None = N
     """Write ``df`` as the next version of the table and return its path.
 
     The next number skips every existing version directory, committed or
-    left by a failed attempt, so the target never exists; a concurrent
-    second writer picking the same number fails instead of overwriting.
-    Tables have one writer (a job or one streaming query)."""
+    left by a failed attempt. Tables have one writer (a job or one streaming
+    query): ``errorifexists`` catches a second writer that starts after the
+    first has made its directory, not two that start at the same moment."""
     spark = df.sparkSession
     root = root.rstrip("/")
     vs = _versions(spark, root)

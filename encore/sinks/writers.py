@@ -41,25 +41,22 @@ def write_bronze_invalid(df: DataFrame, path: str, ckpt: str | None = None, trig
     return None
 
 
-def write_silver(df: DataFrame, path: str, ckpt: str | None = None, trigger=None):
-    """K3: enriched events, append."""
-    if df.isStreaming:
-        return _stream(df, path, ckpt, None, trigger)
-    df.write.mode("append").parquet(path)
-    return None
+# File systems whose directory rename is atomic.
+ATOMIC_RENAME = ("", "file", "hdfs", "viewfs", "abfs", "abfss")
 
 
 def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by=None,
-                  sort_within=None, commit: str = "rename") -> bool:
+                  sort_within=None) -> bool:
     """Exactly-once publication of one micro-batch under ``root``.
 
     The batch is written to a hidden stage directory (readers skip names
     starting with '_') and then renamed to ``batch_id=<n>``. If the final
-    directory already exists the batch was published before a restart and
-    is skipped, never rewritten: a downstream file stream identifies input
-    files by name and would ingest a rewrite twice. Returns True when
-    written. On stores without atomic rename, use the ``_SUCCESS`` marker of
-    the final directory as the commit record instead.
+    directory holds the write's ``_SUCCESS`` marker the batch was published
+    before a restart and is skipped, never rewritten: a downstream file
+    stream identifies input files by name and would ingest a rewrite twice.
+    A final directory without the marker (a broken copy) is replaced.
+    Returns True when written. Stores whose rename is a copy are refused:
+    there a crash could leave half a batch for readers to see.
     """
     spark = df.sparkSession
     root = root.rstrip("/")
@@ -68,15 +65,14 @@ def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by=None,
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if commit == "marker":
-        # Object stores: the job-commit marker is the commit record; a
-        # directory without it is a failed attempt and is rewritten.
-        if fs.exists(spark, f"{final}/_SUCCESS"):
-            return False
-        w.parquet(final)
-        return True
-    if fs.exists(spark, final):
+    scheme = root.split(":", 1)[0] if "://" in root or root.startswith("file:") else ""
+    if scheme not in ATOMIC_RENAME:
+        raise RuntimeError(f"{scheme}:// has no atomic rename; keep the lake on "
+                           f"{', '.join(s for s in ATOMIC_RENAME if s)}")
+    if fs.exists(spark, f"{final}/_SUCCESS"):
         return False
+    if fs.exists(spark, final):
+        fs.delete(spark, final)
     stage = f"{root}/_stage_{batch_id}"
     w.parquet(stage)
     fs.mkdirs(spark, root)
@@ -144,6 +140,18 @@ def land_songs(df: DataFrame, path: str, run_ts: datetime | str | None = None) -
     return out
 
 
+def land_song_arrays(df: DataFrame, path: str, run_ts: str) -> str:
+    """K8, upstream's form: a snapshot of JSON array files, one array per
+    partition of ``df`` split into runs of 5,000 songs."""
+    out = f"{path.rstrip('/')}/songs_raw_{run_ts}"
+    song = F.struct(*df.columns)
+    run = F.floor(F.monotonically_increasing_id() / 5000).alias("run")
+    arrays = df.select(run, song.alias("s")).groupBy("run").agg(F.collect_list("s").alias("a"))
+    (arrays.repartition("run").select(F.to_json("a").alias("value")).write.mode("errorifexists")
+        .option("maxRecordsPerFile", 1).text(out))
+    return out
+
+
 def land_users(df: DataFrame, path: str, rows_per_file: int = 2500) -> None:
     """K9: users as CSV with a header, at most ``rows_per_file`` rows each."""
     (df.write.mode("overwrite").option("header", True)

@@ -6,8 +6,9 @@ part     -> songs landing rows
 part     -> chart pages (nested tracks)
 
 The mapping is chosen so that every branch occurs: signup events carry no
-song (invalid), some users and songs are absent from the dimensions (Guest /
-Unknown), and user 8 lives in a country without plays (fallback list).
+song (invalid), some events name users and songs outside the dimensions (Guest
+/ Unknown), and user 8 lives in a country without plays (fallback list). All
+customers and parts are landed.
 Everything stays a lazy DataFrame over the given tables, so the work grows
 with them.
 """
@@ -26,6 +27,8 @@ NO_PLAY_USER = 8
 NO_PLAY_COUNTRY = "NO_PLAY"
 PREMIUM_SEGMENTS = ["FURNITURE", "MACHINERY"]
 TRACKS_PER_PAGE = 100
+STRANGER_OFFSET = 100_000_000   # added to the user of every tenth event
+STRANGE_SONG = "lost_"          # song prefix of every seventh event
 
 
 # Column types of the driver's test tables, for the columns
@@ -52,9 +55,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     et = F.col("event_type")
     return ev.select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.col("user_id").cast("int").alias("user_id"),
+        F.when(F.col("event_id") % 10 == 9, F.col("user_id") + STRANGER_OFFSET)
+         .otherwise(F.col("user_id")).cast("int").alias("user_id"),
         F.when(et == "signup", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(SONG_PREFIX), F.get_json_object("props", "$.k")))
+         .otherwise(F.concat(F.when(F.col("event_id") % 7 == 6, F.lit(STRANGE_SONG))
+                             .otherwise(F.lit(SONG_PREFIX)), F.get_json_object("props", "$.k")))
          .alias("song_id"),
         F.col("ts"),
         F.when((F.col("user_id") == NO_PLAY_USER) | (et == "error"), F.lit("SKIP"))
@@ -73,13 +78,41 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(msg.cast("binary").alias("value"))
 
 
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of every fifth event once more (published twice)."""
+    ev = raw_events(spark, sf_dir).filter(F.col("event_id").cast("long") % 5 == 0).withColumn(
+        "timestamp", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    msg = to_message("event_id", "user_id", "song_id", "timestamp", "event_type",
+                     "duration_seconds")
+    return ev.select(msg.cast("binary").alias("value"))
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One faulty message for some events, by event_id mod 50: 0 bad time,
+    1 no type, 2 not JSON, 3 user id as text, 4 a repeated id, 5 user id -1,
+    6 unknown type. Ids other than the repeated one get the suffix 'f'."""
+    k = F.col("event_id") % 50
+    ev = spread(table(spark, sf_dir, "events")).filter(k <= 6)
+    eid = F.col("event_id").cast("string")
+    q = F.lit('"')
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    user = F.when(k == 3, F.concat(q, F.col("user_id").cast("string"), q)) \
+        .when(k == 5, F.lit("-1")).otherwise(F.col("user_id").cast("string"))
+    kind = F.when(k == 1, F.lit("null")).when(k == 6, F.lit('"DANCE"')).otherwise(F.lit('"PLAY"'))
+    text = F.concat(
+        F.lit('{"event_id":"'), F.when(k == 4, eid).otherwise(F.concat(eid, F.lit("f"))),
+        F.lit('","user_id":'), user, F.lit(',"song_id":" song_1 ","timestamp":"'),
+        F.when(k == 0, F.lit("soon")).otherwise(stamp), F.lit('","event_type":'), kind, F.lit("}"))
+    text = F.when(k == 2, F.concat(F.lit("not json "), eid)).otherwise(text)
+    return ev.select(text.cast("binary").alias("value"))
+
+
 def users_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users as landed text rows (customers whose key ends in 9 are never
-    landed, so their events enrich to Guest/Unknown)."""
+    """Users as landed text rows."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     j = c.join(n, c.c_nationkey == n.n_nationkey)  # nation: 25 rows, auto-broadcast
-    return j.filter(F.col("c_custkey") % 10 != 9).select(
+    return j.select(
         F.col("c_custkey").cast("string").alias("user_id"),
         F.col("c_name").alias("user_name"),
         F.when(F.col("c_custkey") == NO_PLAY_USER, F.lit(NO_PLAY_COUNTRY))
@@ -91,9 +124,9 @@ def users_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def songs_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Songs as landed rows (parts whose key is 6 mod 7 are never landed)."""
+    """Songs as landed rows."""
     p = table(spark, sf_dir, "part")
-    return p.filter(F.col("p_partkey") % 7 != 6).select(
+    return p.select(
         F.concat(F.lit(SONG_PREFIX), F.col("p_partkey").cast("string")).alias("song_id"),
         F.col("p_name").alias("song_name"),
         F.col("p_brand").alias("artist_name"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +51,47 @@ def event_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None =
     return reader.text(path).select(F.col("value").cast("binary").alias("value"))
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Batch form of :func:`event_stream` over text files."""
-    return spark.read.text(path).select(F.col("value").cast("binary").alias("value"))
-
-
-def read_songs(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Songs landing files. ``multiline`` reads JSON array files (one row per
-    element); set it False for JSON-lines snapshots."""
-    return spark.read.schema(schemas.SONGS_LANDING).option("multiLine", multiline).json(path)
+_HEAD = 1 << 16
+
+
+def _whole_document(head: bytes) -> bool:
+    """True when a JSON file that starts with ``head`` is one document (an
+    array, or an object over several lines), False for one object per line."""
+    text = head.decode("utf-8", "ignore").lstrip("\ufeff \t\r\n")
+    if text.startswith("["):
+        return True
+    first, newline, _ = text.partition("\n")
+    if not newline:
+        return False
+    try:
+        json.loads(first)
+    except ValueError:
+        return True
+    return False
+
+
+def read_json(spark: SparkSession, path: str, schema, multiline: bool | None = None) -> DataFrame:
+    """JSON files with a declared schema, arrays and lines mixed. The shape of
+    each file is taken from its first bytes (one open per landed file, on
+    the driver); ``multiline`` sets it for all files instead."""
+    reader = spark.read.schema(schema)
+    if multiline is not None:
+        return reader.option("multiLine", multiline).json(path)
+    shapes: dict[bool, list[str]] = {True: [], False: []}
+    for name in fs.list_files(spark, path):
+        if name.rsplit(".", 1)[-1] in ("gz", "bz2", "zst", "snappy", "lz4", "deflate"):
+            raise ValueError(f"{name} is compressed: say multiline=True or False")
+        shapes[_whole_document(fs.head(spark, name, _HEAD))].append(name)
+    if not shapes[True] and not shapes[False]:
+        return reader.json(path)
+    parts = [spark.read.schema(schema).option("multiLine", whole).json(names)
+             for whole, names in shapes.items() if names]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def read_songs(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """Songs landing files: JSON arrays (one row per element) or JSON lines."""
+    return read_json(spark, path, schemas.SONGS_LANDING, multiline)
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
@@ -92,9 +126,8 @@ def read_gold(spark: SparkSession, path: str, months: list[int] | None = None) -
     return df
 
 
-def read_track_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed chart pages, one row per track (nested array exploded).
-    ``multiline`` for one (possibly pretty-printed) response per file; False
-    for JSON lines, one page per line."""
-    pages = spark.read.schema(schemas.CHART_PAGE).option("multiLine", multiline).json(path)
+def read_track_pages(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """Landed chart pages, one row per track (nested array exploded): one
+    (possibly pretty-printed) response per file, or one page per line."""
+    pages = read_json(spark, path, schemas.CHART_PAGE, multiline)
     return pages.select(F.explode("tracks.track").alias("t")).select("t.*")

@@ -3,6 +3,7 @@ DataFrame functions the batch plans use."""
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -217,11 +218,16 @@ def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None):
     return w.start()
 
 
+#: Files of a stage's micro-batch at most.
+STAGE_FILES = 1000
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  trigger=None, timeout: float | None = None, as_of=None,
                  single_read: bool = False, gold_trigger=None,
                  enrich_options: dict | None = None,
-                 recommendation_inputs: bool = False, inputs_trigger=None) -> None:
+                 recommendation_inputs: bool = False, inputs_trigger=None,
+                 max_files: int | None = STAGE_FILES, dedupe_delay: str | None = None) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
@@ -233,23 +239,30 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     arrives). ``enrich_options`` go to :func:`enrich_stream`
     (``broadcast_rows``, ``hot_key_rows``). ``recommendation_inputs`` adds
     the two stateful queries of :func:`run_recommendation_inputs` on gold,
-    with ``inputs_trigger`` (default: the gold trigger).
+    with ``inputs_trigger`` (default: the gold trigger). ``max_files`` bounds
+    the files of a stage's micro-batch, so a backlog becomes several batches
+    (these stages carry no watermark: nothing is dropped). ``dedupe_delay``
+    removes event ids repeated within that event time before enrichment;
+    a catch-up run fails if rows came later than that, see late_rows.
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
     if available_now:
         for q in qs:
             q.awaitTermination()
-    valid = stream_table(spark, paths.bronze_valid, _bronze_valid_schema())
+    valid = stream_table(spark, paths.bronze_valid, _bronze_valid_schema(), max_files=max_files)
+    if dedupe_delay:
+        valid = dedupe_valid(valid, dedupe_delay)
     qs.append(enrich_stream(valid, paths, trigger, as_of=as_of, **(enrich_options or {})))
     if available_now:
         qs[-1].awaitTermination()
-    silver = stream_table(spark, paths.silver, _silver_schema())
+        refuse_late_rows(qs[-1])
+    silver = stream_table(spark, paths.silver, _silver_schema(), max_files=max_files)
     qs.append(run_gold(silver, paths, gold_trigger or trigger))
     if available_now:
         qs[-1].awaitTermination()
     if recommendation_inputs:
-        gold = stream_table(spark, paths.gold, gold_stream_schema())
+        gold = stream_table(spark, paths.gold, gold_stream_schema(), max_files=max_files)
         inputs = run_recommendation_inputs(gold, paths, inputs_trigger or gold_trigger or trigger)
         qs.extend(inputs)
         if available_now:
@@ -257,10 +270,36 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                 q.awaitTermination()
     if available_now:
         return
-    spark.streams.awaitAnyTermination(timeout)
-    for q in qs:
-        if q.exception() is not None:
-            raise q.exception()
+    await_own(qs, timeout)
+
+
+def await_own(qs: list, timeout: float | None = None, poll: float = 1.0) -> None:
+    """Block until one of these queries ends (other streams of the session do
+    not matter) or ``timeout`` seconds pass. When one has failed, the others
+    are stopped and its error is raised."""
+    end = None if timeout is None else time.monotonic() + timeout
+    while all(q.isActive for q in qs) and (end is None or time.monotonic() < end):
+        qs[0].awaitTermination(poll if end is None else max(0.0, min(poll, end - time.monotonic())))
+    failed = next((q.exception() for q in qs if q.exception() is not None), None)
+    if failed is not None:
+        for q in qs:
+            if q.isActive:
+                q.stop()
+        raise failed
+
+
+def late_rows(query) -> int:
+    """Rows that a query's watermark has dropped, over its kept progress
+    reports (spark.sql.streaming.numRecentProgressUpdates, 100 by default)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in map(dict, query.recentProgress)
+               for op in p.get("stateOperators", []))
+
+
+def refuse_late_rows(query) -> None:
+    """Fail rather than go on with rows silently missing."""
+    n = late_rows(query)
+    if n:
+        raise RuntimeError(f"{n} rows came later than the watermark delay; use a longer delay")
 
 
 PLAY_COUNT_KEYS = ["country", "song_name", "artist_name"]
@@ -334,11 +373,16 @@ def with_event_time(gold: DataFrame) -> DataFrame:
 
 
 def stream_listening_trend(gold_stream: DataFrame, interval: str = "1 hour",
-                           delay: str = "10 minutes") -> DataFrame:
-    """Tumbling-window event counts per event type with a watermark, so
-    window state is dropped once the watermark passes it. Use update mode
-    for live dashboards, append mode for final counts only."""
-    g = with_event_time(gold_stream).withWatermark("event_timestamp", delay)
+                           delay: str | None = None) -> DataFrame:
+    """Tumbling-window event counts per event type. Without ``delay`` every
+    row counts, whatever order it comes in; the state is one row per window
+    and type, which the calendar bounds (update mode). With ``delay`` a
+    watermark drops window state once it has passed, and with it any row that
+    comes later: for live streams in time order only (append mode gives
+    final counts); :func:`late_rows` tells how many were lost."""
+    g = with_event_time(gold_stream)
+    if delay is not None:
+        g = g.withWatermark("event_timestamp", delay)
     return (g.groupBy(F.window("event_timestamp", interval).alias("w"), "event_type")
              .agg(F.count(F.lit(1)).alias("count"))
              .select(F.col("w.start").alias("time"), "event_type", "count"))
@@ -347,5 +391,15 @@ def stream_listening_trend(gold_stream: DataFrame, interval: str = "1 hour",
 def dedupe_events(events: DataFrame, delay: str = "1 hour",
                   time_col: str = "event_time") -> DataFrame:
     """Drop repeated event_ids arriving within ``delay`` of each other
-    (state per id is kept only until the watermark passes)."""
+    (state per id is kept only until the watermark passes). ``delay`` must
+    cover the disorder of arrival: rows older than the watermark are dropped
+    (:func:`late_rows`)."""
     return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def dedupe_valid(valid: DataFrame, delay: str) -> DataFrame:
+    """:func:`dedupe_events` on bronze rows by their text time. Rows whose
+    time does not parse have no place in event time and pass unchanged."""
+    timed = valid.withColumn("event_time", F.try_to_timestamp("timestamp"))
+    known = dedupe_events(timed.filter("event_time is not null"), delay)
+    return known.unionByName(timed.filter("event_time is null")).drop("event_time")

@@ -56,3 +56,27 @@ def test_growth_and_quality(spark):
     assert pg == [(2, 2), (1, 3)]
     ue = {r.user_id: r for r in I.user_engagement(g).collect()}
     assert ue[2].skip_rate == 0.5 and ue[1].distinct_songs == 1
+
+
+def test_genre_trend_compares_calendar_weeks(spark):
+    from encore.plans.insights import genre_trend
+    rows = [("PLAY", "g", t) for t in ("2024-01-01 10:00:00", "2024-01-02 10:00:00", "2024-01-22 10:00:00",
+                                       "2024-01-29 10:00:00", "2024-01-30 10:00:00")]
+    gold = spark.createDataFrame(rows, "event_type string, genre string, t string").selectExpr(
+        "event_type", "genre", "cast(t as timestamp) as event_timestamp")
+    got = [(str(r.week)[:10], r.plays, r.prev_plays, r.change) for r in genre_trend(gold).collect()]
+    assert got == [("2024-01-01", 2, None, None), ("2024-01-22", 1, 0, 1), ("2024-01-29", 2, 1, 1)]
+
+
+def test_engagement_counts_from_the_first_recommendation(spark):
+    from encore.plans.insights import recommendation_engagement
+    recs = spark.createDataFrame(
+        [(1, ["s - a"], "2024-01-01 10:00:00"), (1, ["s - a"], "2024-01-01 11:00:00"),
+         (2, ["s - a"], "2024-01-01 11:00:00")], "user_id int, recommended_songs array<string>, t string") \
+        .selectExpr("user_id", "recommended_songs", "cast(t as timestamp) as updated_at")
+    gold = spark.createDataFrame([(1, "2024-01-01 10:30:00"), (2, "2024-01-01 10:30:00")],
+                                 "user_id int, t string").selectExpr(
+        "user_id", "'s' as song_name", "'a' as artist_name", "'PLAY' as event_type",
+        "cast(t as timestamp) as event_timestamp", "202401 as event_month")
+    row = recommendation_engagement(recs, gold).collect()
+    assert [(r.song, r.recommended_users, r.engaged_users) for r in row] == [("s - a", 2, 1)]

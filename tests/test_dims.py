@@ -67,3 +67,15 @@ def test_prune_versions_keeps_newest(spark, tmp_root):
     assert [g.rsplit("/", 1)[1] for g in gone] == ["v=000000", "v=000001", "v=000002"]
     assert resolve_current(spark, root) == cur and spark.read.parquet(cur).count() == 5
     assert sorted(d for d in fs.list_dirs(spark, root)) == ["v=000003", "v=000004", "v=000005"]
+
+
+def test_uncommitted_version_is_never_read(spark, tmp_root):
+    import pytest
+
+    from encore.sinks import fs
+    from encore.sinks.tables import publish_version, resolve_current
+    fs.mkdirs(spark, f"{tmp_root}/t/v=000000")
+    with pytest.raises(RuntimeError, match="no committed version"):
+        resolve_current(spark, f"{tmp_root}/t")
+    path = publish_version(spark.range(3), f"{tmp_root}/t")
+    assert resolve_current(spark, f"{tmp_root}/t") == path and path.endswith("v=000001")

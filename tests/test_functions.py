@@ -1,13 +1,15 @@
 from pyspark.sql import functions as F
 
 from encore.functions import minutes_for, song_label, to_int, to_ts, track_id
+from encore.functions.scalar import TRACK_ID_BUCKETS
 
 
 def test_to_int_matches_lenient_cast(spark):
-    vals = ["3.0", "x", " 2 ", "1e2", "3000000000", "-3.9", "3.9", "+5", "7", None, "", "2."]
+    vals = ["3.0", "x", " 2 ", "1e2", "3000000000", "-3.9", "3.9", "+5", "7", None, "", "2.",
+            ".5", "+.9", "3.9999999999999999999", ".", "-", "1.2.3", "00012"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(to_int("s")).collect()]
-    assert got == [3, None, 2, None, None, -3, 3, 5, 7, None, None, 2]
+    assert got == [3, None, 2, None, None, -3, 3, 5, 7, None, None, 2, 0, 0, 3, 0, None, None, 12]
 
 
 def test_to_ts_is_null_on_bad_text(spark):
@@ -30,5 +32,15 @@ def test_track_id_stable_and_prefers_catalogue_id(spark):
     assert ids[0] == "m1"
     assert ids[1] == ids[2] and ids[1].startswith("lf_")
     import hashlib
-    expect = int(hashlib.md5(b"na").hexdigest()[:8], 16) % 100000
-    assert ids[1] == f"lf_{expect}"
+    assert ids[1] == "lf_" + hashlib.md5(b"n\x1fa").hexdigest()
+    # the upstream form, on request
+    old = df.select(track_id("mbid", "name", "artist", buckets=TRACK_ID_BUCKETS)).collect()[1][0]
+    assert old == f"lf_{int(hashlib.md5(b'na').hexdigest()[:8], 16) % 100000}"
+
+
+def test_track_ids_keep_tracks_apart(spark):
+    df = spark.range(300_000).selectExpr("concat('n', id) as name", "concat('a', id % 7) as artist")
+    ids = df.select(track_id(F.lit(None).cast("string"), "name", "artist").alias("i"))
+    assert ids.distinct().count() == 300_000
+    pair = spark.createDataFrame([("ab", "c"), ("a", "bc")], "name string, artist string")
+    assert pair.select(track_id(F.lit(""), "name", "artist").alias("i")).distinct().count() == 2

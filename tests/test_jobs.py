@@ -15,35 +15,33 @@ def test_jobs_end_to_end(spark, tmp_root):
     writers.land_songs(fixtures.songs_landing(spark, SF), f"{land}/songs", "20240101_000000")
     writers.land_users(fixtures.users_landing(spark, SF), f"{land}/users")
     writers.publish_messages(fixtures.event_messages(spark, SF), f"{land}/messages")
-    jobs.dimension_job(spark, tmp_root, f"{land}/songs/*", f"{land}/users",
-                       songs_multiline=False)
+    jobs.dimension_job(spark, tmp_root, f"{land}/songs/*", f"{land}/users")
     paths = LakePaths(tmp_root)
     assert read_table(spark, paths.dim_users).count() == fixtures.users_landing(spark, SF).count()
     # re-running the dimension job publishes an identical new version
-    jobs.dimension_job(spark, tmp_root, f"{land}/songs/*", f"{land}/users",
-                       songs_multiline=False)
+    jobs.dimension_job(spark, tmp_root, f"{land}/songs/*", f"{land}/users")
     assert read_table(spark, paths.dim_songs).count() == fixtures.songs_landing(spark, SF).count()
     jobs.streaming_job(spark, tmp_root, "text", source_path=f"{land}/messages",
                        trigger={"availableNow": True}, recommendation_inputs=True)
     assert spark.read.parquet(paths.gold).count() == 801
     jobs.recommendation_job(spark, tmp_root, as_of="2024-01-31 00:00:00")
     recs = jobs.recommendation_job(spark, tmp_root, as_of="2024-02-01 00:00:00")
-    assert recs.count() == 28
+    assert recs.count() == 58
     cur = latest_recommendations(recs)
-    assert cur.count() == 14
+    assert cur.count() == 29
     assert cur.filter(F.col("updated_at") != F.lit("2024-02-01 00:00:00").cast("timestamp")).count() == 0
     # the same generation from the streamed play counts and active users
     inc = jobs.recommendation_job(spark, tmp_root, as_of="2024-02-02 00:00:00", incremental=True)
     gen = F.col("updated_at")
     new = inc.filter(gen == F.lit("2024-02-02 00:00:00").cast("timestamp")).drop("updated_at")
     old = inc.filter(gen == F.lit("2024-02-01 00:00:00").cast("timestamp")).drop("updated_at")
-    assert new.count() == 14 and new.exceptAll(old).count() == 0
+    assert new.count() == 29 and new.exceptAll(old).count() == 0
     # the serving table holds exactly the newest row per user of the history
     from encore.sinks.tables import resolve_current
     paths = LakePaths(tmp_root)
     current = spark.read.parquet(resolve_current(spark, paths.recommendations_current))
     hist = latest_recommendations(inc)
-    assert current.count() == 14
+    assert current.count() == 29
     assert current.exceptAll(hist.select(*current.columns)).count() == 0
 
 

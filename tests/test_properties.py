@@ -16,10 +16,12 @@ BLANKS = "".join(chr(c) for c in range(0x21)) + "".join(chr(c) for c in range(0x
 def model(s):
     if s is None:
         return None
-    m = re.fullmatch(r"([+-]?)([0-9]+)(\.[0-9]*)?", s.strip(BLANKS))
-    if not m:
+    t = s.strip(BLANKS)
+    body = t[1:] if t[:1] in ("+", "-") else t
+    whole, _, fraction = body.partition(".")
+    if not body or not all("0" <= c <= "9" for c in whole + fraction):
         return None
-    v = int(m.group(2)) * (-1 if m.group(1) == "-" else 1)
+    v = int(whole or "0") * (-1 if t.startswith("-") else 1)
     return v if -2**31 <= v < 2**31 else None
 
 

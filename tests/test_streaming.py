@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert_table
@@ -88,8 +89,13 @@ def test_single_read_bronze_matches_two_queries(spark, tmp_root):
 
 def test_publish_batch_marker_commit(spark, tmp_root):
     df = spark.range(3)
-    assert writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
-    assert not writers.publish_batch(df, f"{tmp_root}/m", 0, commit="marker")
+    # a broken final directory (no marker) is replaced, a whole one is not
+    from encore.sinks import fs
+    fs.mkdirs(spark, f"{tmp_root}/m/batch_id=0")
+    assert writers.publish_batch(df, f"{tmp_root}/m", 0)
+    assert not writers.publish_batch(df, f"{tmp_root}/m", 0)
+    with pytest.raises(RuntimeError, match="atomic rename"):
+        writers.publish_batch(df, "s3a://bucket/x", 0)
     assert spark.read.parquet(f"{tmp_root}/m").count() == 3
 
 
@@ -133,7 +139,7 @@ def test_recommendation_inputs_track_gold(spark, tmp_root):
     plays, users = read_recommendation_inputs(spark, paths)
     gold = _gold(spark, paths)
     exp_plays, exp_users = plays_by_country(gold), active_users(gold)
-    assert plays.count() == exp_plays.count() and users.count() == exp_users.count() == 14
+    assert plays.count() == exp_plays.count() and users.count() == exp_users.count() == 29
     assert plays.exceptAll(exp_plays.select(*plays.columns)).count() == 0
     assert users.exceptAll(exp_users.select(*users.columns)).count() == 0
     # restart: same checkpoints, nothing new, same tables
@@ -223,3 +229,48 @@ def test_dedupe_within_watermark(spark, tmp_root):
         q.awaitTermination()
     ids = sorted(r.event_id for r in spark.read.parquet(out).collect())
     assert ids == ["e1", "e2", "e3"]
+
+
+@pytest.mark.parametrize("files", [3, 24])
+def test_streamed_counts_do_not_depend_on_the_number_of_files(spark, tmp_root, files):
+    from encore.sources.readers import stream_table
+    from encore.streaming.pipeline import late_rows, stream_listening_trend
+    from encore import schemas
+    gold = lake.from_tables(spark, SF).gold
+    gold.repartition(files).write.partitionBy("event_month").parquet(f"{tmp_root}/gold")
+    src = stream_table(spark, f"{tmp_root}/gold", schemas.GOLD, max_files=2)
+    q = (stream_listening_trend(src).writeStream.outputMode("complete").format("memory")
+         .queryName(f"trend_{files}").option("checkpointLocation", f"{tmp_root}/c")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert late_rows(q) == 0
+    assert spark.table(f"trend_{files}").agg(F.sum("count")).first()[0] == 801
+
+
+def test_pipeline_removes_repeated_events(spark, tmp_root):
+    paths = LakePaths(tmp_root)
+    msgs = f"{tmp_root}/msgs"
+    both = fixtures.event_messages(spark, SF).unionByName(fixtures.repeated_messages(spark, SF))
+    writers.publish_messages(both, msgs)
+    upsert_table(build_dim_users(fixtures.users_landing(spark, SF)), paths.dim_users, ["user_id"])
+    upsert_table(build_dim_songs(fixtures.songs_landing(spark, SF)), paths.dim_songs, ["song_id"])
+    raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": 2})
+    run_pipeline(spark, raw, paths, trigger=NOW, as_of=lake.FIXED_AS_OF, dedupe_delay="62 days")
+    got = _gold(spark, paths)
+    assert got.count() == 801 == got.select("event_id").distinct().count()
+
+
+def test_late_rows_fail_a_catch_up_run(spark, tmp_root):
+    from encore.sources.readers import stream_table
+    from encore.streaming.pipeline import dedupe_events, refuse_late_rows
+    for day in (20, 1, 2):      # written in this order, one file a day
+        spark.createDataFrame([(f"e{day}", f"2024-01-{day:02d} 00:00:00")], "event_id string, t string") \
+            .selectExpr("event_id", "cast(t as timestamp) as event_time") \
+            .coalesce(1).write.mode("append").parquet(f"{tmp_root}/in")
+        __import__("time").sleep(1.1)   # files are taken by modification time
+    src = stream_table(spark, f"{tmp_root}/in", "event_id string, event_time timestamp", max_files=1)
+    q = (dedupe_events(src, "1 hour").writeStream.format("parquet")
+         .option("checkpointLocation", f"{tmp_root}/c").trigger(availableNow=True).start(f"{tmp_root}/out"))
+    q.awaitTermination()
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        refuse_late_rows(q)
