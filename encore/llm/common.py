@@ -39,9 +39,8 @@ def crc_mod(column: str, n: int):
 
 def _mark(e: DataFrame) -> tuple:
     """Fingerprint of a set of edges: a round that keeps it changed nothing."""
-    h = F.xxhash64("u", "v")
-    return tuple(e.agg(F.count("*"), F.bit_xor(h), F.bit_xor(F.shiftrightunsigned(h, 7) + F.col("u")))
-                 .first())
+    return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
+                       F.bit_xor(F.xxhash64("v", F.lit(1), "u"))).first())
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
