@@ -115,8 +115,9 @@ def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def window_rows(size: int = WINDOW, period: int = PERIOD, cover=COVER):
-    """Batches of (h1, h2, text, shared), shared being the anchors (by number
-    in their text) that a second text has -> every window around them."""
+    """Batches of (first_id, text_no, text, shared), shared being the anchors
+    (by number in their text) that a second text has -> every window around
+    them, named by 96 hash bits."""
     run = size - period + 1
 
     def go(batches):
@@ -137,10 +138,11 @@ def window_rows(size: int = WINDOW, period: int = PERIOD, cover=COVER):
             i = np.flatnonzero(use)
             row = w.rows()[i]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(w.runs(size)[i])), pa.array(signed(w.runs(size, second=True)[i])),
+                [pa.array(signed(w.runs(size)[i])),
+                 pa.array((w.runs(size, second=True)[i] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                  b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)),
                  pa.array((i - w.row[:-1][row]).astype(np.int32))],
-                names=["w1", "w2", "h1", "h2", "at"])
+                names=["w1", "w2", "first_id", "text_no", "at"])
     return go
 
 
@@ -187,36 +189,37 @@ def _judged(docs: DataFrame, size: int, as_text: bool) -> tuple[DataFrame, DataF
     spark = docs.sparkSession
     slim = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    rows = stored(slim.mapInArrow(text_anchors(size), ANCHOR_SCHEMA), "op6-anchors")
-    first = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"))
+    rows = slim.mapInArrow(text_anchors(size), ANCHOR_SCHEMA)
+    rows = stored(rows.withColumn("text_no", F.monotonically_increasing_id()), "op6-anchors")
+    first = stored(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"),
+                                                F.min("text_no").alias("text_no")), "op6-first")
     # Anchors that at least two different texts contain.
-    each = rows.select("h1", "h2", F.posexplode("anchors").alias("k", "anchor"))
-    shared = (each.groupBy("anchor").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+    each = rows.join(first.select("text_no"), "text_no", "left_semi") \
+        .select("text_no", F.posexplode("anchors").alias("k", "anchor"))
+    shared = (each.groupBy("anchor").agg(F.min("text_no").alias("lo"), F.max("text_no").alias("hi"))
               .filter("lo <> hi").select("anchor"))
-    marked = stored(each.join(shared, "anchor").select("h1", "h2", "k").distinct()
-                    .groupBy("h1", "h2").agg(F.sort_array(F.collect_list("k")).alias("shared")),
-                    "op6-shared")
+    marked = stored(each.join(shared, "anchor").groupBy("text_no")
+                    .agg(F.sort_array(F.collect_list("k")).alias("shared")), "op6-shared")
     release(spark)
     # Texts to extend: one of each group of copies, read again with its marks.
-    texts = with_hash(slim).join(marked, ["h1", "h2"])
-    texts = texts.groupBy("h1", "h2").agg(F.min_by("text", "doc_id").alias("text"),
-                                          F.min_by("shared", "doc_id").alias("shared"))
-    texts = stored(texts, "op6-texts")
+    marks = marked.join(first, "text_no")
+    texts = stored(with_hash(slim.select("text")).join(marks, ["h1", "h2"]).groupBy("h1", "h2").agg(
+        *[F.first(c).alias(c) for c in ("first_id", "text_no", "text", "shared")]), "op6-texts")
+    release(spark)
+    # Made twice rather than stored: the rows are larger than their texts.
+    windows = texts.select("first_id", "text_no", "text", "shared").mapInArrow(
+        window_rows(size), "w1 long, w2 int, first_id long, text_no long, at int")
+    lowest = stored(windows.groupBy("w1", "w2").agg(F.min("first_id").alias("lowest"),
+                                                    F.max("first_id").alias("highest"))
+                    .filter("lowest < highest").drop("highest"), "op6-lowest")
     release(spark)
-    windows = (texts.select("h1", "h2", "text", "shared")
-               .mapInArrow(window_rows(size), "w1 long, w2 long, h1 long, h2 long, at int")
-               .join(first, ["h1", "h2"]))
-    windows = stored(windows, "op6-windows")
-    lowest = windows.groupBy("w1", "w2").agg(F.min("first_id").alias("lowest"),
-                                             F.max("first_id").alias("highest")) \
-        .filter("lowest < highest").drop("highest")
     starts = (windows.join(lowest, ["w1", "w2"]).filter("lowest < first_id")
-              .groupBy("h1", "h2").agg(F.collect_list("at").alias("starts")))
-    kept = (texts.drop("shared").join(starts, ["h1", "h2"])
+              .groupBy("text_no").agg(F.collect_list("at").alias("starts")))
+    kept = (texts.drop("shared").join(starts, "text_no")
             .select("h1", "h2", "text", "starts")
             .mapInArrow(kept_rows(size, as_text),
                         "h1 long, h2 long, n_removed long, kept string"))
-    return rows.drop("anchors").join(first, ["h1", "h2"]), kept
+    return rows.drop("anchors", "text_no").join(first.drop("text_no"), ["h1", "h2"]), kept
 
 
 def dedup_query(docs: DataFrame, size: int = WINDOW) -> DataFrame:
