@@ -165,7 +165,8 @@ def fit_ordinal(row: np.ndarray, slot: np.ndarray, y: np.ndarray, size: int,
 
 
 def _sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
+    with np.errstate(over="ignore"):           # exp may be infinite: the result is 0
+        return 1.0 / (1.0 + np.exp(-np.asarray(x, np.float64)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -187,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     nb, na = total[:, -1]
     slot = np.full(BUCKETS, -1, np.int64)
     if not na or not nb:
-        return Model(slot, np.zeros(0), np.full(3, 1e3 if not na else -1e3))
+        return Model(slot, np.zeros(0), np.full(3, np.inf if not na else -np.inf))
     kept, strong = _select(total[1, :-1], total[0, :-1], int(na), int(nb))
     slot[kept] = np.arange(len(kept))
     held = spark.sparkContext.broadcast(slot)

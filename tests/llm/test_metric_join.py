@@ -78,8 +78,8 @@ def test_cells_hold_every_partner():
 
 def test_pivots_are_chosen_when_they_help():
     r = np.random.default_rng(8)
-    centre = r.normal(size=(200, 32))
-    x = np.repeat(centre, 20, axis=0) + 0.02 * r.normal(size=(4000, 32))
+    centre = r.normal(size=(200, 8))
+    x = np.repeat(centre, 20, axis=0) + 0.02 * r.normal(size=(4000, 8))
     x /= np.linalg.norm(x, axis=1)[:, None]
     r.shuffle(x)
     assert len(metric_join.choose_pivots(x[:2000], 1_000_000, 0.2)) >= 16
