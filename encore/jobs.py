@@ -43,7 +43,7 @@ def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
                   source_options: dict | None = None, source_path: str | None = None,
                   trigger: dict | None = None, timeout: float | None = None,
                   single_read: bool = False, recommendation_inputs: bool = False,
-                  dedupe_delay: str | None = None) -> None:
+                  dedupe_delay: str | None = None, gold_jdbc: dict | None = None) -> None:
     """Messages -> bronze -> silver -> gold until stopped (or to completion
     with ``trigger={'availableNow': True}``). ``recommendation_inputs`` also
     keeps the play counts and active users current from the gold table."""
@@ -51,7 +51,7 @@ def streaming_job(spark: SparkSession, lake: str, source_format: str = "kafka",
     run_pipeline(spark, raw, LakePaths(lake), trigger=trigger, timeout=timeout,
                  single_read=single_read,
                  gold_trigger=None if trigger else {"processingTime": "10 seconds"},
-                 recommendation_inputs=recommendation_inputs, dedupe_delay=dedupe_delay,
+                 recommendation_inputs=recommendation_inputs, dedupe_delay=dedupe_delay, gold_jdbc=gold_jdbc,
                  inputs_trigger=None if trigger else {"processingTime": "5 minutes"})
 
 
@@ -114,6 +114,8 @@ def main(argv=None) -> None:
     ap.add_argument("--recommendation-inputs", action="store_true",
                     help="stream: keep play counts / active users current")
     ap.add_argument("--max-offsets", type=int, help="stream: Kafka messages per micro-batch")
+    ap.add_argument("--jdbc-url", help="stream: also append gold to this store (needs its driver)")
+    ap.add_argument("--jdbc-table", default="realtime_music_events")
     ap.add_argument("--dedupe-delay", help="stream: drop event ids repeated within this time")
     ap.add_argument("--incremental", action="store_true",
                     help="recommend: read the streamed play counts / active users")
@@ -123,15 +125,16 @@ def main(argv=None) -> None:
         dimension_job(spark, a.lake, a.songs, a.users, songs_multiline=False if a.songs_json_lines else None)
     elif a.job == "stream":
         trig = {"availableNow": True} if a.available_now else None
+        jdbc = {"url": a.jdbc_url, "dbtable": a.jdbc_table} if a.jdbc_url else None
         if a.messages:
             streaming_job(spark, a.lake, "text", source_path=a.messages, trigger=trig,
-                          single_read=a.single_read, dedupe_delay=a.dedupe_delay,
+                          single_read=a.single_read, dedupe_delay=a.dedupe_delay, gold_jdbc=jdbc,
                           recommendation_inputs=a.recommendation_inputs)
         else:
             streaming_job(spark, a.lake, "kafka",
                           {"kafka.bootstrap.servers": a.kafka_servers, "subscribe": a.topic}
                           | ({"maxOffsetsPerTrigger": str(a.max_offsets)} if a.max_offsets else {}),
-                          trigger=trig, single_read=a.single_read, dedupe_delay=a.dedupe_delay,
+                          trigger=trig, single_read=a.single_read, dedupe_delay=a.dedupe_delay, gold_jdbc=jdbc,
                           recommendation_inputs=a.recommendation_inputs)
     else:
         recommendation_job(spark, a.lake, a.n, a.fallback, incremental=a.incremental)

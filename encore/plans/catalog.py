@@ -315,6 +315,11 @@ def q_dim_users_upsert(spark, sf_dir):
     return upsert(target, build_dim_users(landing), ["user_id"])
 
 
+def q_recommendation_candidates(spark, sf_dir):
+    from encore.plans.ml import candidates, user_song_plays
+    return candidates(user_song_plays(_gold(spark, sf_dir)))
+
+
 def q_als_recommend(spark, sf_dir):
     from encore.plans.ml import als_recommend
     return als_recommend(_gold(spark, sf_dir), n=3)
@@ -366,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "track_pages_roundtrip": q_track_pages_roundtrip,
     "recommendation_history": q_recommendation_history,
     "dim_users_upsert": q_dim_users_upsert,
+    "recommendation_candidates": q_recommendation_candidates,
     "als_recommend": q_als_recommend,
     "streaming_gold": streams.streaming_gold,
     "streaming_trend": streams.streaming_trend,

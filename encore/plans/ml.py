@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.session import checkpoint_root
+from encore.operators.topn import top_n_per_group
+from encore.session import checkpoint_root, scratch_path
 
 _PART_SHIFT = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
@@ -29,29 +30,52 @@ def dense_ids(keys: DataFrame, key: str, id_col: str = "idx") -> DataFrame:
                .select(key, (F.col("_off") + local).cast("int").alias(id_col)))
 
 
+def user_song_plays(gold: DataFrame) -> DataFrame:
+    """PLAY count per (user_id, country, song_id)."""
+    return (gold.filter((F.col("event_type") == "PLAY") & F.col("user_id").isNotNull())
+                .groupBy("user_id", "country", "song_id").agg(F.count(F.lit(1)).alias("plays")))
+
+
+def candidates(plays: DataFrame, k: int = 50) -> DataFrame:
+    """(user_id, song_id): of each user's country, the ``k`` most played songs
+    (ties: song_id) that the user has not played. At most k rows per user and
+    country, so the set grows with the users, never users x songs; the
+    chart of a country travels as one array of at most k ids."""
+    chart = top_n_per_group(plays.groupBy("country", "song_id").agg(F.sum("plays").alias("plays")),
+                            ["country"], [F.col("plays").desc(), F.col("song_id")], k)
+    chart = chart.groupBy("country").agg(F.collect_set("song_id").alias("songs"))
+    users = plays.select("user_id", "country").distinct()
+    offered = users.join(chart, "country").select("user_id", F.explode("songs").alias("song_id")).distinct()
+    return offered.join(plays.select("user_id", "song_id"), ["user_id", "song_id"], "left_anti")
+
+
 def als_recommend(gold: DataFrame, n: int = 3, rank: int = 10, max_iter: int = 5,
-                  reg: float = 0.1, alpha: float = 1.0, seed: int = 42) -> DataFrame:
-    """Top-n songs per user by the preference of an implicit ALS model
-    fitted on PLAY counts per (user, song). Returns (user_id, rank,
-    song_id, score).
-
-    Only observed (user, song) pairs are scored: ``model.transform`` joins
-    them to the user and song factors on their ids. Scoring every user
-    against every song (``recommendForAllUsers``, a blocked cross join of the
-    factor tables) costs O(users x songs) and is not used. The per-user top
-    n is a window group limit, so a user with a third of all pairs ships at
-    most n rows per map partition."""
-    from pyspark.ml.recommendation import ALS
+                  reg: float = 0.1, alpha: float = 1.0, seed: int = 42, k: int = 50) -> DataFrame:
+    """The n best of each user's :func:`candidates` by the preference of an
+    implicit ALS model fitted on PLAY counts per (user, song). Returns
+    (user_id, rank, song_id, score); no song that the user has played.
 
-    from encore.operators.topn import top_n_per_group
+    Only candidates are scored: ``model.transform`` joins them to the user
+    and song factors on their ids. Scoring every user against every song
+    (``recommendForAllUsers``) costs O(users x songs) and is not used. The
+    counts are written once and read by the id, fit and candidate steps; the
+    number of factor blocks follows the shuffle partitions. The per-user top
+    n is a window group limit, so it ships at most n rows per user and map
+    partition."""
+    from pyspark.ml.recommendation import ALS
 
-    plays = (gold.filter((F.col("event_type") == "PLAY") & F.col("user_id").isNotNull())
-                 .groupBy("user_id", "song_id").agg(F.count(F.lit(1)).cast("float").alias("plays")))
+    spark = gold.sparkSession
+    path = scratch_path(spark, "als-plays")
+    user_song_plays(gold).write.parquet(path)
+    plays = spark.read.schema("user_id int, country string, song_id string, plays long").parquet(path)
     ids = dense_ids(plays, "song_id", "item")
-    data = plays.join(ids, "song_id").select("user_id", "item", "song_id", "plays")
+    data = plays.groupBy("user_id", "song_id").agg(F.sum("plays").cast("float").alias("plays")) \
+        .join(ids, "song_id").select("user_id", "item", "plays")
+    blocks = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
     model = ALS(userCol="user_id", itemCol="item", ratingCol="plays", implicitPrefs=True,
                 rank=rank, maxIter=max_iter, regParam=reg, alpha=alpha, seed=seed,
+                numUserBlocks=blocks, numItemBlocks=blocks,
                 coldStartStrategy="drop", checkpointInterval=2).fit(data)
-    scored = model.transform(data).select("user_id", "song_id",
-                                          F.col("prediction").alias("score"))
+    scored = model.transform(candidates(plays, k).join(ids, "song_id")) \
+        .select("user_id", "song_id", F.col("prediction").alias("score"))
     return top_n_per_group(scored, ["user_id"], [F.col("score").desc(), F.col("song_id")], n)

@@ -351,6 +351,14 @@ ORACLE = {
         SELECT user_id, user_name, rank, song, TIMESTAMP '{_SPLIT}' AS updated_at FROM {_FIRST} a
         UNION ALL
         SELECT user_id, user_name, rank, song, TIMESTAMP '2024-02-01 00:00:00' FROM {_SECOND} b""",
+    "recommendation_candidates": """
+        , p AS (SELECT DISTINCT user_id, country, song_id FROM gold WHERE event_type = 'PLAY'),
+        c AS (SELECT country, song_id,
+                     row_number() OVER (PARTITION BY country ORDER BY count(*) DESC, song_id) AS rk
+              FROM gold WHERE event_type = 'PLAY' GROUP BY country, song_id)
+        SELECT DISTINCT u.user_id, c.song_id
+        FROM (SELECT DISTINCT user_id, country FROM p) u JOIN c ON u.country = c.country AND c.rk <= 50
+        WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.user_id = u.user_id AND p.song_id = c.song_id)""",
     "track_catalog": """
         SELECT CASE WHEN mbid <> '' THEN mbid
                     ELSE 'lf_' || md5(name || chr(31) || artist) END AS song_id,

@@ -203,13 +203,15 @@ def _silver_schema():
         schemas.T.StructField("batch_id", schemas.T.LongType())])
 
 
-def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None):
+def run_gold(silver_stream: DataFrame, paths: LakePaths, trigger=None,
+             jdbc_options: dict | None = None):
     """Load gold per micro-batch (empty batches skipped, idempotent on
-    replay)."""
+    replay). ``jdbc_options`` also appends each batch to an external store
+    (at least once: see writers.write_gold)."""
     guard_checkpoint(silver_stream.sparkSession, paths.ckpt("gold"), paths.gold)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        writers.write_gold(df.drop("batch_id"), batch_id, paths.gold, paths.gold_rejects)
+        writers.write_gold(df.drop("batch_id"), batch_id, paths.gold, paths.gold_rejects, jdbc_options)
 
     w = silver_stream.writeStream.foreachBatch(_batch).option(
         "checkpointLocation", paths.ckpt("gold"))
@@ -227,7 +229,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
                  single_read: bool = False, gold_trigger=None,
                  enrich_options: dict | None = None,
                  recommendation_inputs: bool = False, inputs_trigger=None,
-                 max_files: int | None = STAGE_FILES, dedupe_delay: str | None = None) -> None:
+                 max_files: int | None = STAGE_FILES, dedupe_delay: str | None = None,
+                 gold_jdbc: dict | None = None) -> None:
     """Bronze -> silver -> gold through tables.
 
     With ``trigger={"availableNow": True}`` the stages run one after the
@@ -244,6 +247,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     (these stages carry no watermark: nothing is dropped). ``dedupe_delay``
     removes event ids repeated within that event time before enrichment;
     a catch-up run fails if rows came later than that, see late_rows.
+    ``gold_jdbc``: options of a JDBC sink that gets the gold rows too.
     """
     available_now = bool(trigger and trigger.get("availableNow"))
     qs = run_bronze(raw, paths, trigger, as_of=as_of, single_read=single_read)
@@ -258,7 +262,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
         qs[-1].awaitTermination()
         refuse_late_rows(qs[-1])
     silver = stream_table(spark, paths.silver, _silver_schema(), max_files=max_files)
-    qs.append(run_gold(silver, paths, gold_trigger or trigger))
+    qs.append(run_gold(silver, paths, gold_trigger or trigger, gold_jdbc))
     if available_now:
         qs[-1].awaitTermination()
     if recommendation_inputs:
