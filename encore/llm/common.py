@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import gc
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.session import scratch_path
+from encore.sinks import fs
 
 NULL_ID = (1 << 63) - 1        # a null doc_id counts as the largest id
 
@@ -22,8 +24,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    schema = df.schema
-    return spark.read.schema(schema).parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Tables that this driver has stored and not cleared.
+_WRITTEN: list[str] = []
+
+
+def clear_stored(spark: SparkSession, but_last: int = 0) -> None:
+    """Delete the stored tables, except the last ``but_last``. Call it when
+    every result that reads them has been written."""
+    done = _WRITTEN[:len(_WRITTEN) - but_last]
+    del _WRITTEN[:len(done)]
+    for path in done:
+        fs.delete(spark, path)
 
 
 def release(spark: SparkSession) -> None:
@@ -37,6 +52,23 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+SKETCH_BITS = 1 << 23
+
+
+def sketch(df: DataFrame, column: str) -> np.ndarray:
+    """SKETCH_BITS flags (1 MB, whatever the input): True at the low bits of
+    each hash in ``column``. Rows of a large table whose hash has no flag
+    cannot meet these rows in a join and need not be shuffled; with very many
+    hashes all flags are set and the filter passes everything."""
+    at = F.col(column).bitwiseAND(F.lit(SKETCH_BITS - 1)) + 1
+    rows = df.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect()
+    flags = np.zeros((SKETCH_BITS // 32768, 4096), np.uint8)
+    for r in rows:                             # at most SKETCH_BITS / 32768
+        flags[r["b"] - 1] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return np.unpackbits(flags.ravel(), bitorder="little").astype(bool)
+
+
 def _mark(e: DataFrame) -> tuple:
     """Fingerprint of a set of edges: a round that keeps it changed nothing."""
     return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),

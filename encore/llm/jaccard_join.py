@@ -20,11 +20,11 @@ many equal partitions below that size to be missed; bands with few partitions
 are enumerated under several independent hashes. The chance is under 1e-9 a
 pair at similarity 0.75 and far less above it.
 
-Texts with equal sets are one node. In each bucket the smallest node is
-compared with every other (a star, linear in the bucket); components follow;
-then nodes of one bucket that are still in different components are compared
-too. So a group of near copies costs a star per bucket, never all pairs, and
-no link between components is lost. Before sets are fetched, pairs must pass
+Texts with equal sets are one node. In each bucket the smallest and the
+largest node are compared with every other (two stars, linear in the bucket);
+components follow; then nodes of one bucket that are still in different
+components are compared too. So a group of near copies costs two stars per
+bucket, never all pairs, and no link between components is lost. Before sets are fetched, pairs must pass
 an exact bound: parities of the shingles in 1024 cells differ in at most k
 cells. What passes is verified on the full sets.
 
@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import components, release, stored
+from encore.llm.common import SKETCH_BITS, components, release, sketch, stored
 from encore.llm.words import Words, chunks, list_array, mix, signed
 
 SHINGLE = 5
@@ -192,8 +192,9 @@ def _set_rows(batches):
             names=["node", "members"])
 
 
-def _nodes_of_text(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the node of its text appended (null without shingles)."""
+def _nodes_of_text(df: DataFrame, text: str = "text", wanted=None) -> DataFrame:
+    """``df`` with the node of its text appended (null without shingles).
+    ``wanted``, a broadcast sketch: only rows whose node has its flag."""
     df = df.select(*[c for c in df.columns if c != "node"])
     schema = T.StructType([*df.schema.fields, T.StructField("node", T.LongType())])
 
@@ -205,8 +206,11 @@ def _nodes_of_text(df: DataFrame, text: str = "text") -> DataFrame:
             ident = np.zeros(b.num_rows, np.uint64)
             np.add.at(ident, row, mix(h ^ np.uint64(0xA24BAED4963EE407)))
             ident = mix(ident + n.astype(np.uint64))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(signed(ident), mask=n == 0)],
+            out = pa.RecordBatch.from_arrays([*b.columns, pa.array(signed(ident), mask=n == 0)],
                                              names=[*b.schema.names, "node"])
+            if wanted is not None:
+                out = out.filter(pa.array(wanted.value[ident & np.uint64(SKETCH_BITS - 1)] & (n > 0)))
+            yield out
     return df.mapInArrow(go, schema)
 
 
@@ -239,7 +243,9 @@ def _check(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """Those of the candidate pairs (a, b) that link."""
     need = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
-    once = (_nodes_of_text(texts.select("text")).join(need, "node", "left_semi")
+    need = stored(need, name + "-need")
+    wanted = texts.sparkSession.sparkContext.broadcast(sketch(need, "node"))
+    once = (_nodes_of_text(texts.select("text"), wanted=wanted).join(need, "node", "left_semi")
             .groupBy("node").agg(F.first("text").alias("text")))
     sets = stored(once.select("text").mapInArrow(_set_rows, "node long, members binary"), name + "-sets")
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
@@ -255,32 +261,34 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                         F.col("text").cast("string").alias("text"))
     rows = stored(texts.mapInArrow(_signature_rows, SIGNATURE_SCHEMA), "op8-signatures")
     each = rows.select("node", F.explode("sigs").alias("sig"))
-    multi = (each.groupBy("sig").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-             .filter("pivot <> last").drop("last"))
-    nodes = rows.filter("node is not null").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("parity").alias("parity"))
-    members = each.join(multi, "sig").distinct()
-    members = stored(members.join(nodes, "node"), "op8-buckets")
+    multi = (each.groupBy("sig").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+             .filter("first <> last"))
+    members = stored(each.join(multi, "sig").distinct(), "op8-buckets")
     release(spark)
-    pivots = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"),
-                          F.col("parity").alias("pp"))
-    stars = members.filter("node <> pivot").select("pivot", "node", "n", "parity").distinct()
-    pairs = stars.join(pivots, "pivot").filter(_plausible("n", "parity", "pn", "pp")) \
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = _check(stored(pairs, "op8-stars"), texts, "op8-links")
+    nodes = stored(rows.filter("node is not null").groupBy("node").agg(
+        F.first("n_shingles").alias("n"), F.first("parity").alias("parity")), "op8-nodes")
+    ends = members.select(F.col("first").alias("a"), F.col("node").alias("b")).unionByName(
+        members.select(F.col("node").alias("a"), F.col("last").alias("b"))).filter("a <> b").distinct()
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("parity").alias("ap"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("parity").alias("bp"))
+    pairs = ends.join(left, "a").join(right, "b").filter(_plausible("an", "ap", "bn", "bp"))
+    links = _check(stored(pairs.select("a", "b"), "op8-stars"), texts, "op8-links")
     release(spark)
     found = components(links, name="op8-cc")
     # Nodes of one bucket that the stars left apart.
-    root = F.coalesce("root", "node").alias("root")
-    inside = (members.join(found, "node", "left")
-              .select("sig", "node", "pivot", "n", "parity", root))
-    proot = found.select(F.col("node").alias("pivot"), F.col("root").alias("proot"))
-    inside = inside.join(proot, "pivot", "left").withColumn("proot", F.coalesce("proot", "pivot"))
-    inside = stored(inside.filter("node <> pivot"), "op8-apart")
-    odd = inside.filter("root <> proot").select(
+    of = found.select("node", "root")
+    inside = members.select("sig", "node", "first").join(of, "node", "left") \
+        .withColumn("root", F.coalesce("root", "node"))
+    lead = of.select(F.col("node").alias("first"), F.col("root").alias("lead"))
+    inside = stored(inside.join(lead, "first", "left").withColumn("lead", F.coalesce("lead", "first")),
+                    "op8-roots")
+    odd = inside.filter("root <> lead")
+    split = inside.join(odd.select("sig").distinct(), "sig", "left_semi").join(nodes, "node")
+    split = stored(split.filter("node <> first"), "op8-apart")
+    odd = split.filter("root <> lead").select(
         "sig", F.col("node").alias("a"), F.col("n").alias("an"), F.col("parity").alias("ap"),
         F.col("root").alias("ar"))
-    near = (odd.join(inside, "sig").filter(
+    near = (odd.join(split, "sig").filter(
         (F.col("ar") != F.col("root")) & _plausible("an", "ap", "n", "parity"))
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
     near = stored(near, "op8-rest")
