@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm import jaccard_join, language_id, packing, quality_rules, substring_dedup
-from encore.llm.common import stored, table
+from encore.llm.common import clear_stored, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,4 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        clear_stored(spark, but_last=1)        # what the stage needed on its way
     return docs
