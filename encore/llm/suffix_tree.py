@@ -39,16 +39,16 @@ from pyspark.sql import types as T
 from encore.llm.common import crc_mod, release, stored
 from encore.llm.words import Words, chunks, list_array, signed
 
-DEPTH = 6
-NODES = 30_000                 # of the tree, suffixes included (below 2**15)
-GAIN = 1e-7
-FLOOR = 6.0
+DEPTH = 5
+NODES = 60_000                 # of the tree, suffixes included (below 2**16)
+GAIN = 2e-8
+FLOOR = 1.0
 PRIOR = 16.0
 ADD = 0.1
 FREQUENT = 1 << 20
 #: Symbols that never occur inside a word.
 BLANK, END, BEFORE = 32, 10, 11
-_MERGE = 4_000_000             # keys a task holds before it emits them
+_MERGE = 1_500_000             # keys a task holds before it emits them
 
 
 def symbols(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +117,7 @@ def _count_rows(batches):
                 [pa.array(np.full(len(k), kind, np.int32)), pa.array(signed(k)),
                  pa.array(n[i:i + step])], names=["kind", "key", "n"])
 
-    for b in chunks(batches, max_bytes=4 << 20):
+    for b in chunks(batches):
         w = Words(b.column(0), lower=True)
         for kind, key in ((0, w.hash), (1, _context_keys(*symbols(w)))):
             held[kind].append(np.unique(key, return_counts=True))
@@ -131,25 +131,27 @@ def _count_rows(batches):
 
 
 class Tree:
-    """The fitted tree: child[node][symbol] (0: none) and the log10
-    distribution of each node."""
+    """The fitted tree: child[node][column] (0: none) and log10 probabilities
+    of each node. Symbols that were seen have a column each, all others
+    share the last one (its probability is that of each of them)."""
 
-    def __init__(self, child: np.ndarray, logp: np.ndarray):
-        self.child, self.logp = child, logp
+    def __init__(self, column: np.ndarray, child: np.ndarray, logp: np.ndarray):
+        self.column, self.child, self.logp = column, child, logp
 
     def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """log10 probability of each row of symbols."""
-        n = len(x)
+        n, width = len(x), self.child.shape[1]
+        x = self.column[x]
         node = np.zeros(n, np.int64)
         child, flat = self.child.ravel(), self.logp.ravel()
         live = np.arange(1, n)
         for d in range(1, DEPTH + 1):
             live = live[live >= d]
-            to = child[node[live] * 256 + x[live - d]]
+            to = child[node[live] * width + x[live - d]]
             on = to > 0
             live = live[on]
             node[live] = to[on]
-        value = flat[node * 256 + x].astype(np.float64)
+        value = flat[node * width + x].astype(np.float64)
         head = (begin[:-1, None] + np.arange(DEPTH)).ravel()
         value[head] = 0.0
         return np.add.reduceat(value, begin[:-1]) if len(begin) > 1 else np.zeros(0)
@@ -159,25 +161,38 @@ def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np
     """The tree of the given counts; contexts must be closed under suffixes.
     Symbols without a count share the smoothing weight."""
     if not len(depth):
-        return Tree(np.zeros((1, 256), np.int16), np.full((1, 256), -np.log10(256.0), np.float32))
+        return Tree(np.zeros(256, np.int64), np.zeros((1, 1), np.uint16),
+                    np.full((1, 1), -np.log10(256.0), np.float32))
     name = context | (depth.astype(np.int64) << 56)
     nodes, of = np.unique(name, return_inverse=True)
     d, ctx = nodes >> 56, nodes & ((1 << 56) - 1)
     order = np.arange(len(nodes))              # by depth: the root is number 0
-    count = np.zeros((len(nodes), 256))
-    count[of, symbol] = n
+    seen = np.unique(symbol)
+    column = np.full(256, len(seen), np.int64)
+    column[seen] = np.arange(len(seen))
+    width = len(seen) + 1
+    count = np.zeros((len(nodes), width))
+    count[of, column[symbol]] = n
     parent_name = np.where(d > 0, (ctx & ((np.int64(1) << (8 * np.maximum(d - 1, 0))) - 1))
                            | (np.maximum(d - 1, 0) << 56), 0)
     parent = np.searchsorted(nodes, parent_name)
-    child = np.zeros((len(nodes), 256), np.int16)
+    child = np.zeros((len(nodes), width), np.uint16)
     deep = order[d > 0]
-    child[parent[deep], (ctx[deep] >> (8 * (d[deep] - 1))) & 255] = deep
+    oldest = (ctx[deep] >> (8 * (d[deep] - 1))) & 255
+    known = column[oldest] < len(seen)         # marks before a text never follow a symbol
+    marks = np.unique(oldest[~known])
+    if len(marks):                             # they need a column to descend by
+        extra = len(marks)
+        column[marks] = width + np.arange(extra)
+        child = np.zeros((len(nodes), width + extra), np.uint16)
+        count = np.pad(count, ((0, 0), (0, extra)))
+    child[parent[deep], column[oldest]] = deep
     p = np.empty_like(count)
     p[0] = (count[0] + ADD) / (count[0].sum() + 256 * ADD)
     for level in range(1, int(d.max()) + 1):
         at = order[d == level]
         p[at] = (count[at] + PRIOR * p[parent[at]]) / (count[at].sum(1, keepdims=True) + PRIOR)
-    return Tree(child, np.log10(p).astype(np.float32))
+    return Tree(column, child, np.log10(p).astype(np.float32))
 
 
 def fit_tree(counts: DataFrame, gain: float = GAIN, nodes: int = NODES) -> Tree:
