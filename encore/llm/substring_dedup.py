@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import NULL_ID, release, stored
+from encore.llm.common import NULL_ID, SKETCH_BITS, release, sketch, stored
 from encore.llm.words import Words, chunks, list_array, signed
 
 WINDOW = 50
@@ -97,9 +97,10 @@ ANCHOR_SCHEMA = ("doc_id long, h1 long, h2 long, n_words long, full_sha256 strin
                  "anchors array<long>")
 
 
-def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
+def with_hash(df: DataFrame, text: str = "text", wanted=None) -> DataFrame:
     """``df`` with the hashes h1, h2 of the words of its text appended
-    (under these names; a column of the input that is called so is lost)."""
+    (under these names; a column of the input that is called so is lost).
+    ``wanted``, a broadcast sketch: only rows whose h1 has its flag."""
     keep = [c for c in df.columns if c not in ("h1", "h2")]
     df = df.select(*keep)
     schema = T.StructType(df.schema.fields + [T.StructField("h1", T.LongType()),
@@ -108,9 +109,12 @@ def with_hash(df: DataFrame, text: str = "text") -> DataFrame:
     def go(batches):
         for b in chunks(batches, text):
             h1, h2 = Words(b.column(b.schema.get_field_index(text))).row_hash()
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(signed(h1)), pa.array(signed(h2))],
                 names=[*b.schema.names, "h1", "h2"])
+            if wanted is not None:
+                out = out.filter(pa.array(wanted.value[h1 & np.uint64(SKETCH_BITS - 1)]))
+            yield out
     return df.mapInArrow(go, schema)
 
 
@@ -202,8 +206,9 @@ def _judged(docs: DataFrame, size: int, as_text: bool) -> tuple[DataFrame, DataF
                     .agg(F.sort_array(F.collect_list("k")).alias("shared")), "op6-shared")
     release(spark)
     # Texts to extend: one of each group of copies, read again with its marks.
-    marks = marked.join(first, "text_no")
-    texts = stored(with_hash(slim.select("text")).join(marks, ["h1", "h2"]).groupBy("h1", "h2").agg(
+    marks = stored(marked.join(first, "text_no"), "op6-marks")
+    wanted = spark.sparkContext.broadcast(sketch(marks, "h1"))
+    texts = stored(with_hash(slim.select("text"), wanted=wanted).join(marks, ["h1", "h2"]).groupBy("h1", "h2").agg(
         *[F.first(c).alias(c) for c in ("first_id", "text_no", "text", "shared")]), "op6-texts")
     release(spark)
     # Made twice rather than stored: the rows are larger than their texts.
