@@ -206,7 +206,7 @@ def decode_blocks(blocks: list[bytes], total: int, freq: np.ndarray) -> np.ndarr
     size = _lanes(total)
     lanes = len(size)
     if not lanes:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32)
     freq_u = freq.astype(np.uint64)
     start_u = np.cumsum(freq_u) - freq_u
     at_share = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)   # 1 << _PRIOR_BITS entries
@@ -249,7 +249,7 @@ def decode_blocks(blocks: list[bytes], total: int, freq: np.ndarray) -> np.ndarr
         _narrow(l, r, shift)
         model.learn(x, in2, x == model.p1)
         grid[t, :a] = x
-    return grid.T.reshape(-1)[:total].astype(np.int64)
+    return grid.T.reshape(-1)[:total]
 
 
 def write_shard(doc_id: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -259,10 +259,9 @@ def write_shard(doc_id: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> byte
     rows = zlib.compress(np.r_[np.diff(doc_id, prepend=0), counts].astype("<i8").tobytes(), 1)
     first = zlib.compress(freq.astype("<u4").tobytes(), 1)
     blocks = encode_blocks(ids, freq)
-    wide = ids.astype("<u4")
-    heads = b"".join(struct.pack("<3I", len(wide[k * BLOCK:(k + 1) * BLOCK]), len(b),
-                                 zlib.crc32(wide[k * BLOCK:(k + 1) * BLOCK].tobytes()))
-                     for k, b in enumerate(blocks))
+    parts = [ids[k:k + BLOCK].astype("<u4").tobytes() for k in range(0, len(ids), BLOCK)]
+    heads = b"".join(struct.pack("<3I", len(p) // 4, len(b), zlib.crc32(p))
+                     for p, b in zip(parts, blocks))
     head = struct.pack("<6I", len(doc_id), len(blocks), len(ids), len(rows), len(first),
                        zlib.crc32(first, zlib.crc32(rows)))
     return b"".join([MAGIC, head, rows, first, heads, *blocks])
@@ -393,7 +392,7 @@ def write_files(docs: DataFrame, json_path: str, folder: str, partitions: int |
         for b in chunks(batches, max_bytes=CHUNK_BYTES):
             ids, row = with_ends(*encoder.batch(b.column(1)), END_ID)
             doc_id = b.column(0).fill_null(NO_ID).to_numpy()
-            held.append((doc_id, np.diff(row), ids.astype(np.int64)))
+            held.append((doc_id, np.diff(row), ids.astype(np.uint16)))
             total += len(ids)
             if total >= SHARD:
                 yield flush()
