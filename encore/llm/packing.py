@@ -39,6 +39,7 @@ END_ID = 2
 GROUP = 20_000
 STEPS = 3_000                  # exchanges of a group's local search
 STUCK = 100                     # emptiest bins without an exchange, then it ends
+CACHED_PIECES = 150_000        # of each of a worker's two generations
 #: The vocabulary's special token, which the tokenizer takes out of texts.
 SPECIAL = "<|endoftext|>"
 _BUILT: dict[tuple, Encoder] = {}
@@ -67,7 +68,7 @@ def text_encoder(json_path: str, ranks_path: str, pattern: str) -> Encoder:
             return [np.array(other[p] if p in other else plain(p), "<u2").tobytes() for p in pieces]
 
         _BUILT.clear()
-        _BUILT[key] = Encoder(many)
+        _BUILT[key] = Encoder(many, cache=CACHED_PIECES)
     return _BUILT[key]
 
 

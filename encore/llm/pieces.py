@@ -69,8 +69,9 @@ class Encoder:
     """Piece -> ids as bytes, through ``encode_many`` (a list of new pieces ->
     their ids) and two generations of remembered pieces."""
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], cut=blank_pieces):
-        self.encode_many, self.cut = encode_many, cut
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[bytes]], cut=blank_pieces,
+                 cache: int = CACHE):
+        self.encode_many, self.cut, self.cache = encode_many, cut, cache
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -84,7 +85,7 @@ class Encoder:
         new = [i for i, v in enumerate(out) if v is None]
         for i, v in zip(new, self.encode_many([pieces[i] for i in new])):
             out[i] = young[pieces[i]] = v
-        if len(young) > CACHE:
+        if len(young) > self.cache:
             self.young, self.old = {}, young
         return out
 
