@@ -9,13 +9,15 @@ Method. Next-symbol counts of all contexts of up to ``DEPTH`` symbols are
 gathered over all training texts: each task counts (context, symbol) keys of
 its texts, Spark sums them. A context is retained when its next symbols
 diverge from those of its suffix (the context without its oldest symbol): the
-log-likelihood gain of its counts, N * KL, must reach ``GAIN`` nats per
-training symbol and ``FLOOR`` nats; with more than ``NODES`` such contexts the
-threshold rises to the gain of the NODES-th. Suffixes of retained contexts are
-retained. The distribution of a node is its counts smoothed towards its
+log-likelihood gain of its counts, N * KL, must reach ``FLOOR`` nats, whatever
+the size of the corpus. Every such context and its suffixes are retained, in a
+Spark table. The distribution of a node is its counts smoothed towards its
 parent's distribution with weight ``PRIOR``. A symbol is scored by the longest
-retained suffix of what precedes it, found by descending the tree for all
-symbols of a batch at once.
+retained suffix of what precedes it. The ``NODES`` most frequent contexts (with
+each of them its suffixes, which are as frequent) are broadcast as a tree that
+is descended for all symbols of a batch at once; it marks the children that
+only the table has. A symbol whose descent meets such a mark is written out as
+a (context, symbol) key, and its distinct keys are joined with the table.
 
 The base score (add-0.1 unigrams of tokens) needs the training count of each
 token: the at most ``FREQUENT`` most frequent words are broadcast (a fixed
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +43,8 @@ from encore.llm.common import crc_mod, release, stored
 from encore.llm.words import Words, chunks, list_array, signed
 
 DEPTH = 5
-NODES = 60_000                 # of the tree, suffixes included (below 2**16)
-GAIN = 2e-8
+NODES = 60_000                 # of the broadcast tree (below 2**16 - 1)
+OUTSIDE = 2**16 - 1            # a child that is not in the broadcast tree
 FLOOR = 1.0
 PRIOR = 16.0
 ADD = 0.1
@@ -131,35 +134,61 @@ def _count_rows(batches):
 
 
 class Tree:
-    """The fitted tree: child[node][column] (0: none) and log10 probabilities
-    of each node. Symbols that were seen have a column each, all others
+    """The fitted tree: child[node][column] (0: none, OUTSIDE: in the table
+    of further nodes) and log10 probabilities of each node. Symbols that were seen have a column each, all others
     share the last one (its probability is that of each of them)."""
 
     def __init__(self, column: np.ndarray, child: np.ndarray, logp: np.ndarray):
         self.column, self.child, self.logp = column, child, logp
 
-    def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """log10 probability of each row of symbols."""
-        n, width = len(x), self.child.shape[1]
+    def walk(self, x: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of each row of symbols, without the symbols whose
+        context goes on outside the tree; rows and keys of those symbols. A
+        key is that of ``_context_keys`` with the depth reached on top."""
+        n, width, raw = len(x), self.child.shape[1], x
         x = self.column[x]
         node = np.zeros(n, np.int64)
         child, flat = self.child.ravel(), self.logp.ravel()
+        head = (begin[:-1, None] + np.arange(DEPTH)).ravel()
+        reached = np.full(n, -1, np.int8)      # of symbols that go on outside
         live = np.arange(1, n)
         for d in range(1, DEPTH + 1):
             live = live[live >= d]
             to = child[node[live] * width + x[live - d]]
-            on = to > 0
+            reached[live[to == OUTSIDE]] = d - 1
+            on = (to > 0) & (to < OUTSIDE)
             live = live[on]
             node[live] = to[on]
+        reached[head] = -1
         value = flat[node * width + x].astype(np.float64)
-        head = (begin[:-1, None] + np.arange(DEPTH)).ravel()
         value[head] = 0.0
-        return np.add.reduceat(value, begin[:-1]) if len(begin) > 1 else np.zeros(0)
+        at = np.flatnonzero(reached >= 0)
+        value[at] = 0.0
+        key = reached[at].astype(np.int64) << 56
+        for d in range(DEPTH + 1):
+            key |= raw[at - d].astype(np.int64) << (8 * d)
+        total = np.add.reduceat(value, begin[:-1]) if len(begin) > 1 else np.zeros(0)
+        return total, np.searchsorted(begin, at, side="right") - 1, key
+
+    def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """log10 probability of each row of symbols."""
+        return self.walk(x, begin)[0]
 
+    def reached(self, key: np.ndarray) -> np.ndarray:
+        """Probability of each key's symbol at the node that it reached."""
+        width, flat = self.child.shape[1], self.child.ravel()
+        node = np.zeros(len(key), np.int64)
+        for d in range(1, DEPTH + 1):
+            on = np.flatnonzero(key >> 56 >= d)
+            node[on] = flat[node[on] * width + self.column[key[on] >> (8 * d) & 255]]
+        return 10.0 ** self.logp[node, self.column[key & 255]].astype(np.float64)
 
-def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Tree:
+
+def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray,
+               outside: tuple[np.ndarray, np.ndarray] | None = None) -> Tree:
     """The tree of the given counts; contexts must be closed under suffixes.
-    Symbols without a count share the smoothing weight."""
+    Symbols without a count share the smoothing weight. ``outside``: depths
+    and contexts of the children that get a mark only."""
     if not len(depth):
         return Tree(np.zeros(256, np.int64), np.zeros((1, 1), np.uint16),
                     np.full((1, 1), -np.log10(256.0), np.float32))
@@ -173,20 +202,27 @@ def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np
     width = len(seen) + 1
     count = np.zeros((len(nodes), width))
     count[of, column[symbol]] = n
-    parent_name = np.where(d > 0, (ctx & ((np.int64(1) << (8 * np.maximum(d - 1, 0))) - 1))
-                           | (np.maximum(d - 1, 0) << 56), 0)
-    parent = np.searchsorted(nodes, parent_name)
+
+    def suffix(d: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+        up = np.maximum(d.astype(np.int64) - 1, 0)
+        return np.searchsorted(nodes, np.where(d > 0, (ctx & ((np.int64(1) << (8 * up)) - 1)) | (up << 56), 0))
+
+    parent = suffix(d, ctx)
     child = np.zeros((len(nodes), width), np.uint16)
     deep = order[d > 0]
     oldest = (ctx[deep] >> (8 * (d[deep] - 1))) & 255
-    known = column[oldest] < len(seen)         # marks before a text never follow a symbol
-    marks = np.unique(oldest[~known])
+    far_d, far = outside if outside is not None else (np.zeros(0, np.int64),) * 2
+    far_oldest = (far >> (8 * (far_d.astype(np.int64) - 1))) & 255
+    every = np.concatenate([oldest, far_oldest])
+    known = column[every] < len(seen)          # marks before a text never follow a symbol
+    marks = np.unique(every[~known])
     if len(marks):                             # they need a column to descend by
         extra = len(marks)
         column[marks] = width + np.arange(extra)
         child = np.zeros((len(nodes), width + extra), np.uint16)
         count = np.pad(count, ((0, 0), (0, extra)))
     child[parent[deep], column[oldest]] = deep
+    child[suffix(far_d, far), column[far_oldest]] = OUTSIDE
     p = np.empty_like(count)
     p[0] = (count[0] + ADD) / (count[0].sum() + 256 * ADD)
     for level in range(1, int(d.max()) + 1):
@@ -195,12 +231,17 @@ def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np
     return Tree(column, child, np.log10(p).astype(np.float32))
 
 
-def fit_tree(counts: DataFrame, gain: float = GAIN, nodes: int = NODES) -> Tree:
-    """Divergence tests over the counts (key, n) of all contexts."""
-    spark = counts.sparkSession
+def low(c: Column, symbols_: str) -> Column:
+    """The latest symbols of a key."""
+    return c.bitwiseAND(F.expr(f"shiftleft(1L, {8} * ({symbols_}))") - 1)
 
-    def low(c: Column, symbols_: Column) -> Column:
-        return c.bitwiseAND(F.expr(f"shiftleft(1L, {8} * ({symbols_}))") - 1)
+
+def fit_tree(counts: DataFrame, nodes: int | None = None) -> tuple[Tree, DataFrame | None]:
+    """Divergence tests over the counts (key, n) of all contexts: the tree of
+    the ``nodes`` most frequent retained contexts, and all others as (d,
+    context, whole, next: symbol to count), or None if there is no other."""
+    spark = counts.sparkSession
+    nodes = NODES if nodes is None else nodes
 
     # Each gram counts for its own context and for every suffix of it.
     grams = counts.select(F.explode(F.array(*map(F.lit, range(DEPTH + 1)))).alias("d"), "key", "n") \
@@ -211,35 +252,71 @@ def fit_tree(counts: DataFrame, gain: float = GAIN, nodes: int = NODES) -> Tree:
     grams = stored(grams.join(whole, ["d", "context"]), "op2-grams")
     total = grams.filter("d = 0").agg(F.max("whole")).first()[0]
     if not total:
-        return build_tree(*[np.zeros(0, np.int64)] * 4)
+        return build_tree(*[np.zeros(0, np.int64)] * 4), None
     up = grams.select((F.col("d") + 1).alias("d"), F.col("g").alias("pg"), F.col("n").alias("pn"),
                       F.col("whole").alias("pwhole"))
     own = grams.filter("d > 0").withColumn("pg", low(F.col("g"), "d"))
     tests = own.join(up, ["d", "pg"]).groupBy("d", "context").agg(
         F.sum(F.col("n") * F.log(F.col("n") * F.col("pwhole") / (F.col("whole") * F.col("pn"))))
         .alias("gain"))
-    best = (tests.filter(F.col("gain") >= max(FLOOR, gain * total))
-            .orderBy(F.desc("gain"), "d", "context").limit(nodes).toArrow())
-    keep = {(0, 0)}
-    for d, context in zip(best["d"].to_pylist(), best["context"].to_pylist()):
-        chain = [(k, context & ((1 << (8 * k)) - 1)) for k in range(1, d + 1)]
-        if len(keep) + sum(c not in keep for c in chain) > nodes:
-            break
-        keep.update(chain)
+    passed = tests.filter(F.col("gain") >= FLOOR)
+    chosen = (passed.select(F.explode(F.expr("sequence(0, d)")).alias("d"), "context")
+              .select("d", low(F.col("context"), "d").alias("context"))
+              .unionByName(grams.filter("d = 0").select("d", "context")).distinct())
+    kept = stored(grams.join(chosen, ["d", "context"], "left_semi"), "op2-kept")
+    # A suffix is at least as frequent, and comes first when it ties.
+    top = (kept.groupBy("d", "context").agg(F.max("whole").alias("whole"))
+           .orderBy(F.desc("whole"), "d", "context").limit(nodes).select("d", "context").toArrow())
     schema = T.StructType([T.StructField("d", T.IntegerType()), T.StructField("context", T.LongType())])
-    chosen = spark.createDataFrame(sorted(keep), schema)
-    rows = grams.join(F.broadcast(chosen), ["d", "context"]).select("d", "context", "g", "n").toArrow()
-    return build_tree(rows["d"].to_numpy(), rows["context"].to_numpy(),
-                      rows["g"].to_numpy() & 255, rows["n"].to_numpy())
+    first = F.broadcast(spark.createDataFrame(list(zip(top["d"].to_pylist(), top["context"].to_pylist())), schema))
+    rows = kept.join(first, ["d", "context"], "left_semi").select("d", "context", "g", "n").toArrow()
+    model = rows["d"].to_numpy(), rows["context"].to_numpy(), rows["g"].to_numpy() & 255, rows["n"].to_numpy()
+    if top.num_rows < nodes:
+        return build_tree(*model), None
+    others = kept.join(first, ["d", "context"], "left_anti")
+    # At most one per node and symbol.
+    marks = (others.select("d", "context").distinct()
+             .withColumn("up", F.col("d") - 1).withColumn("suffix", low(F.col("context"), "d - 1"))
+             .join(first.select(F.col("d").alias("up"), F.col("context").alias("suffix")), ["up", "suffix"], "left_semi")
+             .select("d", "context").toArrow())
+    if not marks.num_rows:
+        return build_tree(*model), None
+    further = others.groupBy("d", "context").agg(
+        F.max("whole").alias("whole"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("g").bitwiseAND(255).cast("int"), "n"))).alias("next"))
+    return build_tree(*model, (marks["d"].to_numpy(), marks["context"].to_numpy())), further
+
+
+def further_scores(keys: DataFrame, tree, further: DataFrame) -> DataFrame:
+    """(key, value): log10 probability of the symbol of each distinct key
+    that goes on outside the tree, smoothed level by level from there."""
+
+    def go(batches):
+        t: Tree = tree.value
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(t.reached(b.column(0).to_numpy()))], names=["key", "p"])
+
+    levels = (keys.distinct().mapInArrow(go, "key long, p double")
+              .select("key", "p", F.explode(F.expr(f"sequence(cast(shiftright(key, 56) as int) + 1, {DEPTH})")).alias("d"))
+              .withColumn("context", low(F.shiftright("key", 8), "d")))
+    found = levels.join(further, ["d", "context"]).select(
+        "key", "p", F.struct("d", F.coalesce(F.try_element_at("next", F.col("key").bitwiseAND(255).cast("int")),
+                                             F.lit(0)).alias("n"), "whole").alias("level"))
+    return found.groupBy("key").agg(F.max("p").alias("p"), F.sort_array(F.collect_list("level")).alias("levels")).select(
+        "key", F.log10(F.aggregate("levels", F.col("p"), lambda p, x: (x["n"] + F.lit(PRIOR) * p)
+                                   / (x["whole"] + F.lit(PRIOR)))).alias("value"))
 
 
 def score_rows(tree, frequent):
-    """(doc_id, text) -> per row: hashes of the whole text, tokens, known and
-    base sum of the frequent words, score, and the other words."""
+    """(doc_id, text) -> per row: a number of its own, hashes of the whole
+    text, tokens, known and base sum of the frequent words, score, the other
+    words, and the keys of the symbols that the score lacks."""
 
     def go(batches):
         t: Tree = tree.value
         words, counts = frequent.value
+        number = TaskContext.get().partitionId() << 40
         for b in chunks(batches):
             w = Words(b.column(1), lower=True)
             h1, h2 = w.row_hash()
@@ -251,16 +328,19 @@ def score_rows(tree, frequent):
             total = np.zeros(b.num_rows)
             np.add.at(total, w.rows(), value[of])
             known = w.sums(found)
+            score, lacks, key = t.walk(*symbols(w))
+            at, number = number, number + b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(signed(h1)), pa.array(signed(h2)), pa.array(w.counts + 1),
-                 pa.array(known), pa.array(total), pa.array(t.score(*symbols(w))),
-                 list_array(signed(w.hash[~found]), w.counts - known, pa.int64())],
-                names=["doc_id", "h1", "h2", "n_tokens", "known", "base", "score", "rare"])
+                [b.column(0), pa.array(np.arange(at, number)), pa.array(signed(h1)), pa.array(signed(h2)), pa.array(w.counts + 1),
+                 pa.array(known), pa.array(total), pa.array(score),
+                 list_array(signed(w.hash[~found]), w.counts - known, pa.int64()),
+                 list_array(key, np.bincount(lacks, minlength=b.num_rows), pa.int64())],
+                names=["doc_id", "number", "h1", "h2", "n_tokens", "known", "base", "score", "rare", "lacks"])
     return go
 
 
-SCORE_SCHEMA = ("doc_id long, h1 long, h2 long, n_tokens long, known long, base double, "
-                "score double, rare array<long>")
+SCORE_SCHEMA = ("doc_id long, number long, h1 long, h2 long, n_tokens long, known long, base double, "
+                "score double, rare array<long>, lacks array<long>")
 
 
 def score_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -274,7 +354,8 @@ def score_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     .groupBy("kind", "key").agg(F.sum("n").alias("n")), "op2-counts")
     release(spark)
     vocabulary = counts.filter("kind = 0").select(F.col("key").alias("word"), F.col("n").alias("c"))
-    tree = spark.sparkContext.broadcast(fit_tree(counts.filter("kind = 1").select("key", "n")))
+    tree, further = fit_tree(counts.filter("kind = 1").select("key", "n"))
+    tree = spark.sparkContext.broadcast(tree)
     tokens, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     tokens, distinct = tokens + ends, distinct + (ends > 0)
     # The least count that at most FREQUENT words reach (by eighths of octaves).
@@ -301,12 +382,19 @@ def score_query(spark: SparkSession, docs: DataFrame) -> DataFrame:
             .groupBy("h1", "h2").agg(
                 F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
                 F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("more_base")))
+    total = F.col("score")
+    if further is not None:
+        lacks = rows.select("number", F.explode("lacks").alias("key"))
+        deeper = (lacks.join(further_scores(lacks.select("key"), tree, further), "key")
+                  .groupBy("number").agg(F.sum("value").alias("more_score")))
+        rows = rows.join(deeper, "number", "left")
+        total = total + F.coalesce("more_score", F.lit(0.0))
     end_known = 1 if ends else 0
     scale = float(np.log10(tokens + ADD * (distinct + 1)))
     end_value = float(np.log10(ends + ADD))
-    return rows.drop("rare").join(more, ["h1", "h2"], "left").select(
+    return rows.drop("rare", "lacks").join(more, ["h1", "h2"], "left").select(
         "doc_id", (crc_mod("doc_id", 10) == 0).alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0)) + end_known).cast("long").alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) + end_value - F.col("n_tokens") * scale)
-        .alias("base_score"), "score")
+        .alias("base_score"), total.alias("score"))

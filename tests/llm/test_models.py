@@ -1,6 +1,7 @@
 """Operators 2, 4 and 7: exact parts against brute force, learned parts on
 held-out rows."""
 
+import functools
 import math
 import zlib
 from collections import Counter
@@ -97,6 +98,15 @@ def test_tree_beats_unigrams_on_held_out_texts(spark):
     assert held.score.sum() > held.base_score.sum()
 
 
+def test_contexts_beyond_the_broadcast_tree_score_too(spark, monkeypatch):
+    docs = table(spark, SF, "documents").limit(60)
+    whole = brute.rows_of(suffix_tree.score_query(spark, docs), "doc_id", "score")
+    monkeypatch.setattr(suffix_tree, "fit_tree", functools.partial(suffix_tree.fit_tree, nodes=40))
+    got = brute.rows_of(suffix_tree.score_query(spark, docs), "doc_id", "score")
+    assert [i for i, _ in got] == [i for i, _ in whole]
+    assert np.allclose([v for _, v in got], [v for _, v in whole], rtol=1e-5)
+
+
 def viterbi(scores, switch):
     """Best total of a path, by the plain recursion."""
     value = list(scores[0])
