@@ -41,6 +41,12 @@ def clear_stored(spark: SparkSession, but_last: int = 0) -> None:
         fs.delete(spark, path)
 
 
+def clear_previous(spark: SparkSession) -> None:
+    """Delete the stored table before the last one, when only the last one
+    was computed from it."""
+    fs.delete(spark, _WRITTEN.pop(-2))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished phases."""
     gc.collect()

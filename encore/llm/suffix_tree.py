@@ -39,10 +39,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import crc_mod, release, stored
+from encore.llm.common import clear_previous, crc_mod, release, stored
 from encore.llm.words import Words, chunks, list_array, signed
 
-DEPTH = 5
+DEPTH = 6
 NODES = 60_000                 # of the broadcast tree (below 2**16 - 1)
 OUTSIDE = 2**16 - 1            # a child that is not in the broadcast tree
 FLOOR = 1.0
@@ -51,7 +51,7 @@ ADD = 0.1
 FREQUENT = 1 << 20
 #: Symbols that never occur inside a word.
 BLANK, END, BEFORE = 32, 10, 11
-_MERGE = 1_500_000             # keys a task holds before it emits them
+_MERGE = 1_000_000             # keys a task holds before it emits them
 
 
 def symbols(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +249,9 @@ def fit_tree(counts: DataFrame, nodes: int | None = None) -> tuple[Tree, DataFra
         .groupBy("d", "g").agg(F.sum("n").alias("n"))
     grams = grams.withColumn("context", F.shiftright("g", 8))
     whole = grams.groupBy("d", "context").agg(F.sum("n").alias("whole"))
-    grams = stored(grams.join(whole, ["d", "context"]), "op2-grams")
+    grams = stored(grams.join(whole, ["d", "context"]).drop("context"), "op2-grams") \
+        .withColumn("context", F.shiftright("g", 8))
+    release(spark)
     total = grams.filter("d = 0").agg(F.max("whole")).first()[0]
     if not total:
         return build_tree(*[np.zeros(0, np.int64)] * 4), None
@@ -263,7 +265,10 @@ def fit_tree(counts: DataFrame, nodes: int | None = None) -> tuple[Tree, DataFra
     chosen = (passed.select(F.explode(F.expr("sequence(0, d)")).alias("d"), "context")
               .select("d", low(F.col("context"), "d").alias("context"))
               .unionByName(grams.filter("d = 0").select("d", "context")).distinct())
-    kept = stored(grams.join(chosen, ["d", "context"], "left_semi"), "op2-kept")
+    kept = stored(grams.join(chosen, ["d", "context"], "left_semi").drop("context"), "op2-kept") \
+        .withColumn("context", F.shiftright("g", 8))
+    clear_previous(spark)
+    release(spark)
     # A suffix is at least as frequent, and comes first when it ties.
     top = (kept.groupBy("d", "context").agg(F.max("whole").alias("whole"))
            .orderBy(F.desc("whole"), "d", "context").limit(nodes).select("d", "context").toArrow())

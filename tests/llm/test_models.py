@@ -107,6 +107,13 @@ def test_contexts_beyond_the_broadcast_tree_score_too(spark, monkeypatch):
     assert np.allclose([v for _, v in got], [v for _, v in whole], rtol=1e-5)
 
 
+def test_six_symbols_back_decide(spark):
+    docs = [(i, "axxxxxa" if i % 2 else "bxxxxxb") for i in range(400)]
+    rows = suffix_tree.score_query(spark, brute.edge_docs(spark, [*docs, (1000, "axxxxxb"), (1001, "bxxxxxa")]))
+    by = {r.doc_id: r.score for r in rows.collect()}
+    assert min(by[0], by[1]) > max(by[1000], by[1001]) + 0.5
+
+
 def viterbi(scores, switch):
     """Best total of a path, by the plain recursion."""
     value = list(scores[0])
