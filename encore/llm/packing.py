@@ -10,9 +10,9 @@ Method. Pieces are dealt by a hash of their id into groups of about
 that is not full, a share that does not grow with the data). Within a group,
 best fit by falling length fills bins; then local search works on the bins
 below SIZE: it moves a piece into another bin, exchanges one piece for one, or
-two for one, whenever that raises the sum of squared fills, always for the emptiest
-bin. Bins that run empty are dropped, until no exchange helps or ``STEPS``
-exchanges were made. Only lengths take part.
+two for one, whenever that raises the sum of squared fills, for the emptiest
+bin that waits for its turn. Bins that run empty are dropped, until every bin was
+tried without gain since the last exchange. Only lengths take part.
 
 Defined results: null text is empty and packs as its end id; a piece of full
 length is a sequence of its own; rows that repeat a doc_id are packed as
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,6 @@ from encore.llm.words import chunks
 SIZE = 1024
 END_ID = 2
 GROUP = 20_000
-STEPS = 3_000                  # exchanges of a group's local search
-STUCK = 100                     # emptiest bins without an exchange, then it ends
 CACHED_PIECES = 150_000        # of each of a worker's two generations
 #: The vocabulary's special token, which the tokenizer takes out of texts.
 SPECIAL = "<|endoftext|>"
@@ -139,7 +138,8 @@ def best_fit(lengths: list[int], size: int = SIZE) -> list[list[int]]:
 
 def _best_exchange(own: list[int], fill_own: int, length: np.ndarray, room: np.ndarray, size: int):
     """The exchange with the largest gain that takes tokens out of a bin with
-    the lengths ``own``: (gain, what leaves it, item that comes back or -1,
+    the lengths ``own``, by trying all (``local_search`` finds it by an index
+    and is tested against this): (gain, what leaves it, item that comes back or -1,
     item of the receiving bin). ``length``, ``room``: items of all other
     underfull bins and the free room of their bin."""
     best = (0, (), -1, -1)
@@ -165,43 +165,98 @@ def _best_exchange(own: list[int], fill_own: int, length: np.ndarray, room: np.n
     return best
 
 
-def local_search(bins: list[list[int]], size: int = SIZE, steps: int = STEPS) -> list[list[int]]:
+class _Rooms:
+    """Items of the underfull bins by length and free room of their bin; the
+    bin itself is an item of length 0."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.bins: dict[tuple[int, int], dict[int, None]] = {}
+        self.kinds = np.zeros(size + 1, np.int64)               # rooms in use of each length
+        # Smallest room in use that is at least so large (size: none).
+        self.next = np.full((size + 1, size + 1), size, np.int64)
+
+    def add(self, b: int, own: list[int], fill: int) -> None:
+        room = self.size - fill
+        for x in {0, *own} if 0 < room < self.size else ():
+            held = self.bins.setdefault((x, room), {})
+            if not held:
+                line = self.next[x, :room + 1]
+                np.minimum(line, room, out=line)
+                self.kinds[x] += 1
+            held[b] = None
+
+    def remove(self, b: int, own: list[int], fill: int) -> None:
+        room = self.size - fill
+        for x in {0, *own} if 0 < room < self.size else ():
+            held = self.bins[x, room]
+            del held[b]
+            if not held:
+                line = self.next[x, :room + 1]
+                line[line == room] = self.next[x, room + 1]
+                self.kinds[x] -= 1
+
+    def best(self, own: list[int], fill: int) -> tuple[tuple[int, ...], int, int] | None:
+        """The exchange with the largest gain for a bin that is not in here:
+        (what leaves it, length that comes back or 0, receiving bin)."""
+        kinds = sorted(set(own))
+        leaving = {}
+        for i, y in enumerate(kinds):
+            for z in kinds[i if own.count(y) > 1 else i + 1:]:
+                leaving.setdefault(y + z, (y, z))
+        leaving.update((y, (y,)) for y in kinds)
+        total = np.array(list(leaving))[:, None]
+        back = np.flatnonzero(self.kinds)
+        shift = total - back
+        ok = shift > 0
+        room = self.next[back, np.where(ok, np.minimum(shift, self.size), self.size)]
+        single = np.array([len(out) == 1 for out in leaving.values()])[:, None]
+        ok &= (room < self.size) & (single | (back > 0))
+        gain = np.where(ok, shift * (self.size - room - fill + shift), 0)
+        if not gain.size or gain.max() <= 0:
+            return None
+        i, j = np.unravel_index(gain.argmax(), gain.shape)
+        return leaving[int(total[i, 0])], int(back[j]), next(iter(self.bins[int(back[j]), int(room[i, j])]))
+
+
+def local_search(bins: list[list[int]], size: int = SIZE) -> list[list[int]]:
     """Moves, one-for-one and two-for-one exchanges out of the emptiest bins
     until they run empty or nothing raises the sum of squared fills."""
-    full = [b for b in bins if sum(b) == size]
-    rest = [b for b in bins if sum(b) < size]
-    if len(rest) < 2:
-        return bins
-    length = np.array([x for b in rest for x in b], np.int64)
-    where = np.repeat(np.arange(len(rest)), [len(b) for b in rest])
-    fill = np.bincount(where, length, minlength=len(rest)).astype(np.int64)
-    stuck = np.zeros(len(rest), bool)
-    for _ in range(steps):
-        # Bins without a gainful exchange wait until the others are tried.
-        open_ = np.flatnonzero((fill > 0) & (fill < size) & ~stuck)
-        if not len(open_) or stuck.sum() >= STUCK:
-            break
-        b = open_[np.argmin(fill[open_])]
-        mine = np.flatnonzero(where == b)
-        others = np.flatnonzero((where != b) & (fill[where] < size) & (fill[where] > 0))
-        if not len(others):
-            break
-        gain, out, back, to = _best_exchange(length[mine].tolist(), int(fill[b]), length[others],
-                                             size - fill[where[others]], size)
-        if not gain:
-            stuck[b] = True
-            continue
-        goal = where[others[to]]
-        for y in out:
-            k = mine[np.flatnonzero((length[mine] == y) & (where[mine] == b))[0]]
-            where[k] = goal
-        if back >= 0:
-            where[others[back]] = b
-        fill[[b, goal]] = [length[where == b].sum(), length[where == goal].sum()]
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(len(rest) + 1))
-    again = [length[order[i:j]].tolist() for i, j in zip(cut[:-1], cut[1:]) if j > i]
-    return full + again
+    bins = [list(b) for b in bins]
+    fill = [sum(b) for b in bins]
+    rooms = _Rooms(size)
+    for b, own in enumerate(bins):
+        rooms.add(b, own, fill[b])
+    changed = True
+    while changed:                             # a last round tries all bins in vain
+        changed = False
+        waiting = [(f, b) for b, f in enumerate(fill) if 0 < f < size]
+        heapify(waiting)
+        while waiting:
+            f, b = heappop(waiting)
+            if f != fill[b]:
+                continue
+            own = bins[b]
+            rooms.remove(b, own, f)
+            found = rooms.best(own, f)
+            if found is None:
+                rooms.add(b, own, f)
+                continue
+            out, back, to = found
+            rooms.remove(to, bins[to], fill[to])
+            for y in out:
+                own.remove(y)
+                bins[to].append(y)
+            if back:
+                bins[to].remove(back)
+                own.append(back)
+            for k in (b, to):
+                fill[k] = sum(bins[k])
+                rooms.add(k, bins[k], fill[k])
+                if 0 < fill[k] < size:
+                    heappush(waiting, (fill[k], k))
+            changed = True
+    return [b for b in bins if b]
 
 
 def pack_lengths(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:

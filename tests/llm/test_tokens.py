@@ -195,6 +195,22 @@ def test_local_search_frees_a_bin_that_best_fit_leaves():
     assert len(after) == 2 and packing.local_search(bins)
 
 
+@pytest.mark.parametrize("low,high", [(300, 420), (250, 515)])
+def test_local_search_ends_without_a_gainful_exchange(low, high):
+    r = random.Random(low)
+    lengths = [r.randrange(low, high) for _ in range(3000)]
+    first = packing.best_fit(lengths)
+    after = packing.local_search(first)
+    assert sorted(x for b in after for x in b) == sorted(lengths) and len(after) < 0.98 * len(first)
+    open_ = [b for b in after if sum(b) < 1024]
+    length = np.array([x for b in open_ for x in b])
+    where = np.repeat(np.arange(len(open_)), [len(b) for b in open_])
+    room = 1024 - np.array([sum(b) for b in open_])
+    for k, b in enumerate(open_):
+        other = where != k
+        assert packing._best_exchange(b, sum(b), length[other], room[where[other]], 1024)[0] == 0
+
+
 def test_exchange_kinds():
     import numpy as np
     gain, out, back, to = packing._best_exchange([300, 200], 500, np.array([480]), np.array([40]), 1024)
