@@ -5,7 +5,7 @@ of more than ``SIZE`` tokens is cut into full pieces, the first one taking the
 rest; nothing else is cut. Pieces are placed into sequences of at most SIZE
 tokens, as few as the search can find.
 
-Method. Pieces are dealt by a hash of their id into groups of about
+Method. Pieces are dealt by a hash of their number into groups of about
 ``GROUP`` pieces, packed independently (a group costs at most one sequence
 that is not full, a share that does not grow with the data). Within a group,
 best fit by falling length fills bins; then local search works on the bins
@@ -282,18 +282,22 @@ def pack_lengths(lengths: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.
 
 def pack(pieces: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset."""
+    schema = pieces.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    # Stored, since the numbers change when rows are computed again; equal or
+    # null ids would fill one group if the ids were dealt.
+    pieces = stored(pieces.withColumn("number", F.monotonically_increasing_id()), "op9-pieces")
     n = pieces.count()
     groups = max(1, -(-n // group))
-    schema = pieces.schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     def go(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.drop_columns("part").sort_by(
-            [("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+            [("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending"),
+             ("number", "ascending")]).drop_columns("number")
         number, offset = pack_lengths(rows["length"].to_numpy(), size)
         rows = rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + number))
         return rows.append_column("offset", pa.array(offset))
 
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(groups)))
     return dealt.groupBy("part").applyInArrow(go, f"{schema}, sequence_id long, offset long")
 
 
@@ -302,7 +306,7 @@ def pack_query(docs: DataFrame, json_path: str, ranks_path: str, pattern: str,
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    pieces = stored(slim.mapInArrow(
+    pieces = slim.mapInArrow(
         piece_rows(json_path, ranks_path, pattern, size),
-        "doc_id long, piece int, start long, length long, ids_crc32 long"), "op9-pieces")
+        "doc_id long, piece int, start long, length long, ids_crc32 long")
     return pack(pieces, size)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -176,6 +177,16 @@ def test_groups_are_packed_apart(spark):
     assert used <= 1.02 * sum(x[3] for x in rows) / 1024 + 5 + sum(x[3] > 512 for x in rows) * 0.02
 
 
+@pytest.mark.parametrize("same", [7, None])
+def test_pieces_of_one_id_are_dealt_to_many_groups(spark, same):
+    rows = [(same, 0, 0, 1 + k % 1000, k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = [tuple(x) for x in packing.pack(df, group=300).collect()]
+    check_packing(got, rows)
+    sizes = Counter(x[5] >> 32 for x in got)
+    assert len(sizes) == 10 and max(sizes.values()) < 450
+
+
 @pytest.mark.parametrize("low,high", [(1, 1023), (300, 420), (100, 260), (250, 515)])
 def test_local_search_empties_bins(low, high):
     r = random.Random(low)
