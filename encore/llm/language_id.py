@@ -4,7 +4,7 @@ Method. Every word gets a score per language: log probabilities of its byte
 2-, 3- and 4-grams (with word ends, ASCII case folded), learned from labelled
 texts. The Unicode script of the word narrows its candidates to languages that
 write at least ``MIN_SCRIPT`` of their words in that script (all stay when
-none does). A Viterbi path over the words, which pays ``SWITCH`` for each change
+none does). Words with letters of other scripts only are one more class. A Viterbi path over the words, which pays ``SWITCH`` for each change
 of language, labels spans of one language; the text's language is the one with
 most letters on the path, its score the share of those letters.
 
@@ -27,6 +27,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ from encore.llm.words import Words, chunks
 
 SAMPLE = 1500                  # labelled texts per language for the fit, about
 ORDERS = (2, 3, 4)
+HASHES = 1 << 62               # of ids
 BUCKETS = 1 << 16              # per order
 ALPHA = 0.5
 CAP = 8.0                      # a word's largest loss against its best language
@@ -77,6 +79,8 @@ def _script_table() -> np.ndarray:
 
 
 _SCRIPT = _script_table()
+OTHER = len(SCRIPTS) + 1       # words with letters, none of them of these scripts
+CLASSES = OTHER + 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -108,15 +112,40 @@ class _Grams:
             yield k, np.where(self.left >= order, bucket.astype(np.int64), -1)
 
 
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+def _code_points(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The characters that start at the given bytes, all of them over 0xBF."""
+    near = np.minimum(at[:, None] + np.arange(4), len(raw) - 1)
+    b = raw[near].astype(np.int64)
+    low = b & 63
+    two = (b[:, 0] & 31) << 6 | low[:, 1]
+    three = (b[:, 0] & 15) << 12 | low[:, 1] << 6 | low[:, 2]
+    four = (b[:, 0] & 7) << 18 | low[:, 1] << 12 | low[:, 2] << 6 | low[:, 3]
+    return np.minimum(np.where(b[:, 0] < 0xE0, two, np.where(b[:, 0] < 0xF0, three, four)), 0x10FFFF)
+
+
 def word_scripts(w: Words) -> np.ndarray:
-    """Script number of each word (the largest of its letters, 0: no letter)."""
+    """Script number of each word (the largest of its letters, OTHER: letters
+    of other scripts only, 0: no letter)."""
     if not len(w):
         return np.zeros(0, np.int8)
     nxt = np.r_[w.raw[1:], np.uint8(0)]
     per = _SCRIPT[w.raw, nxt]
     cut = np.c_[w.start, w.end].ravel()
     cut = cut[:-1] if cut[-1] == len(per) else cut
-    return np.maximum.reduceat(per, cut)[::2]
+    scripts = np.maximum.reduceat(per, cut)[::2]
+    lead = np.flatnonzero(w.raw >= 0xC0)       # every letter of other scripts starts so
+    if len(lead):
+        word = np.searchsorted(w.start, lead, side="right") - 1
+        open_ = scripts[word] == 0
+        lead, word = lead[open_], word[open_]
+        scripts[word[_letters()[_code_points(w.raw, lead)]]] = OTHER
+    return scripts
 
 
 @dataclass
@@ -142,7 +171,7 @@ def _count_rows(batches):
         g = _Grams(w)
         size = np.diff(np.r_[g.at, g.n])
         pos_lang = np.repeat(word_lang, size)
-        total = np.zeros((len(names), top + len(SCRIPTS) + 1), np.int64)
+        total = np.zeros((len(names), top + CLASSES), np.int64)
         lettered = np.repeat(scripts > 0, size)
         for k, bucket in g.codes():
             ok = (bucket >= 0) & lettered
@@ -156,6 +185,11 @@ def _count_rows(batches):
             names=["lang", "kind", "n"])
 
 
+def _share(n: int, sample: int) -> int:
+    """Hashes below it, of HASHES, are sampled from ``n`` rows."""
+    return max(1, min(HASHES, sample * HASHES // n))
+
+
 def fit(docs: DataFrame, training: Column | None = None, sample: int = SAMPLE) -> Model:
     """Counts over about ``sample`` texts per language of the rows for which
     ``training`` holds and lang and text are given."""
@@ -168,15 +202,15 @@ def fit(docs: DataFrame, training: Column | None = None, sample: int = SAMPLE) -
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((0, 0), np.float32), np.zeros((0, 0), bool))
-    share = F.lit(0)
+    share = F.lit(0).cast("long")
     for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1_000_000, sample * 1_000_000 // n))).otherwise(share)
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).select("lang", "text")
+        share = F.when(F.col("lang") == lang, F.lit(_share(n, sample))).otherwise(share)
+    rows = rows.filter(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < share)).select("lang", "text")
     counts = (rows.mapInArrow(_count_rows, "lang string, kind int, n long")
               .groupBy("lang", "kind").agg(F.sum("n").alias("n"))).toArrow()
     langs = sorted(set(counts["lang"].to_pylist()))
     top = BUCKETS * len(ORDERS)
-    c = np.zeros((top + len(SCRIPTS) + 1, len(langs)))
+    c = np.zeros((top + CLASSES, len(langs)))
     who = np.array([langs.index(x) for x in langs])
     lookup = dict(zip(langs, who))
     c[counts["kind"].to_numpy(), [lookup[x] for x in counts["lang"].to_pylist()]] = counts["n"].to_numpy()
@@ -283,8 +317,8 @@ def label(arr: pa.Array, model: Model):
     s, weight = word_scores(w, model)
     path = best_path(w, s)
     row = w.rows()
-    # Words of no known script still count a little, so that they decide
-    # when a text has nothing else.
+    # Words without a letter still count a little, so that they decide when a
+    # text has nothing else.
     weight = weight + 1e-6 * (w.end - w.start)
     mass = np.zeros((rows, len(model.langs)))
     np.add.at(mass, (row, path), weight)

@@ -164,6 +164,25 @@ def test_scripts_narrow_and_spans_follow_languages(spark):
     assert names[4] in ("de", "ru") and 0 < score[0] < 1
 
 
+def test_scripts_that_are_not_listed_are_learned(spark):
+    am = "ሰላም ነው እና ላይ ውስጥ ግን ሁሉም "
+    km = "ខ្មែរ ភាសា និង នៃ ក្នុង ដែល "
+    ti = "ከመይ ኣሎ ድማ ኣብ ምስ ግና ኩሉ "
+    texts = {"am": am, "de": "und der die das nicht ein ist ", "km": km, "ti": ti, "zz": "\U00020000\U00020001 \U00020002 "}
+    rows = [(k, t * 3, lang) for k, (lang, t) in enumerate(list(texts.items()) * 8)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    names, score, _ = language_id.label(pa.array([*texts.values(), "፩ 12 !"]), model)
+    assert names == [*texts, "und"] and (score[:5] == 1).all()
+    assert language_id.word_scripts(Words(pa.array(["ሰላም ខ្មែរ \U00020000 ፩ — ½ 漢ሰ"]))).tolist() == [
+        language_id.OTHER] * 3 + [0] * 3 + [list(language_id.SCRIPTS).index("han") + 1]
+
+
+def test_sample_of_a_huge_language_is_not_empty():
+    for n in (1, 1500, 2_000_000_000, 10**13):
+        expected = n * language_id._share(n, 1500) / language_id.HASHES
+        assert math.isclose(expected, min(n, 1500), rel_tol=1e-6)
+
+
 def test_language_query(spark):
     rows = language_id.predict_query(spark, table(spark, SF, "documents")).toPandas()
     lang = table(spark, SF, "documents").select("doc_id", "lang").toPandas()
