@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from encore.llm.pieces import CHUNK_BYTES, Encoder, take_runs
 from encore.llm.words import chunks
 
-Vocabulary = namedtuple("Vocabulary", "tokens left right pattern")
+Vocabulary = namedtuple("Vocabulary", "tokens left right pattern digest")
 _MEMO = 1 << 20                # remembered pairs
 
 
@@ -68,7 +68,10 @@ def load(path: str, pattern: str) -> Vocabulary:
                 left[i], right[i] = ranks[halves[0]], ranks[halves[1]]
             else:
                 left[i] = right[i] = -1        # no merge makes it
-    return Vocabulary(tokens, left, right, pattern)
+    digest = hashlib.sha256(pattern.encode())
+    for token in tokens:
+        digest.update(len(token).to_bytes(4, "little") + token)
+    return Vocabulary(tokens, left, right, pattern, digest.hexdigest())
 
 
 class ByteBpe:
@@ -78,7 +81,7 @@ class ByteBpe:
         import ahocorasick
         import regex
 
-        tokens, left, right, pattern = vocabulary
+        tokens, left, right, pattern, _ = vocabulary
         self.split = regex.compile(pattern).findall
         self.left, self.right = left.tolist(), right.tolist()
         self.size = [len(t) for t in tokens]
@@ -171,24 +174,28 @@ class ByteBpe:
         return take_runs(self.flat, self.begin, self.length, ids.astype(np.int64), row)
 
 
-_BUILT: dict[int, ByteBpe] = {}
+#: The worker's encoder under the digest of its vocabulary and pattern.
+_BUILT: dict[str, ByteBpe] = {}
 
 
-def worker_bpe(vocabulary) -> ByteBpe:
-    """The worker's encoder for a broadcast vocabulary (built once)."""
-    bpe = _BUILT.get(vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary))
+def worker_bpe(vocabulary, digest: str) -> ByteBpe:
+    """The worker's encoder for a broadcast vocabulary. A worker outlives the
+    query, so the encoder it holds is known by content (``digest`` comes with
+    the task), never by the broadcast's identity."""
+    bpe = _BUILT.get(digest)
     if bpe is None:
         _BUILT.clear()
-        bpe = _BUILT[getattr(vocabulary, "id", id(vocabulary))] = ByteBpe(vocabulary.value)
+        bpe = _BUILT[digest] = ByteBpe(vocabulary.value)
     return bpe
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids of the text (array) and the bytes that they decode to."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(load(path, pattern))
+    loaded = load(path, pattern)
+    vocabulary, digest = docs.sparkSession.sparkContext.broadcast(loaded), loaded.digest
 
     def go(batches):
-        bpe = worker_bpe(vocabulary)
+        bpe = worker_bpe(vocabulary, digest)
         for b in chunks(batches, max_bytes=CHUNK_BYTES):
             ids, row = bpe.encode_batch(b.column(1))
             raw, at = bpe.decode_batch(ids, row)
@@ -209,10 +216,11 @@ def _slim(docs: DataFrame) -> DataFrame:
 
 def digest_query(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(load(path, pattern))
+    loaded = load(path, pattern)
+    vocabulary, digest = docs.sparkSession.sparkContext.broadcast(loaded), loaded.digest
 
     def go(batches):
-        bpe = worker_bpe(vocabulary)
+        bpe = worker_bpe(vocabulary, digest)
         for b in chunks(batches, max_bytes=CHUNK_BYTES):
             ids, row = bpe.encode_batch(b.column(1))
             raw, at = bpe.decode_batch(ids, row)

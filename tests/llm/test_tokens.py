@@ -1,5 +1,6 @@
 """Operators 1, 3 and 9 against the tokenizer libraries."""
 
+import gc
 import hashlib
 import random
 import zlib
@@ -59,6 +60,24 @@ def test_other_vocabulary(spark):
     assert got == {i: (other.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows}
 
 
+def test_vocabularies_take_turns(spark):
+    """Reused Python workers meet two vocabularies again and again."""
+    rows = [(i, f"größere Häuser {i}, l'été à Séville, the thing") for i in range(24)]
+    docs = brute.edge_docs(spark, rows).select("doc_id", "text").cache()
+    other = P.path("byte_bpe_multi_50k.tiktoken")
+    expect = {}
+    for path in (RANKS, other):
+        ranks = byte_bpe.read_ranks(path)
+        one = tiktoken.Encoding("v", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        expect[path] = {i: one.encode_ordinary(t) for i, t in rows}
+    for turn in range(20):
+        path = (RANKS, other)[turn % 2]
+        got = {r.doc_id: r.ids for r in byte_bpe.encode(docs, path, P.PATTERN).collect()}
+        assert got == expect[path]
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 def test_byte_bpe_query(spark, plain):
     got = brute.rows_of(byte_bpe.digest_query(brute.edge_docs(spark), RANKS, P.PATTERN),
                         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
