@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import (byte_bpe, jaccard_join, language_id, metric_join, packing,
-                        quality_rules, range_coder, substring_dedup, suffix_tree, toxicity)
+from encore.llm import (byte_bpe, fill_in_middle, jaccard_join, language_id, metric_join, packing,
+                        quality_rules, range_coder, ring_shards, spelling_variants, substring_dedup,
+                        suffix_tree, toxicity)
 from encore.llm.common import table
 from encore.llm.oracle import oracle_sql  # noqa: F401  (read by the entry)
 
@@ -57,5 +58,17 @@ def op10_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.join_query(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring_shards.shard_query(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants_query(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest_query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in sorted(globals().items()) if name[:2] == "op" and name[2].isdigit()}
