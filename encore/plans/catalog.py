@@ -376,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_gold": streams.streaming_gold,
     "streaming_trend": streams.streaming_trend,
     "streaming_dedupe": streams.streaming_dedupe,
+    "streaming_late_rows": streams.streaming_late_rows,
     "recommendations_incremental": streams.recommendations_incremental,
 }
 

@@ -89,6 +89,35 @@ def streaming_dedupe(spark: SparkSession, sf_dir: str, delay: str = "62 days") -
     return spark.read.parquet(f"{root}/out")
 
 
+def land_disordered(spark: SparkSession, sf_dir: str, path: str, files: int = 12) -> None:
+    """The test messages and the repeated ones in files of rising time, every
+    message up to three days later than its own, a repeat up to twelve."""
+    both = (fixtures.event_messages(spark, sf_dir).withColumn("days", F.lit(3))
+            .unionByName(fixtures.repeated_messages(spark, sf_dir).withColumn("days", F.lit(12))))
+    at = (F.unix_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp"))
+          + F.pmod(F.xxhash64("value", "days"), F.lit(86400) * F.col("days")))
+    (both.select("value", at.alias("at")).repartitionByRange(files, "at").select(F.col("value").cast("string"))
+     .write.text(path))
+
+
+def streaming_late_rows(spark: SparkSession, sf_dir: str, delay: str = "1 day", max_files: int = 3) -> DataFrame:
+    """X10 without losses: disordered and repeated messages, a delay shorter
+    than the disorder. First arrivals and late rows go to two tables, the late
+    ones that are no repeats are settled, and together they are every event
+    once."""
+    from encore.streaming.late import run_first_arrivals, settle_late
+
+    paths = LakePaths(scratch_path(spark, "late"))
+    msgs = f"{paths.root}/landing/messages"
+    land_disordered(spark, sf_dir, msgs)
+    raw = event_stream(spark, fmt="text", path=msgs, options={"maxFilesPerTrigger": max_files})
+    valid, _ = bronze(raw, as_of=lake.FIXED_AS_OF)
+    run_first_arrivals(valid, paths, delay, AVAILABLE_NOW, buckets=64).awaitTermination()
+    settle_late(spark, paths)
+    return spark.read.schema(schemas.BRONZE_VALID).parquet(paths.bronze_unique).select(
+        "event_id", "user_id", "song_id", "timestamp", "event_type")
+
+
 def recommendations_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1-R3 from streamed inputs: gold (built from the test tables and
     written month-partitioned) is read as a stream in several micro-batches;

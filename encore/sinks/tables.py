@@ -94,3 +94,9 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 3,
             fs.delete(spark, path)
             deleted.append(path)
     return deleted
+
+
+def published_batches(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the published micro-batches of a table, ascending."""
+    return sorted(int(d[9:]) for d in fs.list_dirs(spark, root.rstrip("/"))
+                  if d.startswith("batch_id=") and d[9:].isdigit())

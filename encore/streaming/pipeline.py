@@ -31,6 +31,10 @@ class LakePaths:
     @property
     def bronze_invalid(self): return self._p("bronze/events_invalid")
     @property
+    def bronze_unique(self): return self._p("bronze/events_unique")
+    @property
+    def bronze_late(self): return self._p("bronze/events_late")
+    @property
     def dim_users(self): return self._p("silver/dim_users")
     @property
     def dim_songs(self): return self._p("silver/dim_songs")
@@ -245,8 +249,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
     with ``inputs_trigger`` (default: the gold trigger). ``max_files`` bounds
     the files of a stage's micro-batch, so a backlog becomes several batches
     (these stages carry no watermark: nothing is dropped). ``dedupe_delay``
-    removes event ids repeated within that event time before enrichment;
-    a catch-up run fails if rows came later than that, see late_rows.
+    removes event ids repeated within that event time before enrichment.
+    Rows that came later than that go to ``bronze_late``; ``late.settle_late``
+    adds those that are no repeats, and the next run takes them on.
     ``gold_jdbc``: options of a JDBC sink that gets the gold rows too.
     """
     available_now = bool(trigger and trigger.get("availableNow"))
@@ -256,11 +261,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, paths: LakePaths,
             q.awaitTermination()
     valid = stream_table(spark, paths.bronze_valid, _bronze_valid_schema(), max_files=max_files)
     if dedupe_delay:
-        valid = dedupe_valid(valid, dedupe_delay)
+        from encore.streaming.late import run_first_arrivals, unique_schema
+
+        qs.append(run_first_arrivals(valid, paths, dedupe_delay, trigger))
+        if available_now:
+            qs[-1].awaitTermination()
+        valid = stream_table(spark, paths.bronze_unique, unique_schema(), max_files=max_files)
     qs.append(enrich_stream(valid, paths, trigger, as_of=as_of, **(enrich_options or {})))
     if available_now:
         qs[-1].awaitTermination()
-        refuse_late_rows(qs[-1])
     silver = stream_table(spark, paths.silver, _silver_schema(), max_files=max_files)
     qs.append(run_gold(silver, paths, gold_trigger or trigger, gold_jdbc))
     if available_now:
@@ -399,11 +408,3 @@ def dedupe_events(events: DataFrame, delay: str = "1 hour",
     cover the disorder of arrival: rows older than the watermark are dropped
     (:func:`late_rows`)."""
     return events.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["event_id"])
-
-
-def dedupe_valid(valid: DataFrame, delay: str) -> DataFrame:
-    """:func:`dedupe_events` on bronze rows by their text time. Rows whose
-    time does not parse have no place in event time and pass unchanged."""
-    timed = valid.withColumn("event_time", F.try_to_timestamp("timestamp"))
-    known = dedupe_events(timed.filter("event_time is not null"), delay)
-    return known.unionByName(timed.filter("event_time is null")).drop("event_time")
