@@ -13,15 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.operators.backfill import backfill_gold, dimension_changes
 from encore.operators.bronze import bronze
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert
+from encore.operators.enrich import enrich
+from encore.operators.gold import gold_layout, split_gold, standardize_gold
+from encore.operators.history import (
+    SONG_ATTRIBUTES, USER_ATTRIBUTES, enrich_as_of, song_history, user_history,
+)
 from encore.operators.tracks import explode_pages, normalize_tracks
 from encore.plans import dashboard, insights, lake, recommend, streams
 from encore.schemas import EVENT_MESSAGE_WITH_DURATION, RECOMMENDATIONS
 from encore.session import scratch_path
 from encore.sinks import writers
 from encore.sources import fixtures
-from encore.sources.readers import read_songs, read_track_pages, read_users
+from encore.sources.readers import read_gold, read_songs, read_track_pages, read_users
 
 # Fixed parameters of the registered dashboard queries.
 TREND_INTERVAL = "1 hour"
@@ -381,6 +387,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _histories(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return (user_history(fixtures.user_versions(spark, sf_dir)),
+            song_history(fixtures.song_versions(spark, sf_dir)))
+
+
+def q_dim_users_history(spark, sf_dir):
+    """J1/P6 over time: validity intervals of the landed user versions."""
+    return _histories(spark, sf_dir)[0]
+
+
+def q_silver_point_in_time(spark, sf_dir):
+    """J1/J2 over time: each event with the versions valid at its time."""
+    users, songs = _histories(spark, sf_dir)
+    return enrich_as_of(_lake(spark, sf_dir).valid, users, songs,
+                        as_of=lake.FIXED_AS_OF, days=1).drop("processed_at")
+
+
+def q_gold_backfilled(spark, sf_dir):
+    """J3 backwards, S6: gold is written with the dimensions as first landed
+    (some users missing, others and some songs different), then the changes to
+    the present dimensions are filled in, and the table is read again."""
+    now = _lake(spark, sf_dir)
+    users = (now.dim_users.filter("user_id % 6 <> 0").withColumn(
+        "country", F.when(F.col("user_id") % 6 == 1, "OLD").otherwise(F.col("country"))))
+    songs = now.dim_songs.withColumn(
+        "genre", F.when(F.col("song_id").endswith("7"), F.lit(None)).otherwise(F.col("genre")))
+    gold, _ = split_gold(standardize_gold(enrich(now.valid, users, songs, as_of=lake.FIXED_AS_OF)))
+    path = scratch_path(spark, "gold-backfill")
+    gold_layout(gold).write.partitionBy("event_month").parquet(path)
+    backfill_gold(spark, path, dimension_changes(users, now.dim_users, "user_id", USER_ATTRIBUTES),
+                  dimension_changes(songs, now.dim_songs, "song_id", SONG_ATTRIBUTES), as_of=lake.FIXED_AS_OF)
+    return read_gold(spark, path).drop("processed_at")
+
+
+QUERIES |= {
+    "dim_users_history": q_dim_users_history,
+    "silver_point_in_time": q_silver_point_in_time,
+    "gold_backfilled": q_gold_backfilled,
+}
+
+
 def _in_utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """Event times are UTC wall-clock text: pin the session zone for
     callers whose session was not built by ``encore.session``."""

@@ -402,6 +402,41 @@ ORACLE = {
         FROM valid_events""",
 }
 
+_VERSIONS = """
+, uv AS (
+  SELECT user_id, user_name, country, subscription_type, TIMESTAMP '2024-01-01 00:00:00' AS valid_from FROM dim_users
+  UNION ALL
+  SELECT user_id, user_name, 'MOVED', subscription_type, TIMESTAMP '2024-01-10 00:00:00' FROM dim_users
+  WHERE user_id % 3 = 0
+  UNION ALL
+  SELECT user_id, user_name, CASE WHEN user_id % 3 = 0 THEN 'MOVED' ELSE country END, 'Premium',
+         TIMESTAMP '2024-01-20 12:00:00' FROM dim_users
+  WHERE user_id % 5 = 0 AND subscription_type <> 'Premium'),
+uh AS (SELECT *, lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from) AS valid_to FROM uv),
+sk AS (SELECT *, CAST(substr(song_id, 6) AS BIGINT) AS k FROM dim_songs),
+sv AS (
+  SELECT song_id, song_name, artist_name, genre, CASE WHEN k % 7 = 0 THEN TIMESTAMP '2024-01-05 00:00:00'
+         ELSE TIMESTAMP '2024-01-01 00:00:00' END AS valid_from FROM sk
+  UNION ALL
+  SELECT song_id, song_name || ' (remaster)', artist_name, genre, TIMESTAMP '2024-01-15 06:00:00' FROM sk WHERE k % 4 = 0),
+sh AS (SELECT *, lead(valid_from) OVER (PARTITION BY song_id ORDER BY valid_from) AS valid_to FROM sv)
+"""
+
+ORACLE |= {
+    "dim_users_history": _VERSIONS + "SELECT * FROM uh",
+    "silver_point_in_time": _VERSIONS + """
+        SELECT e.event_id, e.user_id, e.song_id, u.user_name, s.song_name, s.artist_name, s.genre,
+               strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp, e.event_type,
+               u.subscription_type, u.country
+        FROM (SELECT *, date_trunc('second', ts) AS at FROM valid_events) e
+        LEFT JOIN uh u ON e.user_id = u.user_id AND e.at >= u.valid_from
+             AND (u.valid_to IS NULL OR e.at < u.valid_to)
+        LEFT JOIN sh s ON trim(e.song_id) = s.song_id AND e.at >= s.valid_from
+             AND (s.valid_to IS NULL OR e.at < s.valid_to)""",
+    # filled in, gold is what a full rebuild gives
+    "gold_backfilled": ORACLE["gold_events"],
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: PREFIX + v for k, v in ORACLE.items()}

@@ -165,3 +165,31 @@ def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "ts", lambda x: F.struct(x["name"].alias("name"), x["mbid"].alias("mbid"),
                                           x["artist"].alias("artist"))).alias("track"))
                  .alias("tracks")))
+
+
+def user_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed version of the users: all on January 1; every third moved
+    on the 10th; a third landed again unchanged on the 12th; every fifth got
+    a Premium subscription on the 20th at noon (movers as moved)."""
+    first = users_landing(spark, sf_dir)
+    k = F.col("user_id").cast("long")
+    moved = F.when(k % 3 == 0, F.lit("MOVED")).otherwise(F.col("country"))
+
+    def landed(rows: DataFrame, at: str) -> DataFrame:
+        return rows.withColumn("ingested_at", F.lit(at))
+
+    return (first
+            .unionByName(landed(first.filter(k % 3 == 0).withColumn("country", moved), "2024-01-10T00:00:00"))
+            .unionByName(landed(first.filter(k % 3 == 1), "2024-01-12T00:00:00"))
+            .unionByName(landed(first.filter(k % 5 == 0).withColumn("country", moved)
+                                .withColumn("subscription_type", F.lit("Premium")), "2024-01-20T12:00:00")))
+
+
+def song_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed version of the songs: every seventh first landed on
+    January 5, all others on the 1st; every fourth was renamed on the 15th."""
+    k = F.substring("song_id", len(SONG_PREFIX) + 1, 20).cast("long")
+    first = songs_landing(spark, sf_dir).withColumn(
+        "ingested_at", F.when(k % 7 == 0, F.lit("2024-01-05T00:00:00")).otherwise(F.col("ingested_at")))
+    renamed = first.filter(k % 4 == 0).withColumn("song_name", F.concat("song_name", F.lit(" (remaster)")))
+    return first.unionByName(renamed.withColumn("ingested_at", F.lit("2024-01-15T06:00:00")))
