@@ -421,7 +421,36 @@ def q_gold_backfilled(spark, sf_dir):
     return read_gold(spark, path).drop("processed_at")
 
 
+ATTRIBUTION_TIMES = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
+
+
+def q_recommendation_attribution(spark, sf_dir):
+    """G13 by generation: three generations, each made from the events since
+    the one before; every play belongs to the generation in force."""
+    path = scratch_path(spark, "gold-attribution")
+    gold_layout(_gold(spark, sf_dir)).write.partitionBy("event_month").parquet(path)
+    gold = read_gold(spark, path)
+    recs, since = None, "2000-01-01 00:00:00"
+    for made in ATTRIBUTION_TIMES:
+        seen = gold.filter((F.col("event_timestamp") >= F.lit(since).cast("timestamp"))
+                           & (F.col("event_timestamp") < F.lit(made).cast("timestamp")))
+        one = recommend.recommend(seen, n=3, as_of=made)
+        recs = one if recs is None else recs.unionByName(one)
+        since = made
+    return insights.recommendation_attribution(recs, gold)
+
+
+def q_als_recommend_catalogue(spark, sf_dir):
+    """G14 over the whole catalogue, exactly (blocks small enough here that
+    users stop at different ones)."""
+    from encore.plans.ml import als_recommend_catalogue
+
+    return als_recommend_catalogue(_gold(spark, sf_dir), n=3, block=32)
+
+
 QUERIES |= {
+    "recommendation_attribution": q_recommendation_attribution,
+    "als_recommend_catalogue": q_als_recommend_catalogue,
     "dim_users_history": q_dim_users_history,
     "silver_point_in_time": q_silver_point_in_time,
     "gold_backfilled": q_gold_backfilled,

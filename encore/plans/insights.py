@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from encore.functions import song_label
 from encore.functions.scalar import event_month
+from encore.operators.dims import latest_per_key
+from encore.operators.history import join_as_of
 from encore.operators.topn import top_k
 
 EVENT_TYPES = ["PLAY", "SKIP", "LIKE"]
@@ -202,6 +204,39 @@ def recommendation_engagement(recs: DataFrame, gold: DataFrame) -> DataFrame:
                .orderBy(F.col("recommended_users").desc(), "song"))
 
 
+def recommendation_attribution(recs: DataFrame, gold: DataFrame, days: int = 30) -> DataFrame:
+    """G13 by generation: every PLAY belongs to the list its user had at that
+    moment (the newest one not after it). For each generation (updated_at):
+    users who got a list, plays while it was in force, plays of a song on the
+    list, users with such a play, and the share of such plays.
+
+    The lists are validity intervals (:func:`operators.history.join_as_of`):
+    an equi-join on user and time bucket, no window over a user's plays, so a
+    user with very many plays is an ordinary skewed key. Plays before the first
+    generation are not read (months prune)."""
+    one = latest_per_key(recs.select("user_id", F.col("updated_at").alias("valid_from"), "recommended_songs"),
+                         ["user_id", "valid_from"], [F.to_json("recommended_songs")])
+    lists = one.withColumn("generation", F.col("valid_from")).withColumn(
+        "valid_to", F.lead("valid_from").over(Window.partitionBy("user_id").orderBy("valid_from")))
+    oldest = recs.agg(F.min("updated_at").alias("t")).scalar()
+    plays = (gold.filter(_is("PLAY") & (F.col("event_timestamp") >= oldest)
+                         & (F.col("event_month") >= event_month(oldest)))
+             .select("user_id", "event_timestamp", song_label("song_name", "artist_name").alias("song")))
+    hit = F.array_contains("recommended_songs", F.col("song"))
+    heard = (join_as_of(plays, lists, "user_id", "event_timestamp", days).filter("generation is not null")
+             .groupBy("generation", "user_id").agg(F.count("*").alias("plays"), _count_if(hit).alias("hits")))
+    per = heard.groupBy("generation").agg(
+        F.sum("plays").alias("plays"), F.sum("hits").alias("attributed_plays"),
+        _count_if(F.col("hits") > 0).alias("attributed_users"))
+    served = lists.groupBy("generation").agg(F.count("*").alias("users"))
+    zero = F.lit(0).cast("long")
+    return (served.join(per, "generation", "left").select(
+        F.col("generation").alias("updated_at"), "users",
+        *(F.coalesce(c, zero).alias(c) for c in ("plays", "attributed_plays", "attributed_users")),
+        (F.coalesce("attributed_plays", zero) / F.col("plays")).alias("attributed_share"))
+        .orderBy("updated_at"))
+
+
 # Rules of the data-quality report (fixed names).
 QUALITY_RULES = ["missing_required_fields", "malformed_message", "wrong_type", "bad_timestamp",
                  "unknown_event_type", "non_positive_user_id", "duplicate_event_id"]

@@ -355,10 +355,12 @@ ORACLE = {
         , p AS (SELECT DISTINCT user_id, country, song_id FROM gold WHERE event_type = 'PLAY'),
         c AS (SELECT country, song_id,
                      row_number() OVER (PARTITION BY country ORDER BY count(*) DESC, song_id) AS rk
-              FROM gold WHERE event_type = 'PLAY' GROUP BY country, song_id)
-        SELECT DISTINCT u.user_id, c.song_id
-        FROM (SELECT DISTINCT user_id, country FROM p) u JOIN c ON u.country = c.country AND c.rk <= 50
-        WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.user_id = u.user_id AND p.song_id = c.song_id)""",
+              FROM gold WHERE event_type = 'PLAY' GROUP BY country, song_id),
+        n AS (SELECT u.user_id, u.country, c.song_id,
+                     row_number() OVER (PARTITION BY u.user_id, u.country ORDER BY c.rk) AS k
+              FROM (SELECT DISTINCT user_id, country FROM p) u JOIN c ON u.country = c.country
+              WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.user_id = u.user_id AND p.song_id = c.song_id))
+        SELECT DISTINCT user_id, song_id FROM n WHERE k <= 50""",
     "track_catalog": """
         SELECT CASE WHEN mbid <> '' THEN mbid
                     ELSE 'lf_' || md5(name || chr(31) || artist) END AS song_id,
@@ -422,7 +424,25 @@ sv AS (
 sh AS (SELECT *, lead(valid_from) OVER (PARTITION BY song_id ORDER BY valid_from) AS valid_to FROM sv)
 """
 
+_TIMES = ["2000-01-01 00:00:00", "2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
+_GENERATIONS = " UNION ALL ".join(
+    f"SELECT user_id, song, TIMESTAMP '{made}' AS made FROM "
+    + _recs_sql(f"event_timestamp >= TIMESTAMP '{since}' AND event_timestamp < TIMESTAMP '{made}'") + f" g{i}"
+    for i, (since, made) in enumerate(zip(_TIMES, _TIMES[1:])))
+
 ORACLE |= {
+    "recommendation_attribution": f"""
+        , lists AS (SELECT user_id, made, list(song) AS songs FROM ({_GENERATIONS}) GROUP BY 1, 2),
+        force AS (SELECT *, lead(made) OVER (PARTITION BY user_id ORDER BY made) AS until FROM lists),
+        played AS (SELECT f.made, e.user_id, list_contains(f.songs, e.song_name || ' - ' || e.artist_name) AS hit
+                   FROM gold e JOIN force f ON e.user_id = f.user_id AND e.event_timestamp >= f.made
+                        AND (f.until IS NULL OR e.event_timestamp < f.until)
+                   WHERE e.event_type = 'PLAY')
+        SELECT l.made AS updated_at, l.users, coalesce(p.plays, 0) AS plays, coalesce(p.hits, 0) AS attributed_plays,
+               coalesce(p.fans, 0) AS attributed_users, p.hits / p.plays AS attributed_share
+        FROM (SELECT made, count(*) AS users FROM lists GROUP BY 1) l
+        LEFT JOIN (SELECT made, count(*) AS plays, count(*) FILTER (WHERE hit) AS hits,
+                          count(DISTINCT user_id) FILTER (WHERE hit) AS fans FROM played GROUP BY 1) p USING (made)""",
     "dim_users_history": _VERSIONS + "SELECT * FROM uh",
     "silver_point_in_time": _VERSIONS + """
         SELECT e.event_id, e.user_id, e.song_id, u.user_name, s.song_name, s.artist_name, s.genre,

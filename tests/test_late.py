@@ -85,14 +85,14 @@ def test_nothing_is_lost_over_many_batches(spark, tmp_root, one_partition):
     line = sorted(((m + r.randrange(0, 240), f"e{k}", m) for k, m in enumerate(r.randrange(6000) for _ in range(1500))))
     line += [(at + r.randrange(0, 500), i, m) for at, i, m in r.sample(line, 400)]
     line.sort()
-    files = [[(i, m) for _, i, m in line[k:k + 50]] for k in range(0, len(line), 50)]
-    assert len(files) == 38
+    files = [[(i, m) for _, i, m in line[k:k + 100]] for k in range(0, len(line), 100)]
+    assert len(files) == 19
     paths = LakePaths(tmp_root)
     src = stream_table(spark, land(spark, f"{tmp_root}/in", files), schemas.BRONZE_VALID, max_files=1)
     try:
         q = run_first_arrivals(src, paths, "90 minutes", NOW, buckets=2)
         q.awaitTermination()
-        assert len(q.recentProgress) <= 6 and q.lastProgress["batchId"] >= 37
+        assert len(q.recentProgress) <= 6 and q.lastProgress["batchId"] >= 18
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     unique, late = tables(spark, paths)
