@@ -21,6 +21,10 @@ from encore.operators.gold import gold_layout, split_gold, standardize_gold
 from encore.operators.history import (
     SONG_ATTRIBUTES, USER_ATTRIBUTES, enrich_as_of, song_history, user_history,
 )
+from encore.operators.sessions import listening_patterns, sessions
+from encore.operators.sketches import (
+    daily_leaders, daily_song_plays, error_bound, listener_sketches, top_songs_between,
+)
 from encore.operators.tracks import explode_pages, normalize_tracks
 from encore.plans import dashboard, insights, lake, recommend, streams
 from encore.schemas import EVENT_MESSAGE_WITH_DURATION, RECOMMENDATIONS
@@ -448,7 +452,47 @@ def q_als_recommend_catalogue(spark, sf_dir):
     return als_recommend_catalogue(_gold(spark, sf_dir), n=3, block=32)
 
 
+def q_listening_sessions(spark, sf_dir):
+    return sessions(_gold(spark, sf_dir))
+
+
+def q_listening_patterns(spark, sf_dir):
+    return listening_patterns(sessions(_gold(spark, sf_dir)))
+
+
+def q_listeners_by_week(spark, sf_dir):
+    """G4/G11 from stored sketches: distinct users of each calendar week and
+    country, exactly, and whether the merged sketches of its days estimate
+    them within the bound."""
+    gold = _gold(spark, sf_dir)
+    path = scratch_path(spark, "listener-sketches")
+    listener_sketches(gold).write.parquet(path)
+    stored = spark.read.schema("day date, country string, users binary").parquet(path)
+    week = F.date_trunc("week", "day").alias("week")
+    told = stored.groupBy(week, "country").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("told"))
+    exact = gold.filter("user_id is not null").groupBy(
+        F.date_trunc("week", "event_timestamp").alias("week"), "country").agg(
+        F.count_distinct("user_id").alias("listeners"))
+    near = F.abs(F.col("told") - F.col("listeners")) <= error_bound() * F.col("listeners")
+    return exact.join(told, ["week", "country"]).select("week", "country", "listeners", near.alias("within_bound"))
+
+
+def q_top_songs_leaders(spark, sf_dir):
+    """Q4 from stored daily counts and leaders: equal to the full ranking."""
+    path = scratch_path(spark, "daily-plays")
+    daily_song_plays(_gold(spark, sf_dir)).write.partitionBy("day").parquet(path)
+    daily = spark.read.schema("song string, plays long, day date").parquet(path)
+    best, _ = top_songs_between(daily, daily_leaders(daily, 20), 5, "2024-01-01", "2024-01-31")
+    return best
+
+
 QUERIES |= {
+    "listening_sessions": q_listening_sessions,
+    "listening_patterns": q_listening_patterns,
+    "streaming_sessions": streams.streaming_sessions,
+    "listeners_by_week": q_listeners_by_week,
+    "top_songs_leaders": q_top_songs_leaders,
     "recommendation_attribution": q_recommendation_attribution,
     "als_recommend_catalogue": q_als_recommend_catalogue,
     "dim_users_history": q_dim_users_history,

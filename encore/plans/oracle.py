@@ -424,6 +424,36 @@ sv AS (
 sh AS (SELECT *, lead(valid_from) OVER (PARTITION BY song_id ORDER BY valid_from) AS valid_to FROM sv)
 """
 
+_SESSIONS = """
+, marked AS (
+  SELECT user_id, event_timestamp AS t, event_type,
+         CASE WHEN event_timestamp - lag(event_timestamp) OVER (PARTITION BY user_id ORDER BY event_timestamp)
+              <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+  FROM gold WHERE user_id IS NOT NULL),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS no FROM marked),
+s AS (SELECT user_id, min(t) AS started, max(t) AS ended, count(*) AS events,
+             count(*) FILTER (WHERE event_type = 'PLAY') AS plays, count(*) FILTER (WHERE event_type = 'SKIP') AS skips
+      FROM numbered GROUP BY user_id, no)
+"""
+
+ORACLE |= {
+    "listening_sessions": _SESSIONS + "SELECT * FROM s",
+    "streaming_sessions": _SESSIONS + "SELECT * FROM s",
+    "listening_patterns": _SESSIONS + """
+        , d AS (SELECT *, epoch(ended) - epoch(started) AS seconds,
+                       epoch(started) - epoch(lag(ended) OVER (PARTITION BY user_id ORDER BY started)) AS pause FROM s)
+        SELECT user_id, count(*) AS sessions, CAST(sum(events) AS BIGINT) AS events,
+               quantile_cont(seconds, 0.5) AS median_seconds, quantile_cont(seconds, 0.9) AS p90_seconds,
+               CAST(max(seconds) AS BIGINT) AS longest_seconds, quantile_cont(events, 0.5) AS median_events,
+               quantile_cont(pause, 0.5) AS median_pause_seconds
+        FROM d GROUP BY user_id""",
+    "listeners_by_week": """
+        SELECT date_trunc('week', event_timestamp) AS week, country,
+               count(DISTINCT user_id) AS listeners, true AS within_bound
+        FROM gold GROUP BY 1, 2""",
+    "top_songs_leaders": ORACLE["top_songs"],
+}
+
 _TIMES = ["2000-01-01 00:00:00", "2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
 _GENERATIONS = " UNION ALL ".join(
     f"SELECT user_id, song, TIMESTAMP '{made}' AS made FROM "

@@ -89,6 +89,30 @@ def streaming_dedupe(spark: SparkSession, sf_dir: str, delay: str = "62 days") -
     return spark.read.parquet(f"{root}/out")
 
 
+def streaming_sessions(spark: SparkSession, sf_dir: str, delay: str = "62 days") -> DataFrame:
+    """G10 as a stream: sessions given out as the watermark passes them. The
+    landed files hold any time, so the delay covers the period; a last event of
+    user -1, a year later, lets the watermark pass every real session."""
+    from encore.operators.gold import gold_layout
+    from encore.operators.sessions import stream_sessions
+
+    root = scratch_path(spark, "sessions")
+    g = lake.from_tables(spark, sf_dir).gold
+    gold_layout(g).write.partitionBy("event_month").parquet(f"{root}/gold")
+    end = g.agg(F.max("event_timestamp").alias("event_timestamp")).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("user_id", "event_timestamp", "event_month")
+          else F.lit(-1).alias("user_id") if f.name == "user_id"
+          else (F.col("event_timestamp") + F.expr("interval 365 days")).alias("event_timestamp")
+          if f.name == "event_timestamp" else F.lit(999912).alias("event_month") for f in schemas.GOLD.fields))
+    end.coalesce(1).write.mode("append").partitionBy("event_month").parquet(f"{root}/gold")
+    src = stream_table(spark, f"{root}/gold", schemas.GOLD, max_files=2)
+    q = (stream_sessions(src, delay=delay).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{root}/_ckpt").trigger(**AVAILABLE_NOW).start(f"{root}/out"))
+    q.awaitTermination()
+    refuse_late_rows(q)
+    return spark.read.parquet(f"{root}/out").filter("user_id <> -1")
+
+
 def land_disordered(spark: SparkSession, sf_dir: str, path: str, files: int = 12) -> None:
     """The test messages and the repeated ones in files of rising time, every
     message up to three days later than its own, a repeat up to twelve."""
