@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from encore.operators.backfill import backfill_gold, dimension_changes
 from encore.operators.bronze import bronze
+from encore.operators.contract import field_types
 from encore.operators.dims import build_dim_songs, build_dim_users, upsert
 from encore.operators.enrich import enrich
 from encore.operators.gold import gold_layout, split_gold, standardize_gold
@@ -487,7 +488,13 @@ def q_top_songs_leaders(spark, sf_dir):
     return best
 
 
+def q_message_types(spark, sf_dir):
+    """G15, types: events and faulty messages against the declared contract."""
+    return field_types(_messages_with_faults(spark, sf_dir))
+
+
 QUERIES |= {
+    "message_types": q_message_types,
     "listening_sessions": q_listening_sessions,
     "listening_patterns": q_listening_patterns,
     "streaming_sessions": streams.streaming_sessions,

@@ -437,6 +437,24 @@ s AS (SELECT user_id, min(t) AS started, max(t) AS ended, count(*) AS events,
 """
 
 ORACLE |= {
+    "message_types": """
+        , f AS (
+          SELECT unnest([
+                   {'field': 'event_id', 'type': 'STRING'}, {'field': 'user_id', 'type': 'BIGINT'},
+                   {'field': 'song_id', 'type': CASE WHEN song_id IS NULL THEN 'MISSING' ELSE 'STRING' END},
+                   {'field': 'timestamp', 'type': 'STRING'}, {'field': 'event_type', 'type': 'STRING'},
+                   {'field': 'duration_seconds', 'type': 'BIGINT'}]) AS x
+          FROM raw_events
+          UNION ALL
+          SELECT unnest(CASE WHEN event_id % 50 = 2 THEN [{'field': '(message)', 'type': 'MALFORMED'}] ELSE [
+                   {'field': 'event_id', 'type': 'STRING'},
+                   {'field': 'user_id', 'type': CASE WHEN event_id % 50 = 3 THEN 'STRING' ELSE 'BIGINT' END},
+                   {'field': 'song_id', 'type': 'STRING'}, {'field': 'timestamp', 'type': 'STRING'},
+                   {'field': 'event_type', 'type': CASE WHEN event_id % 50 = 1 THEN 'VOID' ELSE 'STRING' END}] END)
+          FROM events WHERE event_id % 50 <= 6)
+        SELECT x.field AS field, x.type AS type, count(*) AS messages,
+               x.type NOT IN ('MALFORMED', 'MISSING', 'VOID') AND NOT (x.field = 'user_id' AND x.type = 'STRING') AS ok
+        FROM f GROUP BY 1, 2""",
     "listening_sessions": _SESSIONS + "SELECT * FROM s",
     "streaming_sessions": _SESSIONS + "SELECT * FROM s",
     "listening_patterns": _SESSIONS + """
