@@ -28,9 +28,10 @@ from encore.operators.sketches import (
 )
 from encore.operators.tracks import explode_pages, normalize_tracks
 from encore.plans import dashboard, insights, lake, recommend, streams
-from encore.schemas import EVENT_MESSAGE_WITH_DURATION, RECOMMENDATIONS
+from encore.schemas import DIM_USERS, EVENT_MESSAGE_WITH_DURATION, RECOMMENDATIONS
 from encore.session import scratch_path
 from encore.sinks import writers
+from encore.sinks.buckets import read_buckets, upsert_buckets
 from encore.sources import fixtures
 from encore.sources.readers import read_gold, read_songs, read_track_pages, read_users
 
@@ -308,8 +309,7 @@ UPSERT_COUNTRY = "RELOCATED"
 UPSERT_NEW_SEGMENT = "BUILDING"
 
 
-def q_dim_users_upsert(spark, sf_dir):
-    target = build_dim_users(fixtures.users_landing(spark, sf_dir))
+def _user_updates(spark, sf_dir) -> DataFrame:
     c = fixtures.table(spark, sf_dir, "customer")
     n = fixtures.table(spark, sf_dir, "nation")
     j = c.join(n, c.c_nationkey == n.n_nationkey)
@@ -323,7 +323,12 @@ def q_dim_users_upsert(spark, sf_dir):
          .otherwise(F.col("n_name")).alias("country"),
         F.lit("Free").alias("subscription_type"),
         F.lit("2024-02-01T00:00:00").alias("ingested_at"))
-    return upsert(target, build_dim_users(landing), ["user_id"])
+    return build_dim_users(landing)
+
+
+def q_dim_users_upsert(spark, sf_dir):
+    target = build_dim_users(fixtures.users_landing(spark, sf_dir))
+    return upsert(target, _user_updates(spark, sf_dir), ["user_id"])
 
 
 def q_recommendation_candidates(spark, sf_dir):
@@ -493,7 +498,19 @@ def q_message_types(spark, sf_dir):
     return field_types(_messages_with_faults(spark, sf_dir))
 
 
+def q_dim_users_upsert_buckets(spark, sf_dir):
+    """M1/M2 in buckets: the upsert of dim_users_upsert, rewriting only the
+    buckets of its keys, applied twice (the second time changes nothing)."""
+    path = scratch_path(spark, "dim-users-buckets")
+    users = _lake(spark, sf_dir).dim_users
+    upsert_buckets(users, path, ["user_id"])
+    for _ in range(2):
+        upsert_buckets(_user_updates(spark, sf_dir), path, ["user_id"])
+    return read_buckets(spark, path, DIM_USERS)
+
+
 QUERIES |= {
+    "dim_users_upsert_buckets": q_dim_users_upsert_buckets,
     "message_types": q_message_types,
     "listening_sessions": q_listening_sessions,
     "listening_patterns": q_listening_patterns,

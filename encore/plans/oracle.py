@@ -437,6 +437,7 @@ s AS (SELECT user_id, min(t) AS started, max(t) AS ended, count(*) AS events,
 """
 
 ORACLE |= {
+    "dim_users_upsert_buckets": ORACLE["dim_users_upsert"],
     "message_types": """
         , f AS (
           SELECT unnest([
