@@ -53,6 +53,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def apart(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep``, and all others within the struct ``doc``: columns
+    that an operator adds cannot meet one of the same name."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in keep]
+    return docs.select(*keep, F.struct(*(others or [F.lit(0).alias("none")])).alias("doc"))
+
+
+def together(names: list[str], **own) -> list:
+    """The columns ``names`` in order, from ``own`` or else out of ``doc``."""
+    return [(own[c] if c in own else F.col("doc").getField(c)).alias(c) for c in names]
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the id written as text, modulo n (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import SKETCH_BITS, components, release, sketch, stored
+from encore.llm.common import SKETCH_BITS, apart, components, release, sketch, stored, together
 from encore.llm.words import Words, chunks, list_array, mix, signed
 
 SHINGLE = 5
@@ -327,10 +327,10 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     first = stored(roots.groupBy("root").agg(F.min(order).alias("m"))
                    .select(F.col("m.doc_id").alias("_id"), F.col("m.node").alias("node")),
                    "op8-first")
-    back = _nodes_of_text(docs)
-    names = [c for c in docs.columns if c != "node"]
-    alone = back.filter("node is null").select(*names)
+    back = _nodes_of_text(apart(docs, "doc_id", "text"))
+    values = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    alone = back.filter("node is null").select(*together(docs.columns, **values))
     kept = back.filter("node is not null").join(first, "node").filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-    again = kept.groupBy("node", "doc_id").agg(*[F.min(F.struct(*names)).alias("r")]) \
-        .select(*[F.col("r")[c].alias(c) for c in names])
+    again = (kept.groupBy("node", "doc_id").agg(F.min(F.struct("text", "doc")).alias("r"))
+             .select("doc_id", "r.text", "r.doc").select(*together(docs.columns, **values)))
     return alone.unionByName(again)

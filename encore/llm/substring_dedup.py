@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import NULL_ID, SKETCH_BITS, release, sketch, stored
+from encore.llm.common import NULL_ID, SKETCH_BITS, apart, release, sketch, stored, together
 from encore.llm.words import Words, chunks, list_array, signed
 
 WINDOW = 50
@@ -252,21 +252,12 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
                   .select("h1", "h2", "n_words", F.col("first_id").alias("_first"),
                           F.col("n_removed").alias("_gone"), F.col("kept").alias("_kept")),
                   "op6-kept")
-    names = docs.columns
-    back = with_hash(docs).join(info.withColumnRenamed("n_words", "_words"), ["h1", "h2"])
+    back = with_hash(apart(docs, "doc_id", "text")).join(info.withColumnRenamed("n_words", "_words"), ["h1", "h2"])
     own = F.coalesce(F.col("doc_id"), F.lit(NULL_ID))
     whole = ((own > F.col("_first")) & (F.col("_words") >= size)) | \
         ((F.col("_words") > 0) & (F.coalesce("_gone", F.lit(0)) >= F.col("_words")))
-    text = F.coalesce("_kept", "text")
-    back = back.filter(~whole)
-    fields = []
-    for c in names:
-        if c == "text":
-            fields.append(text.alias("text"))
-        elif c == "n_chars":
-            fields.append(F.when(F.col("_kept").isNotNull(), F.length("_kept"))
-                          .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-                          .alias("n_chars"))
-        else:
-            fields.append(F.col(c))
-    return back.select(*fields)
+    values = {"doc_id": F.col("doc_id"), "text": F.coalesce("_kept", "text")}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(
+            F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return back.filter(~whole).select(*together(docs.columns, **values))

@@ -49,8 +49,7 @@ def test_small_sets_at_every_size(spark):
 def test_one_of_each_group(spark):
     docs = brute.edge_docs(spark)
     out = jaccard_join.one_of_each_group(docs)
-    names = [c for c in docs.columns if c != "node"]
-    assert out.columns == names
+    assert out.columns == docs.columns
     expect = brute.jaccard(brute.EDGE)
     kept = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
     groups = {c for d, n, c in expect if n}
@@ -75,7 +74,7 @@ def test_remove_repeats_changes_texts(spark):
             (3, brute.PASSAGE), (4, "untouched  text"), (5, None), (6, "")]
     docs = brute.edge_docs(spark, rows)
     out = substring_dedup.remove_repeats(docs)
-    assert out.columns == [c for c in docs.columns if c != "h1"] or out.columns == docs.columns
+    assert out.columns == docs.columns
     got = {r.doc_id: r.text for r in out.collect()}
     assert got == {1: brute.PASSAGE + " own first", 2: "head here tail", 4: "untouched  text", 5: None, 6: ""}
 
@@ -105,3 +104,21 @@ def test_repeats_of_random_texts():
     substring_dedup.remove_repeats, quality_rules.quality_rows, quality_rules.keep_good])
 def test_empty_table(spark, run):
     assert run(brute.edge_docs(spark).limit(0)).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns called as the operators call their own come back unchanged."""
+    names = ["h1", "h2", "node", "_id", "_first", "_gone", "_kept", "_words", "doc", "first_id", "root", "x.y"]
+    rows = [(1, brute.PASSAGE + " own first"), (2, "head  here " + brute.PASSAGE + " tail"), (4, "untouched  text"),
+            (5, None), (6, ""), (7, brute.BASE), (8, brute.BASE), (None, "a text without an id")]
+    docs = spark.createDataFrame([(i, t, *(f"{c}-{k}" for c in names)) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names))
+    held = {r[0]: tuple(r) for r in docs.collect()}
+    out = jaccard_join.one_of_each_group(docs)
+    assert out.columns == docs.columns
+    assert {r[0]: tuple(r) for r in out.collect()} == {i: v for i, v in held.items() if i not in (2, 8)}
+    out = substring_dedup.remove_repeats(docs)
+    assert out.columns == docs.columns
+    got = {r[0]: tuple(r) for r in out.collect()}
+    assert set(got) == {1, 2, 4, 5, 6, 7, None} and got[2][1] == "head here tail"
+    assert all(v[2:] == held[i][2:] and (i == 2 or v[1] == held[i][1]) for i, v in got.items())
