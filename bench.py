@@ -17,6 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from encore import schemas  # noqa: E402
 from encore.operators.gold import gold_layout  # noqa: E402
+from encore.operators.sessions import sessions  # noqa: E402
+from encore.operators.sketches import listener_sketches  # noqa: E402
 from encore.plans import catalog, dashboard, insights, lake, ml, recommend, streams  # noqa: E402
 from encore.session import get_session, scratch_path  # noqa: E402
 
@@ -62,6 +64,9 @@ def main() -> None:
         "user_engagement": lambda: insights.user_engagement(gold),
         "daily_volume": lambda: insights.daily_volume(gold),
         "platform_growth": lambda: insights.platform_growth(gold),
+        "listening_sessions": lambda: sessions(gold),
+        "listener_sketches": lambda: listener_sketches(gold),
+        "silver_point_in_time": lambda: catalog.q_silver_point_in_time(spark, sf_dir),
     }
     for name, fn in plans.items():
         timed(name, lambda fn=fn: _run(fn()))

@@ -54,6 +54,12 @@ def _bucket(at: Column, days: int) -> Column:
     return F.floor(F.unix_seconds(at.cast("timestamp")) / (days * DAY)).cast("long")
 
 
+def time_span(rows: DataFrame, at: str) -> tuple[Column, Column]:
+    """First and last time of the rows: one pass over one column."""
+    ends = rows.agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last")).alias("ends")).scalar()
+    return ends.getField("first"), ends.getField("last")
+
+
 def join_as_of(rows: DataFrame, history: DataFrame, key: str, at: str, days: int = 30,
                span: tuple | None = None) -> DataFrame:
     """Left join of ``rows`` to the version valid at ``rows[at]``
@@ -67,11 +73,7 @@ def join_as_of(rows: DataFrame, history: DataFrame, key: str, at: str, days: int
     costs one row per bucket, and many short ones stay apart. Intervals of a
     key do not overlap, so at most one version fits. Strategy and skewed keys
     are left to Catalyst and AQE (the row side may be split)."""
-    if span is None:
-        times = rows.agg(F.min(at).alias("first"), F.max(at).alias("last"))
-        first, last = times.select("first").scalar(), times.select("last").scalar()
-    else:
-        first, last = map(F.lit, span)
+    first, last = time_span(rows, at) if span is None else map(F.lit, span)
     begin = F.greatest(F.col("valid_from"), first.cast("timestamp"))
     end = F.least(F.coalesce("valid_to", last.cast("timestamp")), last.cast("timestamp"))
     versions = (history.filter((F.col("valid_from") <= last)
@@ -94,6 +96,7 @@ def enrich_as_of(events: DataFrame, users: DataFrame, songs: DataFrame, as_of=No
     (Guest / Unknown in gold)."""
     e = events.select("event_id", "user_id", "song_id", F.col("timestamp").alias("event_timestamp"),
                       "event_type", to_ts("timestamp").alias("_at"), F.trim("song_id").alias("_song"))
+    span = time_span(e, "_at") if span is None else span
     j = join_as_of(e, users, "user_id", "_at", days, span)
     j = join_as_of(j, songs.withColumnRenamed("song_id", "_song"), "_song", "_at", days, span)
     return j.select("event_id", "user_id", "song_id", "user_name", "song_name", "artist_name", "genre",

@@ -411,7 +411,7 @@ def q_silver_point_in_time(spark, sf_dir):
     """J1/J2 over time: each event with the versions valid at its time."""
     users, songs = _histories(spark, sf_dir)
     return enrich_as_of(_lake(spark, sf_dir).valid, users, songs,
-                        as_of=lake.FIXED_AS_OF, days=1).drop("processed_at")
+                        as_of=lake.FIXED_AS_OF).drop("processed_at")
 
 
 def q_gold_backfilled(spark, sf_dir):

@@ -55,8 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         if not is_local_master(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        # The key is fixed once a session runs: the context holds the folder.
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

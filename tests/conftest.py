@@ -14,8 +14,7 @@ def spark():
     s = get_session("local[4]", app="encore-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="encore-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="encore-test-ckpt-"))
     yield s
 
 

@@ -28,7 +28,7 @@ def con():
 
 def test_every_query_has_oracle_or_is_listed():
     missing = set(catalog.queries()) - set(E.oracle_sql())
-    assert missing <= {"als_recommend"}
+    assert missing <= {"als_recommend", "als_recommend_catalogue"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
+        assert len(got) > 0
         return
     exp = con.execute(sql).df()
     assert sorted(got.columns) == sorted(exp.columns)
