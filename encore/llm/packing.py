@@ -109,7 +109,6 @@ def piece_rows(json_path: str, ranks_path: str, pattern: str, size: int = SIZE,
                 names.append("ids")
             for i in range(0, len(who), 10_000):
                 yield pa.RecordBatch.from_arrays([c.slice(i, 10_000) for c in cols], names=names)
-        encoder.rest()
     return go
 
 

@@ -89,10 +89,6 @@ class Encoder:
             self.young, self.old = {}, young
         return out
 
-    def rest(self) -> None:
-        """Called when a task ends: a waiting worker keeps one generation."""
-        self.old = {}
-
     def batch(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, first id of each row and the total)."""
         pieces, at, row = self.cut(arr)

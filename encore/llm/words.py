@@ -11,14 +11,12 @@ with a 64-bit mixer. Prefix sums give the hash of any run of words in O(1).
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_LIBC = ctypes.CDLL(None)
 CHUNK_BYTES = 2 << 20          # texts handled at once, unless one alone is longer
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -60,16 +58,6 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def _give_back() -> None:
-    """At the end of a task, freed memory goes back to the system: the worker
-    waits for its next task beside others, and the executor's limit is theirs
-    together. (Where the C library cannot, nothing happens.)"""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(_LIBC, "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def chunks(batches, column: str = "text", max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the record batches with at most ``max_bytes`` of text each
     (or a single row)."""
@@ -85,7 +73,6 @@ def chunks(batches, column: str = "text", max_bytes: int = CHUNK_BYTES) -> Itera
             to = max(at + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
             yield batch.slice(at, to - at)
             at = to
-    _give_back()
 
 
 def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
