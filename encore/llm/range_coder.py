@@ -40,6 +40,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ from encore.llm.words import chunks
 from encore.session import scratch_path
 
 MAGIC = b"TIDS1\0"
-BLOCK = 2048
+BLOCK = 1024
 SHARD = 1 << 23
 _SLOTS = 512                   # of each context table of a block
 _MIX_BITS = 16                 # of the shares of the three predictions
@@ -293,6 +294,13 @@ _BUILT: dict[str, Encoder] = {}
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def lower_word_pieces(arr: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words with A-Z lower-cased, as the vocabulary does: fewer are distinct.
+    Texts that may name a special token, which has case, stay as they are."""
+    arr = arr.cast(pa.string()).fill_null("")
+    return word_pieces(pc.if_else(pc.match_substring(arr, "<|"), arr, pc.ascii_lower(arr)))
+
+
 def word_encoder(json_path: str) -> Encoder:
     """The worker's encoder for the lower-casing vocabulary with word ends.
 
@@ -310,7 +318,17 @@ def word_encoder(json_path: str) -> Encoder:
         closes = np.zeros(max(vocab.values()) + 1, bool)
         closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         plain = regex.compile(r"[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-įĲ-ňŊ-ɏ]*").fullmatch
-        split = regex.compile(_SPLIT).findall
+        findall = regex.compile(_SPLIT).findall
+
+        def split(word):
+            """Its parts. A word of letters, with one mark after it or not,
+            needs no pattern."""
+            if word.isascii():
+                if word.isalpha():
+                    return [word]
+                if word[:-1].isalpha() and not word[-1].isdigit():
+                    return [word[:-1], word[-1]]
+            return findall(word)
 
         def parts_many(parts):
             out = []
@@ -341,7 +359,7 @@ def word_encoder(json_path: str) -> Encoder:
             return [other[w] if w in other else b"".join([value[p] for p in cut[w]]) for w in words]
 
         _BUILT.clear()
-        _BUILT[json_path] = Encoder(many, word_pieces)
+        _BUILT[json_path] = Encoder(many, lower_word_pieces)
     return _BUILT[json_path]
 
 
