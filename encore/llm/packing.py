@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import stored
-from encore.llm.pieces import CHUNK_BYTES, Encoder
+from encore.llm.pieces import Encoder
 from encore.llm.words import chunks
 
 SIZE = 1024
 END_ID = 2
 GROUP = 20_000
-CACHED_PIECES = 150_000        # of each of a worker's two generations
+CACHED_PIECES = 60_000        # of each of a worker's two generations
+CHUNK_BYTES = 4 << 20          # text tokenized at once
 #: The vocabulary's special token, which the tokenizer takes out of texts.
 SPECIAL = "<|endoftext|>"
 _BUILT: dict[tuple, Encoder] = {}
