@@ -50,10 +50,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Text that goes to a Python worker at once (Spark's default of 64 MB is held
+#: on both sides, by every task).
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
-        clear_stored(spark, but_last=1)        # what the stage needed on its way
-    return docs
+    key, size = BATCH
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+            clear_stored(spark, but_last=1)    # what the stage needed on its way
+        return docs
+    finally:
+        spark.conf.set(key, before)
