@@ -15,9 +15,12 @@ Spark table. The distribution of a node is its counts smoothed towards its
 parent's distribution with weight ``PRIOR``. A symbol is scored by the longest
 retained suffix of what precedes it. The ``NODES`` most frequent contexts (with
 each of them its suffixes, which are as frequent) are broadcast as a tree that
-is descended for all symbols of a batch at once; it marks the children that
-only the table has. A symbol whose descent meets such a mark is written out as
-a (context, symbol) key, and its distinct keys are joined with the table.
+is descended for all symbols of a batch at once; it marks the children that it
+lacks. Few symbols of a batch meet such a mark: their distinct (context, symbol)
+keys go on in the counts of the next ``NEAR`` contexts by frequency, broadcast
+as sorted arrays of at most ``NEAR_GRAMS`` counts. All other contexts stay in the
+table, with a broadcast sketch of fixed size: a key that the sketch cannot rule
+out is written out, and the distinct keys are joined with the table.
 
 The base score (add-0.1 unigrams of tokens) needs the training count of each
 token: the at most ``FREQUENT`` most frequent words are broadcast (a fixed
@@ -39,11 +42,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.common import clear_previous, crc_mod, release, stored
-from encore.llm.words import Words, chunks, list_array, signed
+from encore.llm.common import SKETCH_BITS, clear_previous, crc_mod, release, sketch, stored
+from encore.llm.words import Words, chunks, list_array, mix, signed
 
 DEPTH = 6
 NODES = 60_000                 # of the broadcast tree (below 2**16 - 1)
+NEAR = 400_000                 # further contexts, broadcast as sorted arrays
+NEAR_GRAMS = 3_000_000         # their counts, at most
 OUTSIDE = 2**16 - 1            # a child that is not in the broadcast tree
 FLOOR = 1.0
 PRIOR = 16.0
@@ -133,13 +138,45 @@ def _count_rows(batches):
             yield from out(kind)
 
 
+def lookup(names: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of ``wanted`` in the sorted ``names``, whether it is there)."""
+    if not len(names):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+    return at, names[at] == wanted
+
+
+class Near:
+    """Counts of contexts beyond the tree: sorted names (depth above 56 bits of
+    symbols) of contexts with their totals and of grams with their counts.
+    ``far``: flags of the contexts that only the table has, None if none."""
+
+    def __init__(self, d: np.ndarray, g: np.ndarray, n: np.ndarray, whole: np.ndarray,
+                 far: np.ndarray | None = None):
+        deep = d.astype(np.int64) << 56
+        self.context, first = np.unique(deep | (g >> 8), return_index=True)
+        self.whole = whole[first]
+        order = np.argsort(deep | g)
+        self.gram, self.n = (deep | g)[order], n[order]
+        self.far = far
+
+    def elsewhere(self, context: np.ndarray) -> np.ndarray:
+        """False where the table surely lacks the context."""
+        if self.far is None:
+            return np.zeros(len(context), bool)
+        return self.far[mix(context.view(np.uint64)) & np.uint64(SKETCH_BITS - 1)]
+
+
 class Tree:
-    """The fitted tree: child[node][column] (0: none, OUTSIDE: in the table
-    of further nodes) and log10 probabilities of each node. Symbols that were seen have a column each, all others
-    share the last one (its probability is that of each of them)."""
+    """The fitted tree: child[node][column] (0: none, OUTSIDE: a context
+    beyond the tree) and log10 probabilities of each node. Symbols that were
+    seen have a column each, all others share the last one (its probability
+    is that of each of them). ``near``: the next contexts."""
 
     def __init__(self, column: np.ndarray, child: np.ndarray, logp: np.ndarray):
         self.column, self.child, self.logp = column, child, logp
+        none = np.zeros(0, np.int64)
+        self.near = Near(none, none, none, none)
 
     def walk(self, x: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 probability of each row of symbols, without the symbols whose
@@ -183,6 +220,25 @@ class Tree:
             node[on] = flat[node[on] * width + self.column[key[on] >> (8 * d) & 255]]
         return 10.0 ** self.logp[node, self.column[key & 255]].astype(np.float64)
 
+    def descend(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each key's way on from the node that it reached through the near
+        contexts: its symbol's probability, the depth, and whether the next
+        context may be in the table."""
+        p, depth = self.reached(key), key >> 56
+        stopped, outside = np.zeros(len(key), bool), np.zeros(len(key), bool)
+        for d in range(1, DEPTH + 1):
+            on = np.flatnonzero((depth == d - 1) & ~stopped)
+            context = (key[on] >> 8 & ((1 << 8 * d) - 1)) | (d << 56)
+            at, hit = lookup(self.near.context, context)
+            stopped[on[~hit]] = True
+            outside[on[~hit]] = self.near.elsewhere(context[~hit])
+            on, at = on[hit], at[hit]
+            place, seen = lookup(self.near.gram, (key[on] & ((1 << 8 * (d + 1)) - 1)) | (d << 56))
+            n = np.where(seen, self.near.n[place], 0) if len(on) else np.zeros(0)
+            p[on] = (n + PRIOR * p[on]) / (self.near.whole[at] + PRIOR)
+            depth[on] = d
+        return p, depth, outside
+
 
 def build_tree(depth: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray,
                outside: tuple[np.ndarray, np.ndarray] | None = None) -> Tree:
@@ -236,12 +292,20 @@ def low(c: Column, symbols_: str) -> Column:
     return c.bitwiseAND(F.expr(f"shiftleft(1L, {8} * ({symbols_}))") - 1)
 
 
-def fit_tree(counts: DataFrame, nodes: int | None = None) -> tuple[Tree, DataFrame | None]:
+def _far_hashes(batches):
+    """(d, context) -> the hash by which ``Near.elsewhere`` asks for it."""
+    for b in batches:
+        name = b.column(0).to_numpy().astype(np.int64) << 56 | b.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(signed(mix(name.view(np.uint64))))], names=["h"])
+
+
+def fit_tree(counts: DataFrame, nodes: int | None = None, near: int | None = None) -> tuple[Tree, DataFrame | None]:
     """Divergence tests over the counts (key, n) of all contexts: the tree of
-    the ``nodes`` most frequent retained contexts, and all others as (d,
-    context, whole, next: symbol to count), or None if there is no other."""
+    the ``nodes`` most frequent retained contexts with the next ``near`` ones
+    beside it, and all others as (d, context, whole, next: symbol to count),
+    or None if there is no other."""
     spark = counts.sparkSession
-    nodes = NODES if nodes is None else nodes
+    nodes, near = NODES if nodes is None else nodes, NEAR if near is None else near
 
     # Each gram counts for its own context and for every suffix of it.
     grams = counts.select(F.explode(F.array(*map(F.lit, range(DEPTH + 1)))).alias("d"), "key", "n") \
@@ -269,45 +333,62 @@ def fit_tree(counts: DataFrame, nodes: int | None = None) -> tuple[Tree, DataFra
         .withColumn("context", F.shiftright("g", 8))
     clear_previous(spark)
     release(spark)
-    # A suffix is at least as frequent, and comes first when it ties.
-    top = (kept.groupBy("d", "context").agg(F.max("whole").alias("whole"))
-           .orderBy(F.desc("whole"), "d", "context").limit(nodes).select("d", "context").toArrow())
-    schema = T.StructType([T.StructField("d", T.IntegerType()), T.StructField("context", T.LongType())])
-    first = F.broadcast(spark.createDataFrame(list(zip(top["d"].to_pylist(), top["context"].to_pylist())), schema))
-    rows = kept.join(first, ["d", "context"], "left_semi").select("d", "context", "g", "n").toArrow()
-    model = rows["d"].to_numpy(), rows["context"].to_numpy(), rows["g"].to_numpy() & 255, rows["n"].to_numpy()
-    if top.num_rows < nodes:
-        return build_tree(*model), None
-    others = kept.join(first, ["d", "context"], "left_anti")
-    # At most one per node and symbol.
-    marks = (others.select("d", "context").distinct()
-             .withColumn("up", F.col("d") - 1).withColumn("suffix", low(F.col("context"), "d - 1"))
-             .join(first.select(F.col("d").alias("up"), F.col("context").alias("suffix")), ["up", "suffix"], "left_semi")
-             .select("d", "context").toArrow())
-    if not marks.num_rows:
-        return build_tree(*model), None
-    further = others.groupBy("d", "context").agg(
-        F.max("whole").alias("whole"),
-        F.map_from_entries(F.collect_list(F.struct(F.col("g").bitwiseAND(255).cast("int"), "n"))).alias("next"))
-    return build_tree(*model, (marks["d"].to_numpy(), marks["context"].to_numpy())), further
+    # A suffix is at least as frequent, and comes first when it ties: every
+    # front part of this order is closed under suffixes.
+    top = (kept.groupBy("d", "context").agg(F.max("whole").alias("whole"), F.count("*").alias("grams"))
+           .orderBy(F.desc("whole"), "d", "context").limit(nodes + near).select("d", "context", "grams").toArrow())
+    full = top.num_rows == nodes + near
+    fits = int(np.searchsorted(np.cumsum(top["grams"].to_numpy()[nodes:]), NEAR_GRAMS, side="right"))
+    full |= nodes + fits < top.num_rows
+    top = top.slice(0, nodes + fits).select(["d", "context"])
+    first = F.broadcast(spark.createDataFrame(top))
+    rows = kept.join(first, ["d", "context"], "left_semi").select("d", "g", "n", "whole").toArrow()
+    d, g, n, whole = (rows[c].to_numpy() for c in ("d", "g", "n", "whole"))
+    names = top["d"].to_numpy().astype(np.int64) << 56 | top["context"].to_numpy()
+    inside = np.sort(names[:nodes])
+    own = lookup(inside, d.astype(np.int64) << 56 | (g >> 8))[1]
+    model = d[own], g[own] >> 8, g[own] & 255, n[own]
+    # Children of the tree's nodes beyond it: at most one per node and symbol.
+    deep, context = names[nodes:] >> 56, names[nodes:] & ((1 << 56) - 1)
+    up = np.maximum(deep - 1, 0)
+    border = lookup(inside, (context & ((1 << 8 * up) - 1)) | (up << 56))[1]
+    marks = [(deep[border], context[border])]
+    further = far = None
+    if full:
+        others = kept.join(first, ["d", "context"], "left_anti")
+        contexts = others.select("d", "context").distinct()
+        tree_nodes = F.broadcast(spark.createDataFrame(top.slice(0, nodes).rename_columns(["up", "suffix"])))
+        more = (contexts.withColumn("up", F.col("d") - 1).withColumn("suffix", low(F.col("context"), "d - 1"))
+                .join(tree_nodes, ["up", "suffix"], "left_semi").select("d", "context").toArrow())
+        marks.append((more["d"].to_numpy().astype(np.int64), more["context"].to_numpy()))
+        far = sketch(contexts.mapInArrow(_far_hashes, "h long"), "h")
+        further = others.groupBy("d", "context").agg(
+            F.max("whole").alias("whole"),
+            F.map_from_entries(F.collect_list(F.struct(F.col("g").bitwiseAND(255).cast("int"), "n"))).alias("next"))
+    tree = build_tree(*model, tuple(map(np.concatenate, zip(*marks))))
+    tree.near = Near(d[~own], g[~own], n[~own], whole[~own], far)
+    return tree, further
 
 
 def further_scores(keys: DataFrame, tree, further: DataFrame) -> DataFrame:
     """(key, value): log10 probability of the symbol of each distinct key
-    that goes on outside the tree, smoothed level by level from there."""
+    that may go on in the table, smoothed level by level from there."""
 
     def go(batches):
         t: Tree = tree.value
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(t.reached(b.column(0).to_numpy()))], names=["key", "p"])
+            p, depth, _ = t.descend(b.column(0).to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array(depth.astype(np.int32))],
+                                             names=["key", "p", "depth"])
 
-    levels = (keys.distinct().mapInArrow(go, "key long, p double")
-              .select("key", "p", F.explode(F.expr(f"sequence(cast(shiftright(key, 56) as int) + 1, {DEPTH})")).alias("d"))
+    levels = (keys.distinct().mapInArrow(go, "key long, p double, depth int")
+              .select("key", "p", F.explode(F.expr(f"sequence(depth + 1, {DEPTH})")).alias("d"))
               .withColumn("context", low(F.shiftright("key", 8), "d")))
-    found = levels.join(further, ["d", "context"]).select(
-        "key", "p", F.struct("d", F.coalesce(F.try_element_at("next", F.col("key").bitwiseAND(255).cast("int")),
-                                             F.lit(0)).alias("n"), "whole").alias("level"))
+    # A key that the sketch let through in vain keeps its probability.
+    found = levels.join(further, ["d", "context"], "left").select(
+        "key", "p", F.when(F.col("whole").isNotNull(), F.struct(
+            "d", F.coalesce(F.try_element_at("next", F.col("key").bitwiseAND(255).cast("int")),
+                            F.lit(0)).alias("n"), "whole")).alias("level"))
     return found.groupBy("key").agg(F.max("p").alias("p"), F.sort_array(F.collect_list("level")).alias("levels")).select(
         "key", F.log10(F.aggregate("levels", F.col("p"), lambda p, x: (x["n"] + F.lit(PRIOR) * p)
                                    / (x["whole"] + F.lit(PRIOR)))).alias("value"))
@@ -334,6 +415,10 @@ def score_rows(tree, frequent):
             np.add.at(total, w.rows(), value[of])
             known = w.sums(found)
             score, lacks, key = t.walk(*symbols(w))
+            keys, of_key = np.unique(key, return_inverse=True)
+            p, _, outside = t.descend(keys)
+            score += np.bincount(lacks, np.where(outside, 0.0, np.log10(p))[of_key], b.num_rows)
+            lacks, key = lacks[outside[of_key]], key[outside[of_key]]
             at, number = number, number + b.num_rows
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.arange(at, number)), pa.array(signed(h1)), pa.array(signed(h2)), pa.array(w.counts + 1),

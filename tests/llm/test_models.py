@@ -98,10 +98,12 @@ def test_tree_beats_unigrams_on_held_out_texts(spark):
     assert held.score.sum() > held.base_score.sum()
 
 
-def test_contexts_beyond_the_broadcast_tree_score_too(spark, monkeypatch):
+@pytest.mark.parametrize("near,grams", [(10**6, 10**6), (300, 10**6), (10**6, 500), (0, 0)])
+def test_contexts_beyond_the_broadcast_tree_score_too(spark, monkeypatch, near, grams):
+    monkeypatch.setattr(suffix_tree, "NEAR_GRAMS", grams)
     docs = table(spark, SF, "documents").limit(60)
     whole = brute.rows_of(suffix_tree.score_query(spark, docs), "doc_id", "score")
-    monkeypatch.setattr(suffix_tree, "fit_tree", functools.partial(suffix_tree.fit_tree, nodes=40))
+    monkeypatch.setattr(suffix_tree, "fit_tree", functools.partial(suffix_tree.fit_tree, nodes=40, near=near))
     got = brute.rows_of(suffix_tree.score_query(spark, docs), "doc_id", "score")
     assert [i for i, _ in got] == [i for i, _ in whole]
     assert np.allclose([v for _, v in got], [v for _, v in whole], rtol=1e-5)
