@@ -47,8 +47,8 @@ from encore.llm.words import Words, chunks, list_array, mix, signed
 
 DEPTH = 6
 NODES = 60_000                 # of the broadcast tree (below 2**16 - 1)
-NEAR = 400_000                 # further contexts, broadcast as sorted arrays
-NEAR_GRAMS = 3_000_000         # their counts, at most
+NEAR = 150_000                 # further contexts, broadcast as sorted arrays
+NEAR_GRAMS = 1_000_000         # their counts, at most
 OUTSIDE = 2**16 - 1            # a child that is not in the broadcast tree
 FLOOR = 1.0
 PRIOR = 16.0
@@ -151,13 +151,12 @@ class Near:
     symbols) of contexts with their totals and of grams with their counts.
     ``far``: flags of the contexts that only the table has, None if none."""
 
-    def __init__(self, d: np.ndarray, g: np.ndarray, n: np.ndarray, whole: np.ndarray,
+    def __init__(self, context: np.ndarray, whole: np.ndarray, gram: np.ndarray, n: np.ndarray,
                  far: np.ndarray | None = None):
-        deep = d.astype(np.int64) << 56
-        self.context, first = np.unique(deep | (g >> 8), return_index=True)
-        self.whole = whole[first]
-        order = np.argsort(deep | g)
-        self.gram, self.n = (deep | g)[order], n[order]
+        order = np.argsort(context)
+        self.context, self.whole = context[order], whole[order]
+        order = np.argsort(gram)
+        self.gram, self.n = gram[order], n[order]
         self.far = far
 
     def elsewhere(self, context: np.ndarray) -> np.ndarray:
@@ -336,20 +335,25 @@ def fit_tree(counts: DataFrame, nodes: int | None = None, near: int | None = Non
     # A suffix is at least as frequent, and comes first when it ties: every
     # front part of this order is closed under suffixes.
     top = (kept.groupBy("d", "context").agg(F.max("whole").alias("whole"), F.count("*").alias("grams"))
-           .orderBy(F.desc("whole"), "d", "context").limit(nodes + near).select("d", "context", "grams").toArrow())
+           .orderBy(F.desc("whole"), "d", "context").limit(nodes + near).select("d", "context", "whole", "grams").toArrow())
     full = top.num_rows == nodes + near
     fits = int(np.searchsorted(np.cumsum(top["grams"].to_numpy()[nodes:]), NEAR_GRAMS, side="right"))
     full |= nodes + fits < top.num_rows
-    top = top.slice(0, nodes + fits).select(["d", "context"])
+    top = top.slice(0, nodes + fits)
+    whole, top = top["whole"].to_numpy()[nodes:], top.select(["d", "context"])
     first = F.broadcast(spark.createDataFrame(top))
-    rows = kept.join(first, ["d", "context"], "left_semi").select("d", "g", "n", "whole").toArrow()
-    d, g, n, whole = (rows[c].to_numpy() for c in ("d", "g", "n", "whole"))
+    name = F.shiftleft(F.col("d").cast("long"), 56).bitwiseOR(F.col("g"))
+    rows = kept.join(first, ["d", "context"], "left_semi").select(name.alias("gram"), "n").toArrow()
+    gram, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
+    del rows
     names = top["d"].to_numpy().astype(np.int64) << 56 | top["context"].to_numpy()
     inside = np.sort(names[:nodes])
-    own = lookup(inside, d.astype(np.int64) << 56 | (g >> 8))[1]
-    model = d[own], g[own] >> 8, g[own] & 255, n[own]
+    low56 = (1 << 56) - 1
+    own = lookup(inside, (gram & low56) >> 8 | (gram >> 56 << 56))[1]
+    model = gram[own] >> 56, (gram[own] & low56) >> 8, gram[own] & 255, n[own]
+    gram, n = gram[~own], n[~own]
     # Children of the tree's nodes beyond it: at most one per node and symbol.
-    deep, context = names[nodes:] >> 56, names[nodes:] & ((1 << 56) - 1)
+    deep, context = names[nodes:] >> 56, names[nodes:] & low56
     up = np.maximum(deep - 1, 0)
     border = lookup(inside, (context & ((1 << 8 * up) - 1)) | (up << 56))[1]
     marks = [(deep[border], context[border])]
@@ -366,7 +370,7 @@ def fit_tree(counts: DataFrame, nodes: int | None = None, near: int | None = Non
             F.max("whole").alias("whole"),
             F.map_from_entries(F.collect_list(F.struct(F.col("g").bitwiseAND(255).cast("int"), "n"))).alias("next"))
     tree = build_tree(*model, tuple(map(np.concatenate, zip(*marks))))
-    tree.near = Near(d[~own], g[~own], n[~own], whole[~own], far)
+    tree.near = Near(names[nodes:], whole, gram, n, far)
     return tree, further
 
 
