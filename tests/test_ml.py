@@ -30,3 +30,21 @@ def test_als_recommends_unheard_candidates(spark):
         assert [r.rank for r in recs] == list(range(1, min(n, len(offered[u])) + 1))
         assert all(a.score >= b.score for a, b in zip(recs, recs[1:]))
         assert len(songs) == len(recs) and songs <= offered[u] and not songs & played[u]
+
+
+def test_factor_blocks_follow_the_counts(spark):
+    """Not the shuffle partitions: each user block sends to each item block."""
+    from encore.plans.ml import _fitted, factor_blocks
+
+    assert [factor_blocks(n) for n in (0, 2_000_000, 2_000_001)] == [10, 10, 11]
+    gold = spark.createDataFrame(
+        [("PLAY", u, "EG", f"s{(u * k) % 7}") for u in range(20) for k in range(3)],
+        "event_type string, user_id int, country string, song_id string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        _, _, model = _fitted(gold, 2, 1, 0.1, 1.0, 42)
+        assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == 10
+        assert model.userFactors.count() == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
