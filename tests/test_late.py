@@ -137,3 +137,59 @@ def test_delay_and_provider(spark):
     assert spark.conf.get(key) == before
     stream = spark.readStream.format("rate").load().selectExpr("timestamp as event_time", "cast(value as string) as event_id")
     assert first_arrivals(stream, "1 hour").columns == ["event_id", "late"]
+
+
+class Handle:
+    """State of one bucket in memory, counting what is written."""
+
+    def __init__(self):
+        self.values, self.timers, self.writes = {}, set(), 0
+
+    def getMapState(self, name, key, value):
+        return self
+
+    def iterator(self):
+        return iter([(k, v) for k, v in self.values.items()])
+
+    def updateValue(self, key, value):
+        self.writes += 1
+        self.values[key] = value
+
+    def removeKey(self, key):
+        del self.values[key]
+
+    def registerTimer(self, due):
+        self.timers.add(due)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_a_bucket_writes_spans_not_ids():
+    from pyspark.sql import Row
+
+    from encore.streaming.late import FirstArrivals
+    row = Row("event_id", "_event_millis")
+    p, h = FirstArrivals(["event_id"], "event_id", 100), Handle()
+    p.init(h)
+
+    def batch(ids, now):
+        return [(r.event_id, r.late) for r in p.handleInputRows((0,), (row(f"e{i}", i) for i in ids), At(now))]
+
+    assert batch([*range(1000), *range(1000)], 0) == [(f"e{i}", False) for i in range(1000)]
+    assert h.writes == len(h.values) == len(h.timers) == 10
+    assert batch(range(1000), 50) == []
+    assert batch(range(940, 1005), 60) == [(f"e{i}", False) for i in range(1000, 1005)]
+    assert len(h.values[(1100,)][0]) == 100 and len(h.values[(1200,)][0]) == 5 and h.writes == 11
+    assert [*p.handleExpiredTimer((0,), At(1100), At(1100))] == [] and (1100,) not in h.values
+    assert batch([999, 1004], 1101) == [("e999", True)]
+    # one more of a span that is held keeps the others
+    assert batch([1050], 1050) == [("e1050", False)]
+    assert len(h.values[(1200,)][0]) == 6
