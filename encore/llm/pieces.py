@@ -5,6 +5,12 @@ non-blank characters (byte-level vocabularies, the blank begins the next
 piece) or at ASCII white space (vocabularies that drop it). Arrow numbers the
 distinct pieces of a batch; only pieces that the worker has not met lately are
 encoded, the rest come from a cache of bounded size. Ids are 16-bit.
+
+Texts of ASCII and Latin letters need no pieces: ``Texts`` hands them whole to
+the rank form of the vocabulary, whose own scanner cuts and merges them. Both
+forms give the same ids: each token's listed pair is what the merges before it
+leave of the token (a test holds it), and a boundary that remains is never
+crossed, so no other pair of the same token ever meets.
 """
 
 from __future__ import annotations
@@ -98,6 +104,33 @@ class Encoder:
         return take_runs(flat, np.cumsum(size) - size, size, at, row)
 
 
+class Texts:
+    """Ids of whole texts: those that ``plain`` (a pattern of Arrow) matches,
+    ``but`` does not, and that cannot name a special token through ``whole`` (a text -> its ids
+    as an array), all others through the encoder of pieces that ``pieces``
+    builds at the first such text."""
+
+    def __init__(self, plain: str, but: str, whole: Callable[[str], np.ndarray], pieces: Callable[[], Encoder],
+                 before: Callable[[pa.Array], pa.Array] = lambda arr: arr):
+        self.plain, self.but, self.whole, self.pieces, self.before = plain, but, whole, pieces, before
+        self.other: Encoder | None = None
+
+    def batch(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, first id of each row and the total)."""
+        arr = arr.cast(pa.string()).fill_null("")
+        fast = pc.and_not(pc.match_substring_regex(arr, self.plain),
+                          pc.or_(pc.match_substring_regex(arr, self.but), pc.match_substring(arr, "<|")))
+        parts = [self.whole(t) for t in self.before(arr.filter(fast)).to_pylist()]
+        odd = arr.filter(pc.invert(fast))
+        if len(odd):
+            self.other = self.other or self.pieces()
+            ids, row = self.other.batch(odd)
+            either = iter(parts), iter(np.split(ids, row[1:-1]))
+            parts = [next(either[not f]) for f in fast.to_pylist()]
+        row = np.r_[0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))]
+        return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), row
+
+
 def take_runs(flat, begin, size, at, row):
     """The runs numbered ``at`` of ``flat`` one after another, and the offset
     of each row (``row``: first run of each row and the total)."""
