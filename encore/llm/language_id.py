@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm.common import crc_mod
-from encore.llm.words import Words, chunks
+from encore.llm.words import CHUNK_BYTES, Words, chunks
 
 SAMPLE = 1500                  # labelled texts per language for the fit, about
 ORDERS = (2, 3, 4)
@@ -162,7 +162,7 @@ def _count_rows(batches):
     """(lang, text) -> lang, kind, count. Kinds: buckets of all orders, then
     the scripts of words."""
     top = BUCKETS * len(ORDERS)
-    for b in chunks(batches):
+    for b in chunks(batches, max_bytes=2 * CHUNK_BYTES):
         w = Words(b.column(1))
         langs = b.column(0).dictionary_encode()
         names, of = langs.dictionary, langs.indices.to_numpy()

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 #: Texts handled at once, unless one alone is longer (with one byte more the
 #: tables of powers would be twice as long).
-CHUNK_BYTES = (2 << 20) - 1
+CHUNK_BYTES = (1 << 19) - 1
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _WBASE = np.uint64(0xD6E8FEB86659FD93)

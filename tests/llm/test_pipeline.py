@@ -4,7 +4,7 @@ import public_tokenizers as P
 
 import __spark_entry__ as E
 import corpus_pipeline
-from encore.llm import language_id
+from encore.llm import language_id, packing, words
 from encore.llm.common import stored, table
 from tests.llm import brute
 from tests.llm.test_tokens import check_packing, pieces_of
@@ -91,3 +91,20 @@ def test_queries_have_oracles_where_sql_can_say_it(spark):
         key = "vec_id" if "vec_id" in cols else "doc_id"
         a, b = (x[cols].sort_values(key).astype(str).reset_index(drop=True) for x in (got, expect))
         assert a.equals(b)
+
+
+def test_every_stage_hands_small_batches_to_its_workers(spark):
+    """Also when a stage is called by itself, without ``run``."""
+    key, size = corpus_pipeline.BATCH
+    before = spark.conf.get(key)
+    docs = brute.edge_docs(spark)
+    for _, stage in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[-1:]:
+        spark.conf.set(key, before)
+        stage(spark, docs, "")
+        assert spark.conf.get(key) == size
+    spark.conf.set(key, before)
+
+
+def test_worker_tables_stay_small():
+    """What a worker keeps and holds follows the text that it handles at once."""
+    assert words.CHUNK_BYTES < 1 << 19 and packing.CHUNK_BYTES <= 1 << 20
