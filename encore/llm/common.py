@@ -41,12 +41,6 @@ def clear_stored(spark: SparkSession, but_last: int = 0) -> None:
         fs.delete(spark, path)
 
 
-def clear_previous(spark: SparkSession) -> None:
-    """Delete the stored table before the last one, when only the last one
-    was computed from it."""
-    fs.delete(spark, _WRITTEN.pop(-2))
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished phases."""
     gc.collect()
@@ -73,18 +67,24 @@ def crc_mod(column: str, n: int):
 SKETCH_BITS = 1 << 23
 
 
+def packed_sketch(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """``bits`` flags (a power of 2, at least 32,768), eight to a byte, the first in
+    the lowest bit: set at the low bits of each hash in ``column``."""
+    at = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1
+    rows = df.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect()
+    flags = np.zeros((bits // 32768, 4096), np.uint8)
+    for r in rows:                             # at most bits / 32768
+        flags[r["b"] - 1] = np.frombuffer(bytes(r["m"]), np.uint8)
+    return flags.ravel()
+
+
 def sketch(df: DataFrame, column: str) -> np.ndarray:
     """SKETCH_BITS flags (1 MB, whatever the input): True at the low bits of
     each hash in ``column``. Rows of a large table whose hash has no flag
     cannot meet these rows in a join and need not be shuffled; with very many
     hashes all flags are set and the filter passes everything."""
-    at = F.col(column).bitwiseAND(F.lit(SKETCH_BITS - 1)) + 1
-    rows = df.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect()
-    flags = np.zeros((SKETCH_BITS // 32768, 4096), np.uint8)
-    for r in rows:                             # at most SKETCH_BITS / 32768
-        flags[r["b"] - 1] = np.frombuffer(bytes(r["m"]), np.uint8)
-    return np.unpackbits(flags.ravel(), bitorder="little").astype(bool)
+    return np.unpackbits(packed_sketch(df, column, SKETCH_BITS), bitorder="little").astype(bool)
 
 
 def _mark(e: DataFrame) -> tuple:

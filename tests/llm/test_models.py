@@ -3,6 +3,7 @@ held-out rows."""
 
 import functools
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -116,6 +117,81 @@ def test_six_symbols_back_decide(spark):
     assert min(by[0], by[1]) > max(by[1000], by[1001]) + 0.5
 
 
+def plain_scores(rows):
+    """Counts, divergence tests and scores by the plain recursion."""
+    depth, prior = suffix_tree.DEPTH, suffix_tree.PRIOR
+    lead = bytes([suffix_tree.BEFORE] * depth + [suffix_tree.BLANK])
+    texts = [lead + " ".join(brute.words((t or "").translate(brute.LOWER))).encode() + b"\n" for _, t in rows]
+    counts = {}
+    for (i, _), x in zip(rows, texts):
+        if crc(i, 10):
+            for q in range(depth + 1, len(x)):
+                for k in range(depth + 1):
+                    counts.setdefault(x[q - k:q], Counter())[x[q]] += 1
+    whole = {c: sum(n.values()) for c, n in counts.items()}
+    keep = {b""}
+    for c, n in counts.items():
+        if c and sum(m * math.log(m * whole[c[1:]] / (whole[c] * counts[c[1:]][s])) for s, m in n.items()) \
+                >= suffix_tree.FLOOR:
+            keep |= {c[k:] for k in range(len(c))}
+
+    @functools.cache
+    def p(c, s):
+        if not c:
+            return (counts[c][s] + suffix_tree.ADD) / (whole[c] + 256 * suffix_tree.ADD)
+        return (counts[c][s] + prior * p(c[1:], s)) / (whole[c] + prior)
+
+    def score(x):
+        total = 0.0
+        for q in range(depth + 1, len(x)):
+            k = 0
+            while k < depth and x[q - k - 1:q] in keep:
+                k += 1
+            total += math.log10(p(x[q - k:q], x[q]))
+        return total
+    return [(i, score(x)) for (i, _), x in zip(rows, texts)]
+
+
+def some_texts(n, words, vocabulary=150):
+    r = np.random.default_rng(11)
+    names = ["".join(r.choice(list("aeiounrstlé"), r.integers(1, 9))) for _ in range(vocabulary)]
+    return [(i, " ".join(names[j] for j in np.minimum(r.zipf(1.3, words), vocabulary) - 1)) for i in range(n)]
+
+
+@pytest.mark.parametrize("nodes,near", [(None, None), (40, 30), (1, 0)])
+def test_scores_match_the_plain_recursion(spark, monkeypatch, nodes, near):
+    rows = [*some_texts(40, 60), (40, None), (41, " A b"), (None, "rare words"), (41, " A b")]
+    monkeypatch.setattr(suffix_tree, "fit_tree", functools.partial(suffix_tree.fit_tree, nodes=nodes, near=near))
+    got = brute.rows_of(suffix_tree.score_query(spark, brute.edge_docs(spark, rows)), "doc_id", "score")
+    expect = brute.ordered(plain_scores(rows))
+    assert [i for i, _ in got] == [i for i, _ in expect]
+    assert np.allclose([v for _, v in got], [v for _, v in expect], rtol=1e-6)
+
+
+def test_stored_tables_stay_near_the_size_of_the_texts(spark, monkeypatch):
+    """No table has a row for each context symbol of each text."""
+    rows = some_texts(200, 400, 20_000)
+    sizes = {}
+
+    def stored(df, name, real=suffix_tree.stored):
+        out = real(df, name)
+        sizes[name] = sum(os.path.getsize(f.split(":", 1)[1]) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(suffix_tree, "stored", stored)
+    assert suffix_tree.score_query(spark, brute.edge_docs(spark, rows)).count() == 200
+    assert sum(sizes.values()) < 2 * sum(len(t.encode()) for _, t in rows), sizes
+
+
+def test_partial_counts_come_back_from_their_parts():
+    key = np.sort(np.random.default_rng(3).integers(0, 1 << 56, 1000))
+    n = np.r_[np.arange(1, 301), np.full(699, 1), 5_000_000_000]
+    assert np.array_equal(suffix_tree.turned(suffix_tree.turned(key)), key)
+    back = [suffix_tree._full(b) for b in suffix_tree._slim(0, key, n, suffix_tree.part_of(key, 7))]
+    got = sorted((k, m) for keys, counts in back for k, m in zip(keys.tolist(), counts.tolist()))
+    assert got == list(zip(key.tolist(), n.tolist()))
+
+
 def viterbi(scores, switch):
     """Best total of a path, by the plain recursion."""
     value = list(scores[0])
